@@ -1,0 +1,19 @@
+"""Broadcasting behind a check of the size."""
+
+from pyspark.sql import functions as F
+
+MAX_ROWS = 200_000
+MAX_BYTES = 64 * 1024 * 1024
+
+
+def broadcast_if_small(df, max_rows=MAX_ROWS, max_bytes=MAX_BYTES):
+    """``df`` as a broadcast side if it proves to be small, else unchanged.
+
+    Reads at most ``max_rows`` + 1 rows. A larger side is left to a shuffled
+    join, where adaptive execution splits hot partitions. What was read is
+    used as the broadcast side, so that its plan does not run twice.
+    """
+    head = df.limit(max_rows + 1).toArrow()
+    if head.num_rows > max_rows or head.nbytes > max_bytes:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(head, schema=df.schema))
