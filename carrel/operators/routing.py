@@ -8,13 +8,17 @@ TO_PROCESS = "to_process"
 SKIPPED = "skipped"
 
 
-def route_records(records, link_template, predicate=marc.is_single_image, record="record"):
+def route_records(
+    records, link_template, predicate=marc.is_single_image, record="record", keep=()
+):
     """One row per record with its route; both outputs are filters of this table.
 
-    ``predicate`` maps the record column to a boolean column.
+    ``predicate`` maps the record column to a boolean column; ``keep`` names
+    columns that stay in front.
     """
     rec = F.col(record)
     picked = records.select(
+        *keep,
         marc.control_field(rec, "001").alias("record_id"),
         marc.subfield_first(rec, "035", "a").alias("local_id"),
         marc.subfield_first(rec, "982", "b").alias("collection"),
@@ -22,6 +26,7 @@ def route_records(records, link_template, predicate=marc.is_single_image, record
         marc.link_urls(rec).alias("_urls"),
     )
     return picked.select(
+        *keep,
         "record_id",
         "local_id",
         "collection",

@@ -6,11 +6,11 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CELL = "struct<text:string,href:string>"
-
 # Fixed value: id of the table that lists the downloads.
 DOWNLOAD_TABLE = "user-corpora-download-table"
 
+ROWS_PER_BATCH = 10_000
+
 _VOID = frozenset(
     "area base br col embed hr img input link meta source track wbr".split()
 )
@@ -107,20 +107,21 @@ def extract_html_rows(
     )
     cells = frozenset(cells)
 
+    names = [*keys, "row_no", "cells"]
+
     def run(batches):
         for batch in batches:
-            for values in zip(batch[html], *[batch[k] for k in keys]):
+            found = []
+            for page, *key in zip(batch[html], *[batch[k] for k in keys]):
                 parser = _Rows(container, container_id, row, cells)
-                parser.feed(values[0] or "")
+                parser.feed(page or "")
                 parser.close()
-                if parser.rows:
-                    yield pd.DataFrame(
-                        {
-                            **{k: [v] * len(parser.rows) for k, v in zip(keys, values[1:])},
-                            "row_no": range(len(parser.rows)),
-                            "cells": parser.rows,
-                        }
-                    )
+                found += [(*key, i, row_cells) for i, row_cells in enumerate(parser.rows)]
+                if len(found) >= ROWS_PER_BATCH:
+                    yield pd.DataFrame(found, columns=names)
+                    found = []
+            if found:
+                yield pd.DataFrame(found, columns=names)
 
     return pages.select(*keys, html).mapInPandas(run, schema)
 

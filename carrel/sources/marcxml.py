@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from carrel.functions import marcxml
+from carrel.functions import marc, marcxml
 
 
 def read_marcxml(spark, path, row_tag="record"):
@@ -40,8 +40,6 @@ def read_marcxml(spark, path, row_tag="record"):
 
 def explode_subfield(records, tag, ind1, ind2, code, record="record"):
     """One row per field that has the subfield: its first value, not empty."""
-    from carrel.functions import marc
-
     values = marc.first_per_field(F.col(record), tag, ind1, ind2, code)
     return records.select(F.explode(values).alias("value"))
 
