@@ -9,6 +9,11 @@ DESCRIBE_SIZE_LIMIT = 3_932_160
 MAX_SIDE = 8000
 
 
+def base64_text(content):
+    """Base64 in one line; the built-in function may break it every 76 characters."""
+    return F.replace(F.base64(content), F.lit("\r\n"), F.lit(""))
+
+
 def base64_length(size):
     """Exact length of the base64 text of ``size`` bytes."""
     return (F.lit(4) * F.ceil(size / F.lit(3))).cast("bigint")

@@ -84,6 +84,7 @@ def fetch_records(
     client_factory,
     record_id="record_id",
     all_files=False,
+    max_parallel=None,
     retries=3,
     first_delay=3.0,
     max_delay=600.0,
@@ -98,7 +99,8 @@ def fetch_records(
     width, height, and ``download(record_id, index, width, height)``, which
     returns (path, size); width and height are None for the original. It is
     built once per task. ``size_transform`` maps a size column to the size
-    that counts against ``max_size``.
+    that counts against ``max_size``. ``max_parallel`` sets the number of
+    tasks that call at once.
     """
     retry = {"retries": retries, "first_delay": first_delay, "max_delay": max_delay}
     metadata_type = T.ArrayType(T.StructType.fromDDL(schemas.FILE_METADATA[7:-1]))
@@ -121,6 +123,8 @@ def fetch_records(
         return {"path": str(path), "size": int(written)}
 
     ids = records.select(F.col(record_id).alias("record_id"))
+    if max_parallel:
+        ids = ids.repartition(max_parallel)
     looked_up = _with_calls(ids, client_factory, metadata, F.lit(True), metadata_type, retry)
     if all_files:
         position = F.explode_outer(
@@ -245,7 +249,7 @@ def describe(
     sized = rows.withColumn("mime_", names.mime_type(F.col("image_path")))
     if content:
         fits = images.base64_length(F.octet_length(F.col(content))) <= size_limit
-        sized = sized.withColumn("image_", F.when(fits, F.base64(F.col(content))))
+        sized = sized.withColumn("image_", F.when(fits, images.base64_text(F.col(content))))
     else:
         sized = sized.withColumn("image_", F.lit(None).cast("string"))
     sized = sized.select(*kept, "mime_", "image_")

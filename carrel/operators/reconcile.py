@@ -80,13 +80,14 @@ def report_lines(result, mode, label="Catalog"):
     fixed += lines(
         1,
         [(F.concat(F.lit(f"{total_text[m]}{label.capitalize()}: "), F.col(m)), yes) for m in shown]
-        + [(F.lit(ruler), yes), (F.lit(""), yes)],
+        + [(F.lit(ruler), yes)],
     )
     for m, section in ((IN, 2), (NOT_IN, 5)):
         if m in shown:
             some = F.col(m) > 0
-            fixed += lines(section, [(F.lit(f"{heading[m]}{label.upper()} ---"), some)])
-            fixed += lines(section + 2, [(F.lit(ruler), some), (F.lit(""), some)])
+            title = F.lit(f"{heading[m]}{label.upper()} ---")
+            fixed += lines(section, [(F.lit(""), some), (title, some)])
+            fixed += lines(section + 2, [(F.lit(ruler), some)])
     frame = totals.select(F.explode(F.array(*fixed)).alias("l")).where("l.keep")
     frame = frame.select("l.section", "l.ord", "l.line")
 

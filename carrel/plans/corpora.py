@@ -8,12 +8,14 @@ from carrel.operators.manifest import check_declared
 from carrel.sources.html import corpus_rows, extract_html_rows
 
 
-def read_catalog(pages, keys, columns, date_format="yyyy-MM-dd", html="html"):
+def read_catalog(pages, keys, columns, date_format="yyyy-MM-dd", html="html", tasks=None):
     """Catalog rows of saved pages; ``columns`` maps column name to cell position.
 
-    ``columns`` names at least corpus_id, file, invoice_date and checksum.
+    ``columns`` names at least corpus_id, file, invoice_date and checksum. The
+    pages are parsed again by every action: write the rows before using them
+    twice.
     """
-    rows = corpus_rows(extract_html_rows(pages, keys, html=html), columns)
+    rows = corpus_rows(extract_html_rows(pages, keys, html=html, tasks=tasks), columns)
     return rows.withColumn("invoice_date", F.try_to_date("invoice_date", date_format))
 
 

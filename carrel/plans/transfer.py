@@ -19,7 +19,7 @@ def take_manifest(spark, source_root, pattern=None):
 
 def destination_state(spark, manifest, root):
     """What is at the destination, hashed only where the size is as expected."""
-    there = walk(spark, root).select("path", "kind", "size")
+    there = walk(spark, root, missing_ok=True).select("path", "kind", "size")
     candidates = (
         manifest.select("path", "size")
         .join(there.where("kind = 'file'"), ["path", "size"])

@@ -43,7 +43,7 @@ def _relevant(folder, prefix):
     return folder.startswith(prefix) or prefix.startswith(folder + "/")
 
 
-def _list_folders(root, prefix):
+def _list_folders(root, prefix, missing_ok):
     """Task body: the direct children of each folder in the batch."""
 
     def run(batches):
@@ -53,7 +53,9 @@ def _list_folders(root, prefix):
             for folder in batch["path"]:
                 rows = []
                 at = posixpath.join(base, folder) if folder else base
-                for info in filesystem.get_file_info(arrow_fs.FileSelector(at)):
+                for info in filesystem.get_file_info(
+                    arrow_fs.FileSelector(at, allow_not_found=missing_ok)
+                ):
                     path = posixpath.join(folder, info.base_name)
                     if info.type == arrow_fs.FileType.File:
                         if path.startswith(prefix):
@@ -74,11 +76,11 @@ def _list_folders(root, prefix):
     return run
 
 
-def walk(spark, root, prefix="", recursive=True):
+def walk(spark, root, prefix="", recursive=True, missing_ok=False):
     """Everything below ``root`` as (path relative to it, kind, size, modified).
 
     One job per directory level; each level is written to the shared folder
-    and feeds the next one. A missing root fails.
+    and feeds the next one. A missing root fails unless ``missing_ok``.
     """
     folder = new_folder(spark, "listing")
     width = spark.sparkContext.defaultParallelism
@@ -87,7 +89,7 @@ def walk(spark, root, prefix="", recursive=True):
     level, frontier = 0, spark.createDataFrame([("",)], "path string").repartition(1)
     while True:
         target = f"{folder}/level={level:04d}"
-        frontier.mapInPandas(_list_folders(root, prefix), LISTING).write.parquet(target)
+        frontier.mapInPandas(_list_folders(root, prefix, missing_ok), LISTING).write.parquet(target)
         listed = spark.read.schema(LISTING).parquet(target)
         folders = listed.where("kind = 'dir'").select("path")
         if not recursive or folders.isEmpty():

@@ -93,10 +93,12 @@ def extract_html_rows(
     container_id=DOWNLOAD_TABLE,
     row="tr",
     cells=("td", "th"),
+    tasks=None,
 ):
     """One row per table row of each page: keys, row_no, cells (text, href).
 
-    Pages are parsed where they are; nothing is shuffled.
+    Pages are parsed where they are and nothing is shuffled, unless ``tasks``
+    asks to spread an input of few file splits over more cores.
     """
     fields = [pages.schema[k] for k in keys]
     cell_type = T.ArrayType(
@@ -123,7 +125,10 @@ def extract_html_rows(
             if found:
                 yield pd.DataFrame(found, columns=names)
 
-    return pages.select(*keys, html).mapInPandas(run, schema)
+    wanted = pages.select(*keys, html)
+    if tasks:
+        wanted = wanted.repartition(tasks)
+    return wanted.mapInPandas(run, schema)
 
 
 def corpus_rows(rows, columns, link="download_link"):
