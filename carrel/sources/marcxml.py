@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from carrel.functions import marc, marcxml
+from carrel.operators.once import compute_once
 
 
 def read_marcxml(spark, path, row_tag="record"):
@@ -29,13 +30,11 @@ def read_marcxml(spark, path, row_tag="record"):
         "_xml", marcxml.from_text(F.concat(F.col("_start"), F.lit(end_tag)))
     )
     broken = F.col("_xml").isNull() | F.col("_xml._corrupt_record").isNotNull()
-    return parsed.select(
-        "source_file",
-        "block_start",
-        "seq",
-        F.when(~broken, marcxml.record_of(F.col("_xml"))).alias("record"),
-        F.when(broken, F.concat(F.lit("not well-formed: "), F.col("_start"))).alias("parse_error"),
-    )
+    return compute_once(
+        parsed,
+        record=F.when(~broken, marcxml.record_of(F.col("_xml"))),
+        parse_error=F.when(broken, F.concat(F.lit("not well-formed: "), F.col("_start"))),
+    ).drop("_start", "_xml")
 
 
 def explode_subfield(records, tag, ind1, ind2, code, record="record"):

@@ -7,11 +7,11 @@ their rows by fixed rules; the SQL of ``oracle.py`` states the same rules.
 from pyspark.sql import functions as F
 
 from carrel import schemas
-from carrel.functions import marc21, names
+from carrel.functions import names
 from carrel.operators.enrich import RateLimited, ServiceError
 from carrel.session import new_folder, stage
 from carrel.sources.files import write_files
-from carrel.sources.marc21 import export_flat, write_marc21_partitioned
+from carrel.sources.marc21 import encode, export_flat, write_marc21_partitioned
 from carrel.sources.marcxml import write_marcxml
 
 YEAR = 2026
@@ -147,22 +147,28 @@ def order_records(orders):
     )
     last = key % ORDERS_PER_FILE == ORDERS_PER_FILE - 1
     broken = last & (F.floor(key / ORDERS_PER_FILE) % 5 == 3)
-    raw = F.when(broken, F.lit("not a MARC record").cast("binary")).otherwise(
-        marc21.encode(record.cast(schemas.MARC_RECORD))
-    )
-    return orders.select(
+    made = orders.select(
         order_file(key).alias("output_name"),
         F.floor(key / 500).alias("block_start"),
         key.alias("seq"),
-        raw.alias("raw"),
+        broken.alias("broken"),
+        record.cast(schemas.MARC_RECORD).alias("record"),
+    )
+    unreadable = F.lit("not a MARC record").cast("binary")
+    return encode(made).select(
+        "output_name",
+        "block_start",
+        "seq",
+        F.when(F.col("broken"), unreadable).otherwise(F.col("raw")).alias("raw"),
     )
 
 
 def write_order_files(spark, sf_dir):
     """All orders as flat ``.ord`` files in a fresh folder."""
     parts, folder = mounted(spark, "order-parts"), mounted(spark, "order-files")
-    records = order_records(table(spark, sf_dir, "orders"))
-    write_marc21_partitioned(records.repartition("output_name", "block_start"), parts)
+    orders = table(spark, sf_dir, "orders")
+    chunks = orders.repartition(tasks(spark), F.floor(F.col("o_orderkey") / 500))
+    write_marc21_partitioned(order_records(chunks), parts)
     export_flat(spark, parts, folder)
     return folder
 
