@@ -1,7 +1,10 @@
 """Session set-up and the shared folder for staged tables."""
 
+import importlib
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -52,3 +55,24 @@ def stage(df, label):
     folder = new_folder(spark, label)
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
+
+
+_shipped = set()
+
+
+def ship_package(spark, *packages):
+    """Send packages to the workers, for a cluster that does not have them installed."""
+    context = spark.sparkContext
+    if (context.applicationId, packages) in _shipped:
+        return
+    archive = os.path.join(tempfile.mkdtemp(prefix="carrel-"), "-".join(packages) + ".zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for package in packages:
+            root = os.path.dirname(importlib.import_module(package).__file__)
+            for folder, _, files in os.walk(root):
+                for name in files:
+                    if name.endswith(".py"):
+                        path = os.path.join(folder, name)
+                        out.write(path, os.path.relpath(path, os.path.dirname(root)))
+    context.addPyFile(archive)
+    _shipped.add((context.applicationId, packages))

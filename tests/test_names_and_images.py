@@ -1,0 +1,95 @@
+import base64
+import math
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from carrel.functions import images, names
+
+
+@pytest.mark.parametrize(
+    "url, name",
+    [
+        ("https://example.org/path/to/file_one.jpg", "file_one.jpg"),
+        ("http://h/a/b%20c.jpg?x=1/2#f/g", "b c.jpg"),
+        ("http://h", ""),
+        ("http://h/", ""),
+        ("http://h/a/", ""),
+        ("http://h/a+b", "a+b"),
+        ("http://h/100%", "100%"),
+        ("http://h/%C3%A9%zz", "é%zz"),
+        ("http://h/%FF", "%FF"),
+        ("http://h/ü x.jpg", "ü x.jpg"),
+        ("plain.jpg", "plain.jpg"),
+        ("//h/p/q", "q"),
+        ("http://h?a/b", ""),
+        ("", ""),
+    ],
+)
+def test_url_basename(spark, url, name):
+    df = spark.createDataFrame([(url,)], "u string")
+    assert df.select(names.url_basename(F.col("u"))).head()[0] == name
+
+
+def test_other_names(spark):
+    df = spark.createDataFrame([("/a/b.JPG", "a/", "")], "p string, k string, e string")
+    row = df.select(
+        names.path_basename(F.col("p")), names.path_basename(F.col("k")), names.key_basename(F.col("k")),
+        names.mime_type(F.col("p")), names.mime_type(F.col("k")), names.shard_key(F.lit("12345")),
+        names.record_link(F.col("e"), "x/{id}"), names.record_link(F.lit("7"), "x/{id}?y"),
+    ).head()
+    assert tuple(row) == ("b.JPG", "a", "", "image/jpeg", None, "12", "No Record Link", "x/7?y")
+
+
+def test_base64_sizes(spark):
+    df = spark.createDataFrame([(4.5,), (0.0,), (3.0,), (100.0,)], "s double")
+    got = [r[0] for r in df.select(images.base64_estimate(F.col("s"))).collect()]
+    assert got == [6, 0, 4, math.ceil(100 / 3 * 4)]
+    data = [bytes(n) for n in (0, 1, 2, 3, 57, 58, 1000)]
+    df = spark.createDataFrame([(d,) for d in data], "d binary")
+    rows = df.select(
+        images.base64_text(F.col("d")), images.base64_length(F.octet_length("d"))
+    ).collect()
+    assert [r[0] for r in rows] == [base64.b64encode(d).decode() for d in data]
+    assert [r[1] for r in rows] == [len(base64.b64encode(d)) for d in data]
+
+
+def fit(spark, rows, **limits):
+    df = spark.createDataFrame(rows, "w int, h int, s bigint")
+    got = df.select(images.fit(F.col("w"), F.col("h"), F.col("s"), **limits).alias("f")).collect()
+    return [tuple(r.f) for r in got]
+
+
+def test_known_sizes(spark):
+    assert fit(spark, [(1000, 704, 349076)], max_width=2000, max_height=2000, max_size=1048576) == [
+        (1000, 704, False)
+    ]
+    assert fit(spark, [(4032, 3024, 1977086)], max_width=2000, max_height=2000, max_size=262144) == [
+        (534, 400, True)
+    ]
+    df = spark.createDataFrame([(534, 400, 481229), (534, 400, 262144)], "w int, h int, s bigint")
+    got = df.select(images.refit(F.col("w"), F.col("h"), F.col("s"), 262144).alias("f")).collect()
+    assert [tuple(r.f) for r in got] == [(264, 197, True), (534, 400, False)]
+
+
+def test_fit_against_brute_force(spark):
+    random.seed(3)
+    rows = [
+        (random.randint(0, 20000), random.randint(0, 20000), random.randint(0, 9_000_000))
+        for _ in range(500)
+    ]
+
+    def expected(w, h, s):
+        factor = min(
+            [1.0]
+            + ([3750000.0 / s] if s > 3750000 else [])
+            + ([8000.0 / w] if w > 8000 else [])
+            + ([8000.0 / h] if h > 8000 else [])
+        )
+        nw, nh = int(w * factor), int(h * factor)
+        return nw, nh, (nw, nh) != (w, h)
+
+    got = fit(spark, rows, max_width=8000, max_height=8000, max_size=3750000)
+    assert got == [expected(*r) for r in rows]
+    assert fit(spark, rows) == [(w, h, False) for w, h, _ in rows]
