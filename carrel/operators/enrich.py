@@ -10,9 +10,11 @@ import posixpath
 import time
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from carrel import schemas
 from carrel.functions import images, names
@@ -55,6 +57,7 @@ def _with_calls(df, client_factory, call, wanted, result_type, retry):
         + [T.StructField("_result", result_type), T.StructField("_error", T.StringType())]
     )
     columns = df.columns
+    arrow_type = to_arrow_type(result_type)
 
     def outcome(client, row):
         try:
@@ -67,16 +70,20 @@ def _with_calls(df, client_factory, call, wanted, result_type, retry):
     def run(batches):
         client = client_factory()
         for batch in batches:
-            rows = batch.itertuples(index=False)
             pairs = [
-                outcome(client, row) if go else (None, None)
-                for row, go in zip(rows, batch["wanted_"])
+                outcome(client, row) if row["_wanted"] else (None, None)
+                for row in batch.to_pylist()
             ]
-            yield batch[columns].assign(
-                _result=[p[0] for p in pairs], _error=[p[1] for p in pairs]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *batch.select(columns).columns,
+                    pa.array([p[0] for p in pairs], arrow_type),
+                    pa.array([p[1] for p in pairs], pa.string()),
+                ],
+                names=schema.names,
             )
 
-    return df.withColumn("wanted_", wanted).mapInPandas(run, schema)
+    return df.withColumn("_wanted", wanted).mapInArrow(run, schema)
 
 
 def fetch_records(
@@ -114,12 +121,12 @@ def fetch_records(
                 "width": m.get("width") or 0,
                 "height": m.get("height") or 0,
             }
-            for m in client.metadata(row.record_id) or []
+            for m in client.metadata(row["record_id"]) or []
         ]
 
     def download(client, row):
-        size = (int(row.width), int(row.height)) if row.resize else (None, None)
-        path, written = client.download(row.record_id, int(row.file_index), *size)
+        size = (row["width"], row["height"]) if row["resize"] else (None, None)
+        path, written = client.download(row["record_id"], row["file_index"], *size)
         return {"path": str(path), "size": int(written)}
 
     ids = records.select(F.col(record_id).alias("record_id"))

@@ -7,11 +7,13 @@ Bytes are read in chunks, so the size of one file does not matter.
 """
 
 import hashlib
+import itertools
 import os
 import posixpath
 import uuid
 
 import pandas as pd
+import pyarrow as pa
 from pyarrow import fs as arrow_fs
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,35 +45,60 @@ def _relevant(folder, prefix):
     return folder.startswith(prefix) or prefix.startswith(folder + "/")
 
 
+def _scan_mount(folder):
+    """(name, kind, size, modified) of a mounted folder, one entry at a time."""
+    with os.scandir(folder) as entries:
+        for entry in entries:
+            if entry.is_dir():
+                # A linked folder is listed but not entered.
+                yield entry.name, "link" if entry.is_symlink() else "dir", None, None
+            elif entry.is_file():
+                stat = entry.stat()
+                yield entry.name, "file", stat.st_size, stat.st_mtime_ns // 1000
+            else:
+                yield entry.name, "other", None, None
+
+
+def _scan_store(filesystem, folder):
+    kinds = {arrow_fs.FileType.File: "file", arrow_fs.FileType.Directory: "dir"}
+    for info in filesystem.get_file_info(arrow_fs.FileSelector(folder)):
+        kind = kinds.get(info.type, "other")
+        if kind == "file":
+            yield info.base_name, kind, info.size, info.mtime_ns // 1000
+        else:
+            yield info.base_name, kind, None, None
+
+
 def _list_folders(root, prefix, missing_ok):
     """Task body: the direct children of each folder in the batch."""
 
+    def children(filesystem, base, folder):
+        at = posixpath.join(base, folder) if folder else base
+        if not folder and missing_ok:
+            if filesystem.get_file_info(at).type == arrow_fs.FileType.NotFound:
+                return
+        if isinstance(filesystem, arrow_fs.LocalFileSystem):
+            found = _scan_mount(at)
+        else:
+            found = _scan_store(filesystem, at)
+        for name, kind, size, modified in found:
+            path = posixpath.join(folder, name)
+            if _relevant(path, prefix) if kind in ("dir", "link") else path.startswith(prefix):
+                yield path, kind, size, modified
+
+    # Times in microseconds since the epoch.
+    types = [pa.string(), pa.string(), pa.int64(), pa.timestamp("us", tz="UTC")]
+
     def run(batches):
         filesystem, base = open_root(root)
-        local = isinstance(filesystem, arrow_fs.LocalFileSystem)
         for batch in batches:
-            for folder in batch["path"]:
-                rows = []
-                at = posixpath.join(base, folder) if folder else base
-                for info in filesystem.get_file_info(
-                    arrow_fs.FileSelector(at, allow_not_found=missing_ok)
-                ):
-                    path = posixpath.join(folder, info.base_name)
-                    if info.type == arrow_fs.FileType.File:
-                        if path.startswith(prefix):
-                            rows.append((path, "file", info.size, info.mtime))
-                    elif info.type == arrow_fs.FileType.Directory:
-                        # A linked directory is listed but not entered.
-                        linked = local and os.path.islink(info.path)
-                        if _relevant(path, prefix):
-                            rows.append((path, "link" if linked else "dir", None, None))
-                    else:
-                        rows.append((path, "other", None, None))
-                for start in range(0, len(rows), ROWS_PER_BATCH):
-                    yield pd.DataFrame(
-                        rows[start : start + ROWS_PER_BATCH],
-                        columns=["path", "kind", "size", "modified"],
-                    ).astype({"size": "Int64"})
+            for folder in batch.column("path").to_pylist():
+                rows = children(filesystem, base, folder)
+                while part := list(itertools.islice(rows, ROWS_PER_BATCH)):
+                    columns = [pa.array(c, t) for c, t in zip(zip(*part), types)]
+                    yield pa.RecordBatch.from_arrays(
+                        columns, names=["path", "kind", "size", "modified"]
+                    )
 
     return run
 
@@ -89,7 +116,7 @@ def walk(spark, root, prefix="", recursive=True, missing_ok=False):
     level, frontier = 0, spark.createDataFrame([("",)], "path string").repartition(1)
     while True:
         target = f"{folder}/level={level:04d}"
-        frontier.mapInPandas(_list_folders(root, prefix, missing_ok), LISTING).write.parquet(target)
+        frontier.mapInArrow(_list_folders(root, prefix, missing_ok), LISTING).write.parquet(target)
         listed = spark.read.schema(LISTING).parquet(target)
         folders = listed.where("kind = 'dir'").select("path")
         if not recursive or folders.isEmpty():

@@ -2,51 +2,53 @@
 
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Fixed value: id of the table that lists the downloads.
 DOWNLOAD_TABLE = "user-corpora-download-table"
 
-ROWS_PER_BATCH = 10_000
-
 _VOID = frozenset(
     "area base br col embed hr img input link meta source track wbr".split()
 )
 
 
 class _Rows(HTMLParser):
-    """Collects the cells of rows that are inside the wanted container."""
+    """Collects the cells of rows that are inside the wanted container.
+
+    Containers within it are text of the cell they are in.
+    """
 
-    def __init__(self, container, container_id, rows, cells):
+    def __init__(self, container, container_id, body, rows, cells):
         super().__init__(convert_charrefs=True)
-        self.container, self.container_id = container, container_id
+        self.container, self.container_id, self.body = container, container_id, body
         self.row_tag, self.cell_tags = rows, cells
-        self.open, self.inside = [], None
+        self.open, self.inside, self.nested = [], None, 0
         self.rows, self.row, self.cell = [], None, None
 
     def handle_starttag(self, tag, attributes):
-        attributes = dict(attributes)
         if self.inside is None:
-            wanted = self.container_id is None or attributes.get("id") == self.container_id
-            if tag == self.container and wanted:
+            if tag == self.container and self._is_wanted(attributes):
                 self.inside = len(self.open)
+        elif tag == self.container:
+            self.nested += 1
+        elif self.nested:
+            pass
         elif tag == self.row_tag:
             self._end_row()
-            if self._in_body():
+            if self.body is None or self.body in self.open[self.inside :]:
                 self.row = []
         elif self.row is not None and tag in self.cell_tags:
             self._end_cell()
-            self.cell = {"text": [], "href": attributes.get("href")}
-        elif self.cell is not None and tag == "a" and self.cell["href"] is None:
-            self.cell["href"] = attributes.get("href")
+            self.cell = {"text": [], "href": dict(attributes).get("href")}
+        elif tag == "a" and self.cell is not None and self.cell["href"] is None:
+            self.cell["href"] = dict(attributes).get("href")
         if tag not in _VOID:
             self.open.append(tag)
 
-    def _in_body(self):
-        """Rows of a table head or foot are not data."""
-        return not {"thead", "tfoot"} & set(self.open[self.inside :])
+    def _is_wanted(self, attributes):
+        return self.container_id is None or dict(attributes).get("id") == self.container_id
 
     def handle_data(self, data):
         if self.cell is not None:
@@ -58,13 +60,15 @@ class _Rows(HTMLParser):
         while self.open:
             closed = self.open.pop()
             if self.inside is not None:
-                if closed in self.cell_tags:
-                    self._end_cell()
-                if closed == self.row_tag:
-                    self._end_row()
                 if len(self.open) == self.inside:
                     self._end_row()
-                    self.inside = None
+                    self.inside, self.nested = None, 0
+                elif closed == self.container:
+                    self.nested -= 1
+                elif not self.nested and closed in self.cell_tags:
+                    self._end_cell()
+                elif not self.nested and closed == self.row_tag:
+                    self._end_row()
             if closed == tag:
                 break
 
@@ -91,44 +95,45 @@ def extract_html_rows(
     html="html",
     container="table",
     container_id=DOWNLOAD_TABLE,
+    body="tbody",
     row="tr",
     cells=("td", "th"),
     tasks=None,
 ):
     """One row per table row of each page: keys, row_no, cells (text, href).
 
+    Rows count within ``body`` only, or anywhere in the container if it is None.
     Pages are parsed where they are and nothing is shuffled, unless ``tasks``
     asks to spread an input of few file splits over more cores.
     """
-    fields = [pages.schema[k] for k in keys]
-    cell_type = T.ArrayType(
-        T.StructType([T.StructField("text", T.StringType()), T.StructField("href", T.StringType())])
-    )
-    schema = T.StructType(
-        fields + [T.StructField("row_no", T.LongType()), T.StructField("cells", cell_type)]
-    )
+    cell = T.StructType().add("text", T.StringType()).add("href", T.StringType())
+    schema = T.StructType([pages.schema[k] for k in keys])
+    schema = schema.add("row_no", T.LongType()).add("cells", T.ArrayType(cell))
     cells = frozenset(cells)
-
-    names = [*keys, "row_no", "cells"]
+    arrow_cells = pa.list_(pa.struct([("text", pa.string()), ("href", pa.string())]))
 
     def run(batches):
         for batch in batches:
-            found = []
-            for page, *key in zip(batch[html], *[batch[k] for k in keys]):
-                parser = _Rows(container, container_id, row, cells)
-                parser.feed(page or "")
+            # Position of the page in the batch, number in the page, cells.
+            at, numbers, found = [], [], []
+            for position, page in enumerate(batch.column(html).to_pylist()):
+                parser = _Rows(container, container_id, body, row, cells)
+                parser.feed(page)
                 parser.close()
-                found += [(*key, i, row_cells) for i, row_cells in enumerate(parser.rows)]
-                if len(found) >= ROWS_PER_BATCH:
-                    yield pd.DataFrame(found, columns=names)
-                    found = []
-            if found:
-                yield pd.DataFrame(found, columns=names)
-
-    wanted = pages.select(*keys, html)
+                at += [position] * len(parser.rows)
+                numbers += range(len(parser.rows))
+                found += parser.rows
+            taken = batch.select(keys).take(pa.array(at, pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [*taken.columns, pa.array(numbers, pa.int64()), pa.array(found, arrow_cells)],
+                names=[*keys, "row_no", "cells"],
+            )
+
+    # A page without such an element has no rows and need not reach Python.
+    wanted = pages.select(*keys, html).where(F.lower(html).contains(f"<{container}"))
     if tasks:
         wanted = wanted.repartition(tasks)
-    return wanted.mapInPandas(run, schema)
+    return wanted.mapInArrow(run, schema)
 
 
 def corpus_rows(rows, columns, link="download_link"):

@@ -159,8 +159,8 @@ def order_files_listed(spark, sf_dir):
 
 @query
 def marc21_records(spark, sf_dir):
-    records = marc21.read_marc21(spark, i.order_folder(spark, sf_dir))
-    routed = orders.with_provider(marc21.with_record_index(records))
+    records = marc21.read_marc21(spark, i.order_folder(spark, sf_dir), record_index=True)
+    routed = orders.with_provider(records)
     rec = F.col("record")
     return routed.select(
         names.url_basename(F.col("source_file")).alias("filename"),
@@ -202,7 +202,7 @@ def marc21_flat_outputs(spark, sf_dir):
     folder = i.mounted(spark, "flat")
     plain = root[len("file:"):] if root.startswith("file:") else root
     marc21.export_flat(spark, f"{plain}/outputs", folder)
-    records = marc21.with_record_index(marc21.read_marc21(spark, folder))
+    records = marc21.read_marc21(spark, folder, record_index=True)
     return records.select(
         names.url_basename(F.col("source_file")).alias("output_name"),
         F.col("record_index").alias("position"),
@@ -710,7 +710,7 @@ def html_rows(spark, sf_dir):
     """Items of the navigation list of each page."""
     rows = html.extract_html_rows(
         t(spark, sf_dir, "pages"), ["page_id"],
-        container="nav", container_id=None, row="li", cells=("a",),
+        container="nav", container_id=None, body=None, row="li", cells=("a",),
     )
     cell = F.get("cells", F.lit(0))
     return rows.select("page_id", "row_no", cell["text"].alias("text"), cell["href"].alias("href"))

@@ -63,7 +63,7 @@ def test_empty_source_is_an_error(spark, tmp_path):
 
 
 def test_missing_root_is_an_error(spark, tmp_path):
-    with pytest.raises(Exception, match="Cannot list directory"):
+    with pytest.raises(Exception, match="No such file or directory"):
         files.walk(spark, str(tmp_path / "none")).count()
 
 

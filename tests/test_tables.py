@@ -129,7 +129,7 @@ PAGE = """<html><body>
 <tbody>
 <tr><td>LDC1<td> f &amp; <b>1</b>.tgz <td>2020-01-02</td><td><a href="/d/1?a=1&amp;b=2">get</a><td>abc</tr>
 <tr><td>LDC1</td><td>f &amp; 1.tgz</td><td>2021-01-02</td><td><a href="/d/2">get</a></td><td>def</td></tr>
-<tr><td>LDC2</td><td>g.pdf</td><td>2019-01-01</td><td></td><td>ghi</td></tr>
+<tr><td>LDC2</td><td>g<table><tbody><tr><td>.pdf</td></tr></tbody></table></td><td>2019-01-01</td><td></td><td>ghi</td></tr>
 <tr></tr>
 </tbody></table><p>after<table><tr><td>also no</td></tr></table></body></html>"""
 
@@ -153,7 +153,7 @@ def test_download_table(spark):
 
 def test_rows_of_a_list(spark):
     pages = spark.createDataFrame([("<nav><ul><li><a href='/x'>X</a><li><a>Y</a></ul></nav><li><a>Z",)], "html string")
-    rows = html.extract_html_rows(pages, [], container="nav", container_id=None, row="li", cells=("a",))
+    rows = html.extract_html_rows(pages, [], container="nav", container_id=None, body=None, row="li", cells=("a",))
     assert [[tuple(c) for c in r.cells] for r in rows.collect()] == [[("X", "/x")], [("Y", None)]]
 
 
