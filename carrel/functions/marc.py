@@ -9,6 +9,7 @@ ORDER_PROVIDERS = (
     "KOR", "PQE", "SAG", "TAF", "UPS", "WIL", "WSC", "ZZZ",
 )
 FALLBACK_PROVIDER = "ZZZ"
+PROVIDER_TAG = "961"
 
 
 def data_fields(record, tag, ind1=None, ind2=None):
@@ -75,6 +76,6 @@ def route_code(record, allowed=ORDER_PROVIDERS, width=3, fallback=FALLBACK_PROVI
 
     A later 961 is never looked at, even if the first one has no $d.
     """
-    first_961 = F.get(data_fields(record, "961"), F.lit(0))
+    first_961 = F.get(data_fields(record, PROVIDER_TAG), F.lit(0))
     code = F.substring(F.get(values_of(first_961, "d"), F.lit(0)), 1, width)
     return F.when(code.isin(*allowed), code).otherwise(F.lit(fallback))

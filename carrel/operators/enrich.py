@@ -131,7 +131,7 @@ def fetch_records(
 
     ids = records.select(F.col(record_id).alias("record_id"))
     if max_parallel:
-        ids = ids.repartition(max_parallel)
+        ids = ids.repartition(max_parallel, "record_id")
     looked_up = _with_calls(ids, client_factory, metadata, F.lit(True), metadata_type, retry)
     if all_files:
         position = F.explode_outer(
@@ -261,7 +261,7 @@ def describe(
         sized = sized.withColumn("image_", F.lit(None).cast("string"))
     sized = sized.select(*kept, "mime_", "image_")
     if max_parallel:
-        sized = sized.repartition(max_parallel)
+        sized = sized.repartition(max_parallel, "image_path")
 
     def run(batches):
         model = model_factory()

@@ -1,6 +1,7 @@
 """Catalog enrichment: records to routed, fetched, described and summed up."""
 
-from dataclasses import dataclass
+import json
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import functions as F
 
@@ -78,6 +79,7 @@ def run(records, client_factory, model_factory, settings, root, run_id, timestam
     Stage tables go below ``root`` by run; with ``timestamp`` they are also
     exported as CSV under their final names.
     """
+    spark = records.sparkSession
     routed = route(records, settings)
     skipped = routing.skipped(routed).drop("at")
     fetched = stage(fetch(routed, client_factory, settings), "fetched")
@@ -87,6 +89,8 @@ def run(records, client_factory, model_factory, settings, root, run_id, timestam
         "fetched": (fetched, schemas.FETCHED_HEADINGS),
         "skipped": (skipped, schemas.SKIPPED_HEADINGS),
     }
+    params = spark.createDataFrame([(json.dumps(asdict(settings)),)], "params string")
+    publish(params, root, "params", run_id)
     for name, (table, headings) in tables.items():
         publish(table, root, name, run_id)
         if timestamp:

@@ -1,6 +1,7 @@
 """Rows and cells of an HTML table, or of another repeated element."""
 
-from html.parser import HTMLParser
+import re
+from html import unescape
 
 import pyarrow as pa
 from pyspark.sql import functions as F
@@ -9,27 +10,62 @@ from pyspark.sql import types as T
 # Fixed value: id of the table that lists the downloads.
 DOWNLOAD_TABLE = "user-corpora-download-table"
 
-_VOID = frozenset(
-    "area base br col embed hr img input link meta source track wbr".split()
+# Markup as far as rows need it: comments and raw text are passed over, and a
+# quoted attribute value may hold '>'.
+_MARKUP = re.compile(
+    r"<!--.*?(?:-->|\Z)"
+    r"|<(?P<raw>script|style)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)"
+    r"(?P<rest>(?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)>"
+    r"|<[!?][^>]*>",
+    re.S | re.I,
 )
+_ATTRIBUTE = re.compile(r"""([^\s=/]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|(\S+))""")
+_VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 
 
-class _Rows(HTMLParser):
+def _attribute(name, rest):
+    for found in _ATTRIBUTE.finditer(rest):
+        if found[1].lower() == name:
+            return unescape(found[found.lastindex])
+    return None
+
+
+class _Rows:
     """Collects the cells of rows that are inside the wanted container.
 
     Containers within it are text of the cell they are in.
     """
 
     def __init__(self, container, container_id, body, rows, cells):
-        super().__init__(convert_charrefs=True)
         self.container, self.container_id, self.body = container, container_id, body
         self.row_tag, self.cell_tags = rows, cells
         self.open, self.inside, self.nested = [], None, 0
         self.rows, self.row, self.cell = [], None, None
 
-    def handle_starttag(self, tag, attributes):
+    def read(self, page):
+        done = 0
+        for part in _MARKUP.finditer(page):
+            if self.cell is not None:
+                self.cell["text"].append(page[done : part.start()])
+            done = part.end()
+            tag = part["tag"]
+            if tag is None:
+                continue
+            if part["end"]:
+                self._end(tag.lower())
+            else:
+                self._start(tag.lower(), part["rest"])
+        if self.cell is not None:
+            self.cell["text"].append(page[done:])
+        self._end_row()
+        return self.rows
+
+    def _start(self, tag, rest):
         if self.inside is None:
-            if tag == self.container and self._is_wanted(attributes):
+            if tag == self.container and (
+                self.container_id is None or _attribute("id", rest) == self.container_id
+            ):
                 self.inside = len(self.open)
         elif tag == self.container:
             self.nested += 1
@@ -41,40 +77,35 @@ class _Rows(HTMLParser):
                 self.row = []
         elif self.row is not None and tag in self.cell_tags:
             self._end_cell()
-            self.cell = {"text": [], "href": dict(attributes).get("href")}
+            self.cell = {"text": [], "href": _attribute("href", rest)}
         elif tag == "a" and self.cell is not None and self.cell["href"] is None:
-            self.cell["href"] = dict(attributes).get("href")
-        if tag not in _VOID:
+            self.cell["href"] = _attribute("href", rest)
+        if tag not in _VOID and not rest.endswith("/"):
             self.open.append(tag)
 
-    def _is_wanted(self, attributes):
-        return self.container_id is None or dict(attributes).get("id") == self.container_id
-
-    def handle_data(self, data):
-        if self.cell is not None:
-            self.cell["text"].append(data)
-
-    def handle_endtag(self, tag):
+    def _end(self, tag):
+        """Ends the tag, and whatever is open within it."""
         if tag not in self.open:
             return
-        while self.open:
+        closed = None
+        while closed != tag:
             closed = self.open.pop()
-            if self.inside is not None:
-                if len(self.open) == self.inside:
-                    self._end_row()
-                    self.inside, self.nested = None, 0
-                elif closed == self.container:
-                    self.nested -= 1
-                elif not self.nested and closed in self.cell_tags:
-                    self._end_cell()
-                elif not self.nested and closed == self.row_tag:
-                    self._end_row()
-            if closed == tag:
-                break
+            if self.inside is None:
+                continue
+            if len(self.open) == self.inside:
+                self._end_row()
+                self.inside, self.nested = None, 0
+            elif closed == self.container:
+                self.nested -= 1
+            elif not self.nested and closed in self.cell_tags:
+                self._end_cell()
+            elif not self.nested and closed == self.row_tag:
+                self._end_row()
 
     def _end_cell(self):
         if self.cell is not None and self.row is not None:
-            self.row.append({"text": "".join(self.cell["text"]).strip(), "href": self.cell["href"]})
+            text = unescape("".join(self.cell["text"])).strip()
+            self.row.append({"text": text, "href": self.cell["href"]})
         self.cell = None
 
     def _end_row(self):
@@ -83,11 +114,6 @@ class _Rows(HTMLParser):
             self.rows.append(self.row)
         self.row = None
 
-    def close(self):
-        super().close()
-        if self.inside is not None:
-            self._end_row()
-
 
 def extract_html_rows(
     pages,
@@ -117,12 +143,10 @@ def extract_html_rows(
             # Position of the page in the batch, number in the page, cells.
             at, numbers, found = [], [], []
             for position, page in enumerate(batch.column(html).to_pylist()):
-                parser = _Rows(container, container_id, body, row, cells)
-                parser.feed(page)
-                parser.close()
-                at += [position] * len(parser.rows)
-                numbers += range(len(parser.rows))
-                found += parser.rows
+                rows = _Rows(container, container_id, body, row, cells).read(page)
+                at += [position] * len(rows)
+                numbers += range(len(rows))
+                found += rows
             taken = batch.select(keys).take(pa.array(at, pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [*taken.columns, pa.array(numbers, pa.int64()), pa.array(found, arrow_cells)],
@@ -132,7 +156,7 @@ def extract_html_rows(
     # A page without such an element has no rows and need not reach Python.
     wanted = pages.select(*keys, html).where(F.lower(html).contains(f"<{container}"))
     if tasks:
-        wanted = wanted.repartition(tasks)
+        wanted = wanted.repartition(tasks, *keys)
     return wanted.mapInArrow(run, schema)
 
 

@@ -177,7 +177,9 @@ def _routed_orders(spark, sf_dir):
 
     def make():
         root = new_folder(spark, "orders")
-        records = marc21.read_marc21(spark, i.order_folder(spark, sf_dir))
+        records = marc21.read_marc21(
+            spark, i.order_folder(spark, sf_dir), tags=[marc.PROVIDER_TAG]
+        )
         existing = i.existing_outputs(t(spark, sf_dir, "orders"))
         order_plan.route_orders(records, root, i.YEAR, "first", "/archive", existing)
         return root
