@@ -76,6 +76,8 @@ def describe(fetched, model_factory, settings, **options):
 def run(records, client_factory, model_factory, settings, root, run_id, timestamp=None):
     """The whole job; returns one summary row per stage.
 
+    ``records`` come from ``read_checked``, so that a faulty collection fails
+    before anything is fetched.
     Stage tables go below ``root`` by run; with ``timestamp`` they are also
     exported as CSV under their final names.
     """

@@ -6,35 +6,72 @@ from carrel.functions import marc, marcxml
 from carrel.operators.once import compute_once
 
 
-def read_marcxml(spark, path, row_tag="record"):
+def _cut(spark, path, row_tag):
+    """Pieces between the end tags, with the text from a record's start on."""
+    start = F.regexp_extract("value", rf"(?s)(<{row_tag}[\s>].*)\z", 1)
+    return (
+        spark.read.option("lineSep", f"</{row_tag}>")
+        .text(path)
+        .select(
+            F.col("_metadata.file_path").alias("source_file"),
+            F.col("_metadata.file_block_start").alias("block_start"),
+            F.col("_metadata.file_size").alias("file_size"),
+            F.octet_length("value").alias("bytes"),
+            start.alias("_start"),
+        )
+    )
+
+
+def read_marcxml(spark, path, row_tag="record", strict=False):
     """Columns source_file, block_start, seq, record and parse_error.
 
     The file is cut at the end tag of a record, so that one large collection
     is read by many tasks. A record that is not well-formed has a null
-    ``record`` and its text as ``parse_error``. (source_file, block_start, seq)
-    sorts the records as they are in the file.
+    ``record`` and its text as ``parse_error``; with ``strict`` it fails the
+    job. (source_file, block_start, seq) sorts the records as they are in the
+    file.
     """
-    end_tag = f"</{row_tag}>"
     pieces = (
-        spark.read.option("lineSep", end_tag)
-        .text(path)
-        .select(
-            F.col("_metadata.file_path").alias("source_file"),
-            F.col("_metadata.file_block_start").alias("block_start"),
-            F.monotonically_increasing_id().alias("seq"),
-            F.regexp_extract("value", rf"(?s)(<{row_tag}[\s>].*)\z", 1).alias("_start"),
-        )
+        _cut(spark, path, row_tag)
+        .drop("file_size", "bytes")
+        .withColumn("seq", F.monotonically_increasing_id())
         .where(F.col("_start") != "")
     )
     parsed = pieces.withColumn(
-        "_xml", marcxml.from_text(F.concat(F.col("_start"), F.lit(end_tag)))
+        "_xml", marcxml.from_text(F.concat(F.col("_start"), F.lit(f"</{row_tag}>")))
     )
     broken = F.col("_xml").isNull() | F.col("_xml._corrupt_record").isNotNull()
-    return compute_once(
-        parsed,
-        record=F.when(~broken, marcxml.record_of(F.col("_xml"))),
-        parse_error=F.when(broken, F.concat(F.lit("not well-formed: "), F.col("_start"))),
-    ).drop("_start", "_xml")
+    fault = F.when(broken, F.concat(F.lit("not well-formed: "), F.col("_start")))
+    record = F.when(~broken, marcxml.record_of(F.col("_xml")))
+    if strict:
+        # In the record itself, as a column that is not read is not evaluated.
+        record = record.otherwise(F.raise_error(fault))
+    return compute_once(parsed, record=record, parse_error=fault).drop("_start", "_xml")
+
+
+def truncated_files(spark, path, row_tag="record"):
+    """Files that end within a record, which reading by end tags cannot tell.
+
+    Only the last piece of a file may lack an end tag, and then it must not
+    hold the start of a record.
+    """
+    pieces = _cut(spark, path, row_tag)
+    end = len(f"</{row_tag}>")
+    files = pieces.groupBy("source_file").agg(
+        F.sum(F.col("bytes") + end).alias("bytes"),
+        F.max("file_size").alias("file_size"),
+        F.count_if(F.col("_start") == "").alias("without_record"),
+    )
+    open_end = (F.col("bytes") != F.col("file_size")) & (F.col("without_record") == 0)
+    return files.where(open_end).select("source_file")
+
+
+def read_checked(spark, path, row_tag="record"):
+    """``read_marcxml`` that fails on any fault, a file cut short included."""
+    cut_short = truncated_files(spark, path, row_tag).head(1)
+    if cut_short:
+        raise ValueError(f"file ends within a record: {cut_short[0][0]}")
+    return read_marcxml(spark, path, row_tag, strict=True)
 
 
 def explode_subfield(records, tag, ind1, ind2, code, record="record"):

@@ -604,7 +604,8 @@ def enrichment_run(spark, sf_dir):
         run_date="2026-02-03",
     )
     root = new_folder(spark, "run")
-    routed = enrichment.route(_records(spark, sf_dir), settings)
+    records = marcxml.read_checked(spark, i.collection_folder(spark, sf_dir))
+    routed = enrichment.route(records, settings)
     got = enrichment.fetch(routed, i.ImageService, settings, first_delay=0.0)
     tables.publish(got, root, "fetched", "run-1")
     tables.write_stage(got, f"{root}/fetched.csv", schemas.FETCHED_HEADINGS)

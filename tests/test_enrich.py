@@ -10,7 +10,7 @@ from carrel import schemas
 from carrel.functions import images
 from carrel.operators import enrich, summary
 from carrel.plans import enrichment
-from carrel.sources.marcxml import read_marcxml
+from carrel.sources.marcxml import read_checked
 from carrel.sources.tables import read_run, read_stage
 from tests.helpers import collection, xml_record
 
@@ -198,7 +198,7 @@ def test_whole_run(spark, tmp_path):
         prompt="P:", prompt_version="3", model_id="m", model_label="M", run_date="2026-02-03",
     )
     done = enrichment.run(
-        read_marcxml(spark, str(tmp_path / "c.xml")), client, Model, settings,
+        read_checked(spark, str(tmp_path / "c.xml")), client, Model, settings,
         str(tmp_path / "run"), "r1", datetime.datetime(2026, 2, 3, 4, 5, 6),
     )
     assert {r.stage: (r.total, r.successes, r.failures) for r in done.collect()} == {

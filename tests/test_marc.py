@@ -5,7 +5,7 @@ from carrel import schemas
 from carrel.functions import marc, marcxml
 from carrel.operators import routing
 from carrel.plans.reconciliation import catalog_file_names
-from carrel.sources.marcxml import explode_subfield, read_marcxml
+from carrel.sources.marcxml import explode_subfield, read_checked, read_marcxml, truncated_files
 from carrel.sources.tables import read_stage, write_stage
 from tests.helpers import collection, xml_record
 
@@ -122,6 +122,25 @@ def test_broken_record_is_reported(spark, tmp_path):
     assert sum(r.record is not None for r in rows) == 2
 
 
+def test_checked_reading_fails_on_any_fault(spark, tmp_path):
+    records(spark, tmp_path, xml_record(1), '<record><datafield tag="1</record>')
+    with pytest.raises(Exception, match="not well-formed"):
+        read_checked(spark, str(tmp_path)).select("record").collect()
+
+
+@pytest.mark.parametrize("ending", ["", "</collection>", "\n</collection>\n"])
+def test_file_that_ends_within_a_record(spark, tmp_path, small_splits, ending):
+    whole = "<collection>" + "".join(xml_record(i) for i in range(30))
+    (tmp_path / "good.xml").write_text(whole + ending)
+    assert truncated_files(spark, str(tmp_path)).count() == 0
+    assert read_checked(spark, str(tmp_path)).count() == 30
+    (tmp_path / "cut.xml").write_text(whole[: -len("</record>")] + ending)
+    (bad,) = truncated_files(spark, str(tmp_path)).collect()
+    assert bad.source_file.endswith("/cut.xml")
+    with pytest.raises(ValueError, match="ends within a record"):
+        read_checked(spark, str(tmp_path))
+
+
 def test_prefixed_elements(spark, tmp_path):
     (tmp_path / "p.xml").write_text(
         '<marc:collection xmlns:marc="http://www.loc.gov/MARC21/slim"><marc:record>'
