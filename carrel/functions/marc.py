@@ -9,7 +9,7 @@ ORDER_PROVIDERS = (
     "KOR", "PQE", "SAG", "TAF", "UPS", "WIL", "WSC", "ZZZ",
 )
 FALLBACK_PROVIDER = "ZZZ"
-PROVIDER_TAG = "961"
+PROVIDER_FIELD = ("961", "d")
 
 
 def data_fields(record, tag, ind1=None, ind2=None):
@@ -71,11 +71,17 @@ def is_single_image(record):
     return (F.size(link_urls(record)) == 1) & (subfield_first(record, "336", "a") == "Image")
 
 
-def route_code(record, allowed=ORDER_PROVIDERS, width=3, fallback=FALLBACK_PROVIDER):
+def provider_code(value, allowed=ORDER_PROVIDERS, width=3, fallback=FALLBACK_PROVIDER):
+    """First characters of the value if they are an allowed code, else the fallback."""
+    code = F.substring(value, 1, width)
+    return F.when(code.isin(*allowed), code).otherwise(F.lit(fallback))
+
+
+def route_code(record, **rule):
     """Provider code from the first $d of the *first* 961, or the fallback.
 
     A later 961 is never looked at, even if the first one has no $d.
     """
-    first_961 = F.get(data_fields(record, PROVIDER_TAG), F.lit(0))
-    code = F.substring(F.get(values_of(first_961, "d"), F.lit(0)), 1, width)
-    return F.when(code.isin(*allowed), code).otherwise(F.lit(fallback))
+    tag, code = PROVIDER_FIELD
+    first = F.get(data_fields(record, tag), F.lit(0))
+    return provider_code(F.get(values_of(first, code), F.lit(0)), **rule)

@@ -177,11 +177,9 @@ def _routed_orders(spark, sf_dir):
 
     def make():
         root = new_folder(spark, "orders")
-        records = marc21.read_marc21(
-            spark, i.order_folder(spark, sf_dir), tags=[marc.PROVIDER_TAG]
-        )
+        pieces = marc21.read_pieces(spark, i.order_folder(spark, sf_dir))
         existing = i.existing_outputs(t(spark, sf_dir, "orders"))
-        order_plan.route_orders(records, root, i.YEAR, "first", "/archive", existing)
+        order_plan.route_orders(pieces, root, i.YEAR, "first", "/archive", existing)
         return root
 
     return i.once(spark, sf_dir, "routed-orders", make)
