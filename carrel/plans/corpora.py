@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from carrel.functions import names
 from carrel.operators.corpora import filter_corpora
 from carrel.operators.manifest import check_declared
+from carrel.session import stage
 from carrel.sources.html import corpus_rows, extract_html_rows
 
 
@@ -12,11 +13,12 @@ def read_catalog(pages, keys, columns, date_format="yyyy-MM-dd", html="html", ta
     """Catalog rows of saved pages; ``columns`` maps column name to cell position.
 
     ``columns`` names at least corpus_id, file, invoice_date and checksum. The
-    pages are parsed again by every action: write the rows before using them
-    twice.
+    rows are written once, because parsing is dear and they are used several
+    times.
     """
     rows = corpus_rows(extract_html_rows(pages, keys, html=html, tasks=tasks), columns)
-    return rows.withColumn("invoice_date", F.try_to_date("invoice_date", date_format))
+    rows = rows.withColumn("invoice_date", F.try_to_date("invoice_date", date_format))
+    return stage(rows, "corpora")
 
 
 def available(corpora, corpus_id, file_pattern=None):

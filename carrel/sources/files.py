@@ -203,10 +203,15 @@ def _publish_bytes(filesystem, target, chunks):
     folder, name = posixpath.split(target)
     filesystem.create_dir(folder, recursive=True)
     staged = posixpath.join(folder, f".{name}.{uuid.uuid4().hex}.part")
-    with filesystem.open_output_stream(staged) as out:
-        for chunk in chunks:
-            out.write(chunk)
-    filesystem.move(staged, target)
+    try:
+        with filesystem.open_output_stream(staged) as out:
+            for chunk in chunks:
+                out.write(chunk)
+        filesystem.move(staged, target)
+    except BaseException:
+        if filesystem.get_file_info(staged).is_file:
+            filesystem.delete_file(staged)
+        raise
 
 
 def copy_files(plan, source_root, target_root):

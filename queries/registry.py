@@ -720,8 +720,7 @@ def html_rows(spark, sf_dir):
 @query
 def corpus_latest(spark, sf_dir):
     """The latest archives of every corpus."""
-    catalog = stage(_corpora(spark, sf_dir), "corpora")
-    wanted = corpora.filter_corpora(catalog, file_pattern=r"\.tgz$")
+    wanted = corpora.filter_corpora(_corpora(spark, sf_dir), file_pattern=r"\.tgz$")
     return wanted.select("corpus_id", "file", "download_link")
 
 

@@ -133,6 +133,16 @@ def test_copy_resumes_where_it_stopped(spark, tmp_path):
     assert {p.name for p in (dst / "d").iterdir()} == {"a.bin", "b.bin", "c.bin"}
 
 
+def test_failed_copy_leaves_nothing_behind(spark, tmp_path):
+    put(tmp_path / "src", "a", b"1")
+    put(tmp_path / "src", "b/c", b"2")
+    manifest = manifest_of(spark, tmp_path / "src")
+    put(tmp_path / "dst", "b", b"a file where a folder is needed")
+    with pytest.raises(OSError, match="b/c"):
+        transfer.transfer(spark, manifest, str(tmp_path / "src"), str(tmp_path / "dst"))
+    assert {p.name for p in (tmp_path / "dst").iterdir()} == {"a", "b"}
+
+
 def test_names_by_extension(spark, tmp_path):
     for path in ("a.jpg", "b.JPG", ".c.jpg", "_d.jpg", "plain", "sub/e.jpg"):
         put(tmp_path, path)
