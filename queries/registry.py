@@ -188,8 +188,7 @@ def _routed_orders(spark, sf_dir):
 @query
 def marc21_route(spark, sf_dir):
     root = _routed_orders(spark, sf_dir)
-    published = marc21.read_outputs(spark, f"{root}/outputs")
-    return published.select(
+    return order_plan.published_records(spark, root).select(
         "output_name", marc.control_field(F.col("record"), "001").alias("record_id"),
         F.octet_length("raw").cast("bigint").alias("bytes"),
     )
@@ -201,7 +200,7 @@ def marc21_flat_outputs(spark, sf_dir):
     root = _routed_orders(spark, sf_dir)
     folder = i.mounted(spark, "flat")
     plain = root[len("file:"):] if root.startswith("file:") else root
-    marc21.export_flat(spark, f"{plain}/outputs", folder)
+    order_plan.export_outputs(spark, plain, folder)
     records = marc21.read_marc21(spark, folder, record_index=True)
     return records.select(
         names.url_basename(F.col("source_file")).alias("output_name"),

@@ -4,7 +4,6 @@ import functools
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from carrel import schemas
 from carrel.functions import images

@@ -221,6 +221,6 @@ def test_download_name(spark, header, name):
 
 
 def test_volume_prefix(spark):
-    df = spark.createDataFrame([("/SRV/lpsdata4/x",), ("/srv/da",)], "p string")
-    rows = df.select(paths.under_volume(F.col("p"), "/srv/lpsdata")).collect()
+    df = spark.createDataFrame([("/SRV/archive4/x",), ("/srv/da",)], "p string")
+    rows = df.select(paths.under_volume(F.col("p"), "/srv/archive")).collect()
     assert [r[0] for r in rows] == [True, False]

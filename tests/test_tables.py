@@ -127,9 +127,9 @@ PAGE = """<html><body>
 <table id="other"><tbody><tr><td>no</td></tr></tbody></table>
 <table id="user-corpora-download-table"><thead><tr><th>Corpus<th>File</tr></thead>
 <tbody>
-<tr><td>LDC1<td> f &amp; <b>1</b>.tgz <td>2020-01-02</td><td><a href="/d/1?a=1&amp;b=2">get</a><td>abc</tr>
-<tr><td>LDC1</td><td>f &amp; 1.tgz</td><td>2021-01-02</td><td><a href="/d/2">get</a></td><td>def</td></tr>
-<tr><td>LDC2</td><td>g<table><tbody><tr><td>.pdf</td></tr></tbody></table></td><td>2019-01-01</td><td></td><td>ghi</td></tr>
+<tr><td>CORP1<td> f &amp; <b>1</b>.tgz <td>2020-01-02</td><td><a href="/d/1?a=1&amp;b=2">get</a><td>abc</tr>
+<tr><td>CORP1</td><td>f &amp; 1.tgz</td><td>2021-01-02</td><td><a href="/d/2">get</a></td><td>def</td></tr>
+<tr><td>CORP2</td><td>g<table><tbody><tr><td>.pdf</td></tr></tbody></table></td><td>2019-01-01</td><td></td><td>ghi</td></tr>
 <tr></tr>
 </tbody></table><p>after<table><tr><td>also no</td></tr></table></body></html>"""
 
@@ -140,13 +140,13 @@ def test_download_table(spark):
     pages = spark.createDataFrame([(1, PAGE), (2, "<p>none"), (3, None)], "page int, html string")
     rows = read_catalog(pages, ["page"], CELLS).orderBy("row_no").collect()
     assert [(r.page, r.row_no, r.corpus_id, r.file, str(r.invoice_date), r.checksum, r.download_link) for r in rows] == [
-        (1, 0, "LDC1", "f & 1.tgz", "2020-01-02", "abc", "/d/1?a=1&b=2"),
-        (1, 1, "LDC1", "f & 1.tgz", "2021-01-02", "def", "/d/2"),
-        (1, 2, "LDC2", "g.pdf", "2019-01-01", "ghi", None),
+        (1, 0, "CORP1", "f & 1.tgz", "2020-01-02", "abc", "/d/1?a=1&b=2"),
+        (1, 1, "CORP1", "f & 1.tgz", "2021-01-02", "def", "/d/2"),
+        (1, 2, "CORP2", "g.pdf", "2019-01-01", "ghi", None),
     ]
     catalog = read_catalog(pages, ["page"], CELLS)
-    assert [r.download_link for r in available(catalog, "LDC1").collect()] == ["/d/2"]
-    assert available(catalog, "LDC1", r"\.pdf$").count() == 0
+    assert [r.download_link for r in available(catalog, "CORP1").collect()] == ["/d/2"]
+    assert available(catalog, "CORP1", r"\.pdf$").count() == 0
     assert available(catalog, "none").count() == 0
     assert corpora.filter_corpora(catalog).count() == 2
 
