@@ -1,0 +1,100 @@
+import heapq
+import re
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from carrel.llm import mixing
+
+
+def brute_targets(sizes, ratio=1.5, cap=2.0):
+    names = sorted((s for s in sizes if s is not None)) + [s for s in sizes if s is None]
+    weight = {s: (3, 1, 2)[i % 3] for i, s in enumerate(names)}
+    left, open_, target = ratio * sum(sizes.values()), set(names), {}
+    while open_:
+        total = sum(weight[s] for s in open_)
+        over = [s for s in open_ if left * weight[s] / total >= cap * sizes[s]]
+        if not over:
+            target.update({s: left * weight[s] / total for s in open_})
+            break
+        for s in over:
+            target[s] = cap * sizes[s]
+        left -= sum(target[s] for s in over)
+        open_ -= set(over)
+    return target
+
+
+def brute_seats(votes, seats):
+    heap = [(-v, i, 0) for i, v in enumerate(votes) if v > 0]
+    heapq.heapify(heap)
+    got = [0] * len(votes)
+    for _ in range(seats if heap else 0):
+        _, i, n = heapq.heappop(heap)
+        got[i] += 1
+        heapq.heappush(heap, (-votes[i] / (2 * n + 3), i, n + 1))
+    return got
+
+
+def check_mix(rows, texts):
+    sizes = defaultdict(int)
+    for _, text, source in texts:
+        sizes[source] += len(re.findall(r"[^\x20\x09-\x0D]+", text or ""))
+    target = brute_targets(dict(sizes))
+    taken = defaultdict(int)
+    for r in rows:
+        assert r.target == pytest.approx(target[r.source])
+        assert r.source_size == sizes[r.source]
+        assert 0 <= r.taken <= 2 * r.size
+        taken[r.source] += r.taken
+    for source, aim in target.items():
+        assert abs(taken[source] - aim) <= 16 + 0.01 * aim, source
+
+
+def test_odd_documents(odd_docs, odd_rows, clashing):
+    rows = mixing.mix(clashing(odd_docs), shard_words=10**9).collect()
+    assert len(rows) == len(odd_rows)
+    check_mix(rows, [(r[0], r[1], r[3]) for r in odd_rows])
+
+
+def test_shards_reruns_and_targets(spark, docs_dir):
+    docs = spark.read.parquet(f"{docs_dir}/documents.parquet")
+    rows = mixing.mix(docs, shard_words=20_000, block=4).collect()
+    again = mixing.mix(docs.repartition(5), shard_words=20_000, block=4).collect()
+    assert sorted(rows) == sorted(again)
+    check_mix(rows, [(r.doc_id, r.text, r.source) for r in docs.collect()])
+    other = mixing.mix(docs, shard_words=20_000, block=4, seed=8).collect()
+    assert sorted(rows) != sorted(other)
+
+
+def test_empty(no_docs):
+    assert mixing.mix(no_docs).count() == 0
+
+
+@pytest.mark.parametrize(
+    "votes, seats",
+    [([53.0, 24.0, 23.0], 10), ([5.0, 5.0, 5.0], 4), ([0.0, 1.0], 3), ([1000.0, 1.0, 1.0, 1.0], 9), ([0.0], 5), ([7.5, 2.5], 0)],
+)
+def test_seats_by_highest_quotient(spark, votes, seats):
+    frame = spark.createDataFrame([(f"s{i:02}", v, seats) for i, v in enumerate(votes)], "source string, votes double, seats long")
+    got = {r.source: r.quota for r in mixing.apportion(frame, "seats").collect()}
+    assert [got[f"s{i:02}"] for i in range(len(votes))] == brute_seats(votes, seats)
+
+
+def test_seats_in_groups(spark):
+    import random
+
+    draw = random.Random(3)
+    rows = [(g, f"s{i:02}", round(draw.random() ** 3 * 1000, 1), 10 + 40 * g) for g in range(4) for i in range(3 + 5 * g)]
+    frame = spark.createDataFrame(rows, "g long, source string, votes double, seats long")
+    got = {(r.g, r.source): r.quota for r in mixing.apportion(frame, "seats", ("g",)).collect()}
+    for g in range(4):
+        own = [r for r in rows if r[0] == g]
+        assert [got[g, r[1]] for r in own] == brute_seats([r[2] for r in own], 10 + 40 * g)
+
+
+def test_apply_keeps_columns(odd_docs, clashing):
+    docs = clashing(odd_docs)
+    out = mixing.apply_mix(docs)
+    assert out.columns == docs.columns
+    assert out.where(F.col("text").isNull() | (F.col("text") == "")).count() == 0

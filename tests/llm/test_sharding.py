@@ -1,0 +1,69 @@
+import random
+import zlib
+from collections import Counter, defaultdict
+from hashlib import sha256
+
+import pytest
+
+from carrel.llm import sharding
+
+
+def brute_capacity(sizes, shards):
+    def parts(capacity):
+        count, left = 1, capacity
+        for s in sizes:
+            if s > left:
+                count, left = count + 1, capacity
+            left -= s
+        return count
+
+    capacity = max([*sizes, 0])
+    while sizes and parts(capacity) > shards:
+        capacity += 1
+    return capacity
+
+
+def check(rows, texts, shards):
+    size = lambda t: len((t or "").encode()) + 1
+    assert Counter((r.doc_id, r["size"], r.text_crc32) for r in rows) == Counter(
+        (i, size(t), zlib.crc32((t or "").encode())) for i, t in texts
+    )
+    slots, load, home = defaultdict(list), Counter(), defaultdict(set)
+    for r in rows:
+        assert r.law == "bytes" and r.grown_shard is None and 0 <= r.shard < shards
+        slots[r.shard].append(r.slot)
+        load[r.shard] += r["size"]
+        home[r.text_crc32].add(r.shard)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert all(len(s) == 1 for s in home.values())
+    groups = Counter()
+    for _, t in texts:
+        groups[sha256((t or "").encode()).digest()] += size(t)
+    ordered = [n for _, n in sorted(groups.items())]
+    assert max(load.values(), default=0) == brute_capacity(ordered, shards)
+
+
+@pytest.mark.parametrize("shards", [1, 3, 8])
+def test_odd_documents(odd_docs, odd_rows, clashing, shards):
+    rows = sharding.shard(clashing(odd_docs), shards).collect()
+    check(rows, [(r[0], r[1]) for r in odd_rows], shards)
+
+
+def test_hot_group_and_small_cells(spark):
+    draw = random.Random(5)
+    texts = [(i, "same text" if i % 3 == 0 else "x" * draw.randint(0, 300) + str(i % 50)) for i in range(400)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+    rows = sharding.shard(docs, 8, rows_per_cell=20).collect()
+    check(rows, texts, 8)
+    assert sorted(rows) == sorted(sharding.shard(docs.repartition(3), 8, rows_per_cell=20).collect())
+
+
+def test_search_in_few_tries(spark):
+    draw = random.Random(6)
+    texts = [(i, "y" * draw.randint(1, 5000)) for i in range(120)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    check(sharding.shard(docs, 7).collect(), texts, 7)
+
+
+def test_empty(no_docs):
+    assert sharding.shard(no_docs, 8).count() == 0
