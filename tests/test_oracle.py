@@ -2,6 +2,7 @@ import pytest
 
 import __spark_entry__ as entry
 import check
+from queries.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -11,10 +12,9 @@ def duck():
     return check.connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, name):
-    sql = entry.oracle_sql().get(name)
-    assert sql is not None
+    sql = entry.oracle_sql()[name]
     result = entry.queries()[name](spark, SF)
     plan = result._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
