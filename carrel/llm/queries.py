@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from carrel.llm import decontaminate, mixing, sharding
+from carrel.llm import decontaminate, mixing, secrets, sharding, simhash
 from carrel.llm.common import table
 
 
@@ -11,6 +11,27 @@ def op2_source_mix(spark, sf_dir):
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_secret_scan(spark, sf_dir):
+    docs = secrets.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    base = F.filter("secrets", lambda s: s["kind"].isin("assign", "access", "hex"))
+
+    def joined(spans):
+        each = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
+        return F.array_join(each, ",")
+
+    def count(kind):
+        return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return docs.select(
+        "doc_id",
+        count("assign"),
+        count("access"),
+        count("hex"),
+        F.sha2(F.encode(joined(base), "UTF-8"), 256).alias("base_sha256"),
+        joined(F.col("secrets")).alias("spans"),
+    )
+
+
 def op6_minimax_shards(spark, sf_dir):
     return sharding.shard(table(spark, sf_dir, "documents"), shards=8)
 
@@ -27,9 +48,16 @@ def op7_decontamination(spark, sf_dir):
     )
 
 
+def op9_simhash_groups(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return simhash.near_groups(docs, shingle=3, bits=2).select("doc_id", "fingerprint", "component_id")
+
+
 QUERIES = {
     "op2_source_mix": op2_source_mix,
+    "op3_secret_scan": op3_secret_scan,
     "op6_minimax_shards": op6_minimax_shards,
     "op7_decontamination": op7_decontamination,
+    "op9_simhash_groups": op9_simhash_groups,
 }
 ORACLE = {}
