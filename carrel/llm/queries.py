@@ -2,10 +2,14 @@
 
 from pyspark.sql import functions as F
 
-from carrel.llm import decontaminate, mixing, secrets, sharding, simhash
+from carrel.llm import decontaminate, mixing, secrets, sharding, simhash, spotsigs
 from carrel.llm.common import table
 
 
+def op1_spotsigs(spark, sf_dir):
+    return spotsigs.compare_edited(table(spark, sf_dir, "documents"))
+
+
 def op2_source_mix(spark, sf_dir):
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -54,6 +58,7 @@ def op9_simhash_groups(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_spotsigs": op1_spotsigs,
     "op2_source_mix": op2_source_mix,
     "op3_secret_scan": op3_secret_scan,
     "op6_minimax_shards": op6_minimax_shards,
