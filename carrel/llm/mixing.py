@@ -101,7 +101,7 @@ def apportion(votes, seats, by=(), order=("source",)):
     )
 
 
-def mix(docs, ratio=1.5, cap=2.0, weights=WEIGHTS, block=8, shard_words=4_000_000, seed=7, id_col="doc_id"):
+def mix(docs, ratio=1.5, cap=2.0, weights=WEIGHTS, block=8, shard_words=500_000, seed=7, id_col="doc_id"):
     """How many words the mix takes of each document.
 
     Returns one row per document: id, ``source``, ``size``, ``source_size``,
