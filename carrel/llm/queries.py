@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from carrel.llm import decontaminate, mixing, secrets, sharding, simhash, spotsigs
+from carrel.llm import decontaminate, mixing, secrets, sharding, simhash, spotsigs, toxicity
 from carrel.llm.common import table
 
 
@@ -36,6 +36,18 @@ def op3_secret_scan(spark, sf_dir):
     )
 
 
+def toxicity_model(spark, docs, sf_dir):
+    """The model of the labelled rows that are not held out."""
+    return toxicity.fit(docs, table(spark, sf_dir, "labels"), where=lambda i: ~toxicity.held_out(i))
+
+
+def op4_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity_model(spark, docs, sf_dir), limit=0.7)
+    held = F.coalesce(toxicity.held_out(F.col("doc_id")), F.lit(False))
+    return scored.select("doc_id", held.alias("held_out"), "score", "predicted", "toxic_spans")
+
+
 def op6_minimax_shards(spark, sf_dir):
     return sharding.shard(table(spark, sf_dir, "documents"), shards=8)
 
@@ -61,6 +73,7 @@ QUERIES = {
     "op1_spotsigs": op1_spotsigs,
     "op2_source_mix": op2_source_mix,
     "op3_secret_scan": op3_secret_scan,
+    "op4_toxicity": op4_toxicity,
     "op6_minimax_shards": op6_minimax_shards,
     "op7_decontamination": op7_decontamination,
     "op9_simhash_groups": op9_simhash_groups,
