@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from carrel.llm import decontaminate, mixing, secrets, sharding, simhash, spotsigs, toxicity
+from carrel.llm import decontaminate, mixing, secrets, sharding, simhash, spotsigs, templates, toxicity
 from carrel.llm.common import table
 
 
@@ -69,6 +69,13 @@ def op9_simhash_groups(spark, sf_dir):
     return simhash.near_groups(docs, shingle=3, bits=2).select("doc_id", "fingerprint", "component_id")
 
 
+def op10_line_templates(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = templates.drop_recurring(docs)
+    kept = F.sha2(F.encode(F.coalesce("text", F.lit("")), "UTF-8"), 256)
+    return cut.select("doc_id", "n_lines", "n_dropped", kept.alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_spotsigs": op1_spotsigs,
     "op2_source_mix": op2_source_mix,
@@ -77,5 +84,6 @@ QUERIES = {
     "op6_minimax_shards": op6_minimax_shards,
     "op7_decontamination": op7_decontamination,
     "op9_simhash_groups": op9_simhash_groups,
+    "op10_line_templates": op10_line_templates,
 }
 ORACLE = {}
