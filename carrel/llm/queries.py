@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from carrel.llm import decontaminate, mixing, secrets, sharding, simhash, spotsigs, templates, toxicity
+from carrel.llm import decontaminate, mixing, secrets, sharding, simhash, spotsigs, templates, toxicity, wrappers
 from carrel.llm.common import table
 
 
@@ -64,6 +64,11 @@ def op7_decontamination(spark, sf_dir):
     )
 
 
+def op8_html_wrappers(spark, sf_dir):
+    found = wrappers.extract(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op9_simhash_groups(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return simhash.near_groups(docs, shingle=3, bits=2).select("doc_id", "fingerprint", "component_id")
@@ -83,6 +88,7 @@ QUERIES = {
     "op4_toxicity": op4_toxicity,
     "op6_minimax_shards": op6_minimax_shards,
     "op7_decontamination": op7_decontamination,
+    "op8_html_wrappers": op8_html_wrappers,
     "op9_simhash_groups": op9_simhash_groups,
     "op10_line_templates": op10_line_templates,
 }
