@@ -28,8 +28,17 @@ RUN = 4  # content words without an anchor, after which there is an unnamed one
 
 
 def _anchor_pattern(anchors=None):
-    words = sorted({w for line in (anchors or ANCHORS).values() for w in line.split()})
-    return "|".join(words)
+    """The anchors as one pattern, common beginnings taken out so that each letter is tried once."""
+    words = {w for line in (anchors or ANCHORS).values() for w in line.split()}
+
+    def branch(rests):
+        heads = sorted({r[0] for r in rests if r})
+        parts = [h + branch({r[1:] for r in rests if r and r[0] == h}) for h in heads]
+        if not parts:
+            return ""
+        return (parts[0] if len(parts) == 1 and "" not in rests else f"(?:{'|'.join(parts)})") + "?" * ("" in rests)
+
+    return branch(words)
 
 
 def signatures(text, anchors=None, run=RUN):
@@ -49,7 +58,8 @@ def signatures(text, anchors=None, run=RUN):
 
     def hashed(chain):
         # Common words within a chain are skipped: only the anchor and its content words are hashed.
-        return _small(F.regexp_replace(chain, r" \x01[^ ]*+", ""))
+        plain = F.when(F.contains(chain, F.lit(" \x01")), F.regexp_replace(chain, r" \x01[^ ]*+", "")).otherwise(chain)
+        return _small(plain)
 
     def signs(found):
         whole = F.when(F.length(line) > 0, F.array(_small(line)))
@@ -173,18 +183,23 @@ def compare_edited(docs, id_col="doc_id", text="text"):
     ``n_signatures``, ``length_range``; one row per row of ``docs``. An
     empty table gives none; a single document is next to itself.
     """
+    # One key of both joins and the grouping, so that texts and what they hand over are dealt out once each.
+    key = lambda c: (F.coalesce(F.col(c).cast("string"), F.lit("")).alias("_k"), F.col(c).isNull().alias("_z"))
     slim = docs.select(F.col(id_col).alias("doc_id"), whole_text(text).alias("text"))
+    slim = slim.select(*key("doc_id"), "doc_id", "text")
     order = with_next(docs, id_col)
-    need = slim.groupBy("doc_id").agg(F.max(F.floor(F.length("text") / 3)).alias("need"))
-    need = need.select(F.col("doc_id").alias("_id"), "need")
-    wanted = order.join(need, F.col("doc_id").eqNullSafe(F.col("_id"))).select(F.col("doc_id").alias("before"), "next_id", "need")
+    need = slim.groupBy("_k", "_z").agg(F.max(F.floor(F.length("text") / 3)).alias("need"))
+    wanted = order.select(*key("doc_id"), "doc_id", "next_id").join(need, ["_k", "_z"])
+    wanted = wanted.select(*key("next_id"), F.col("_k").alias("_bk"), F.col("_z").alias("_bz"), "need")
     # What a document hands to the one before it: as much of its beginning as that one replaces, and its set.
     head = F.substring(F.col("text"), F.lit(1), F.col("need").cast("int"))
-    given = slim.join(wanted, F.col("doc_id").eqNullSafe(F.col("next_id"))).select(
-        "before", F.struct(head.alias("head"), signatures(F.col("text")).alias("signs")).alias("given")
+    given = slim.join(wanted, ["_k", "_z"]).select(
+        F.col("_bk").alias("_k"),
+        F.col("_bz").alias("_z"),
+        F.struct(head.alias("head"), signatures(F.col("text")).alias("signs")).alias("given"),
     )
-    given = given.groupBy("before").agg(F.min("given").alias("given"))
-    joined = slim.join(given, F.col("doc_id").eqNullSafe(F.col("before")))
+    given = given.groupBy("_k", "_z").agg(F.min("given").alias("given"))
+    joined = slim.join(given, ["_k", "_z"])
     n = F.length("text")
     third = F.floor(n / 3).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - third), F.substring(F.col("given.head"), F.lit(1), third))
