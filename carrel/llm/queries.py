@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from carrel.llm import decontaminate, mixing, secrets, sharding, simhash, spotsigs, templates, toxicity, wrappers
+from carrel.llm import decontaminate, mixing, secrets, sharding, simhash, spotsigs, suffix, templates, toxicity, wrappers
 from carrel.llm.common import table
 
 
@@ -48,6 +48,18 @@ def op4_toxicity(spark, sf_dir):
     return scored.select("doc_id", held.alias("held_out"), "score", "predicted", "toxic_spans")
 
 
+def op5_suffix_dedup(spark, sf_dir):
+    cut = suffix.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), length=400)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + (s["end"] - s["start"]))
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op6_minimax_shards(spark, sf_dir):
     return sharding.shard(table(spark, sf_dir, "documents"), shards=8)
 
@@ -86,6 +98,7 @@ QUERIES = {
     "op2_source_mix": op2_source_mix,
     "op3_secret_scan": op3_secret_scan,
     "op4_toxicity": op4_toxicity,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_minimax_shards": op6_minimax_shards,
     "op7_decontamination": op7_decontamination,
     "op8_html_wrappers": op8_html_wrappers,
