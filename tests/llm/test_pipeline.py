@@ -1,0 +1,109 @@
+import random
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from carrel.llm import decontaminate, mixing, sharding, simhash, toxicity
+from carrel.llm.queries import toxicity_model
+
+from .conftest import prose
+from .test_decontaminate import brute as brute_hits
+
+
+def shingles(text):
+    words = (text or "").lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+@pytest.fixture(scope="module")
+def corpus(spark):
+    """Documents with planted cases, labels and items, in a folder of their own."""
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    items = spark.read.parquet(f"{folder}/benchmark.parquet")
+    draw, rows = random.Random(6), []
+    for base in range(15):
+        words = prose(base + 50, 220, 6000).split()
+        rows.append((10_000 + base * 10, " ".join(words)))
+        for copy in (1, 2):
+            other = list(words)
+            other[draw.randrange(220)] = f"new{copy}"
+            rows.append((10_000 + base * 10 + copy, " ".join(other)))
+        rows.append((10_000 + base * 10 + 3, " ".join(words)))
+    leak = items.first().text
+    rows += [(20_000, prose(1, 50) + " " + leak + " " + prose(2, 50)), (20_001, None), (None, "no id here at all")]
+    extra = spark.createDataFrame([(i, t, "en", f"src{(i or 0) % 4}", len(t or "")) for i, t in rows], docs.schema)
+    return docs.unionByName(extra), rows, items
+
+
+def test_stages_in_order(spark, corpus):
+    docs, planted, items = corpus
+    folder = "/root/testdata/sf0.001"
+    pairs = [(r.item_id, r.text) for r in items.collect()]
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near_duplicates", "decontamination", "source_mix", "sharding"]
+
+    clean = corpus_pipeline.drop_toxic(spark, docs, folder)
+    assert clean.columns == docs.columns
+    model = toxicity_model(spark, spark.read.parquet(f"{folder}/documents.parquet"), folder)
+    evidence = [r for r in docs.collect()]
+    scores = [
+        1 / (1 + 2.718281828459045 ** -float((model.document * [1.0, *toxicity._facts(c)]).sum()))
+        for c in toxicity._chances(model, [r.text for r in evidence])
+    ]
+    want = Counter(str(r.doc_id) for r, s in zip(evidence, scores) if s < 0.7)
+    assert Counter(str(r.doc_id) for r in clean.collect()) == want
+
+    clean = spark.createDataFrame(clean.collect(), docs.schema)
+    single = corpus_pipeline.drop_near_duplicates(spark, clean, folder)
+    assert single.columns == docs.columns
+    rows, kept = clean.collect(), {r.doc_id for r in single.collect()}
+    sets = [shingles(r.text) for r in rows]
+    label = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            union = len(sets[i] | sets[j])
+            if (rows[i].text or "") == (rows[j].text or "") or union and len(sets[i] & sets[j]) >= 0.8 * union:
+                a, b = sorted((label[i], label[j]))
+                label = [a if x == b else x for x in label]
+    groups = defaultdict(list)
+    for r, x in zip(rows, label):
+        groups[x].append(r.doc_id)
+    least = {min((i for i in ids if i is not None), default=None) for ids in groups.values()}
+    assert kept == least and single.count() == len(groups)
+    assert {i for i in kept if i and 10_000 <= i < 20_000} == {10_000 + b * 10 for b in range(15)}
+
+    single = spark.createDataFrame(single.collect(), docs.schema)
+    safe = corpus_pipeline.drop_contaminated(spark, single, folder)
+    assert safe.columns == docs.columns
+    want = {r.doc_id for r in single.collect() if brute_hits(r.text, pairs)[1] == 0}
+    assert {r.doc_id for r in safe.collect()} == want and 20_000 not in want
+
+    safe = spark.createDataFrame(safe.collect(), docs.schema)
+    mixed = corpus_pipeline.mix_sources(spark, safe, folder)
+    assert mixed.columns == docs.columns
+    taken = {r.doc_id: (r["size"], r.taken) for r in mixing.mix(safe).collect()}
+    got = Counter(r.doc_id for r in mixed.collect())
+    assert got == {i: max(1, int(t / s + 0.5)) for i, (s, t) in taken.items() if t}
+
+    last = corpus_pipeline.cut_shards(spark, mixed, folder).collect()
+    assert sorted(last, key=str) == sorted(sharding.shard(mixed, 8).collect(), key=str)
+    assert {r.shard for r in last} == set(range(8))
+
+
+def test_run(spark):
+    rows = corpus_pipeline.run(spark, "/root/testdata/sf0.001").collect()
+    slots = defaultdict(list)
+    for r in rows:
+        slots[r.shard].append(r.slot)
+    assert rows and all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+def test_keep_one_of_odd_rows(odd_docs, odd_rows, clashing, no_docs):
+    docs = clashing(odd_docs)
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    texts = {" ".join((r[1] or "").lower().split()) for r in odd_rows}
+    assert kept.count() == len(texts)
+    assert simhash.keep_one(no_docs).count() == 0 and decontaminate.remove(no_docs, no_docs.withColumn("item_id", F.lit(1))).count() == 0

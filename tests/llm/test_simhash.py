@@ -105,3 +105,25 @@ def test_components_of_chains(spark):
     chain = [(i, i + 1) for i in range(0, 60)] + [(100, 200), (300, 200), (400, 400)]
     found = {r.node: r.component for r in graph.components(spark.createDataFrame(chain, "a long, b long")).collect()}
     assert found == {i: 0 for i in range(61)} | {100: 100, 200: 100, 300: 100}
+
+
+@pytest.mark.parametrize("chunk", [1024, 25])
+def test_similarity_in_a_dense_group(spark, chunk, monkeypatch):
+    """Many edits of one text: pairs on either side of the limit, in one cell and dealt to several."""
+    monkeypatch.setattr(simhash.linked, "__defaults__", (None, None, chunk))
+    draw, words, rows = random.Random(7), prose(77, 150, 5000).split(), []
+    for i in range(90):
+        other = list(words)
+        for _ in range(draw.randint(1, 6)):
+            other[draw.randrange(150)] = f"edit{i}"
+        rows.append((i, " ".join(other)))
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(146)} for _, t in rows]
+    label = list(range(90))
+    for i in range(90):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                a, b = sorted((label[i], label[j]))
+                label = [a if x == b else x for x in label]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in simhash.near_groups(docs, 5, 24, 0.8, orders=12).collect()}
+    assert [got[i] for i in range(90)] == label and 1 < len(set(label)) < 90
