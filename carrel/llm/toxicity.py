@@ -125,15 +125,17 @@ def train(texts, toxic, rounds=50, rate=0.15, decay=2e-3, least=10.0, times=12.0
     number, rows, lengths, owner = {}, [], [], []
     for place, text in enumerate(texts):
         words, own = _split(text or "")
-        rows.append(np.array([number.setdefault(w.lower(), len(number)) for w in words], np.int64))
+        rows.append(np.array([number.setdefault(w.lower(), len(number)) for w in words], np.int32))
         lengths += own
         owner += [place] * len(own)
     ties = np.log(np.array([[0.9, 0.1], [0.5, 0.5]]))
     if not len(number) or toxic.all() or not toxic.any():
         return Model({}, -MOST, ties, np.array([-3.0, 0.0, 0.0]))
     slots = {b"": 0}
-    lists = [[slots.setdefault(f, len(slots)) for f in features(w)] for w in number]
-    table = np.array([own + [0] * (6 - len(own)) for own in lists], np.int64)
+    table = np.zeros((len(number), 6), np.int32)
+    for word, row in zip(number, table):
+        own = features(word)
+        row[: len(own)] = [slots.setdefault(f, len(slots)) for f in own]
 
     seen = np.zeros((2, len(slots)))
     for kind, words in zip(toxic, rows):
@@ -227,7 +229,7 @@ def _facts(chance):
     return [max(-6.0, np.log(top / (1 - top))), np.log1p(chance[chance > 0.1].sum())]
 
 
-def fit(docs, labels, sample=2000, where=None, seed=3, id_col="doc_id", text="text", label="toxic"):
+def fit(docs, labels, sample=1200, where=None, seed=3, id_col="doc_id", text="text", label="toxic"):
     """A model from at most ``sample`` labelled documents of each kind, in a seeded order of their ids.
 
     The bound holds for the fit alone: it is what reaches the driver. The ids
