@@ -182,7 +182,7 @@ def _keyed(docs, id_col, text):
     )
 
 
-def repeats(docs, length=400, shard_bytes=8 << 20, budget=256 << 20, id_col="doc_id", text="text", hot=HOT):
+def repeats(docs, length=400, shard_bytes=4 << 20, budget=256 << 20, id_col="doc_id", text="text", hot=HOT):
     """Byte ranges (``low``, ``high``, end exclusive) covered by repeated strings, by row (``_r1``, ``_r2``); may overlap.
 
     Narrow rows (a run's gram, digest and place) are all that is dealt out of
@@ -195,7 +195,8 @@ def repeats(docs, length=400, shard_bytes=8 << 20, budget=256 << 20, id_col="doc
         _rows_of_runs(length), "_r1 long, _r2 long, gram long, slice binary, at long, low long, high long"
     )
     runs = stage(runs, "runs")
-    often = runs.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
+    # Staged, so that the join has two plain sides, of which a hot gram's can be split.
+    often = stage(runs.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"), "shared-grams")
     runs = stage(runs.join(often, "gram", "left_semi"), "shared-runs")
     place = F.struct(*_KEYS, "at", "low", "high")
     slices = stage(
