@@ -68,36 +68,36 @@ def escape(text):
     return text
 
 
-def to_text(record):
-    """One ``<record>`` element of a MARC record column."""
+def to_text(record, prefix=""):
+    """One ``<record>`` element of a MARC record column, its elements with a namespace prefix or none."""
     controls = F.transform(
         record["controlfields"],
         lambda f: F.concat(
-            F.lit('<controlfield tag="'), f["tag"], F.lit('">'), escape(f["value"]),
-            F.lit("</controlfield>"),
+            F.lit(f'<{prefix}controlfield tag="'), f["tag"], F.lit('">'), escape(f["value"]),
+            F.lit(f"</{prefix}controlfield>"),
         ),
     )
 
     def subfield(s):
         return F.concat(
-            F.lit('<subfield code="'), escape(s["code"]), F.lit('">'), escape(s["value"]),
-            F.lit("</subfield>"),
+            F.lit(f'<{prefix}subfield code="'), escape(s["code"]), F.lit('">'), escape(s["value"]),
+            F.lit(f"</{prefix}subfield>"),
         )
 
     fields = F.transform(
         record["datafields"],
         lambda f: F.concat(
-            F.lit('<datafield tag="'), f["tag"],
+            F.lit(f'<{prefix}datafield tag="'), f["tag"],
             F.lit('" ind1="'), f["ind1"], F.lit('" ind2="'), f["ind2"], F.lit('">'),
             F.array_join(F.transform(f["subfields"], subfield), ""),
-            F.lit("</datafield>"),
+            F.lit(f"</{prefix}datafield>"),
         ),
     )
     leader = F.when(
         record["leader"].isNotNull(),
-        F.concat(F.lit("<leader>"), escape(record["leader"]), F.lit("</leader>")),
+        F.concat(F.lit(f"<{prefix}leader>"), escape(record["leader"]), F.lit(f"</{prefix}leader>")),
     ).otherwise("")
     return F.concat(
-        F.lit("<record>"), leader, F.array_join(controls, ""), F.array_join(fields, ""),
-        F.lit("</record>"),
+        F.lit(f"<{prefix}record>"), leader, F.array_join(controls, ""), F.array_join(fields, ""),
+        F.lit(f"</{prefix}record>"),
     )

@@ -1,29 +1,19 @@
 """Names, links and keys."""
 
+import mimetypes
+import re
+
 from pyspark.sql import functions as F
 
 # Last path segment of a URL: no scheme, host, query or fragment.
 URL_LAST_SEGMENT = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/?#]*)?(?:[^?#]*/)?([^/?#]*)"
 
+# Fixed value: the header that announces a file name.
 ATTACHMENT = r'^attachment; filename="(.*)"$'
 
-# Media type by file extension.
-MIME_BY_EXTENSION = {
-    "bmp": "image/bmp",
-    "gif": "image/gif",
-    "jp2": "image/jp2",
-    "jpe": "image/jpeg",
-    "jpeg": "image/jpeg",
-    "jpg": "image/jpeg",
-    "pdf": "application/pdf",
-    "png": "image/png",
-    "svg": "image/svg+xml",
-    "tif": "image/tiff",
-    "tiff": "image/tiff",
-    "txt": "text/plain",
-    "webp": "image/webp",
-    "xml": "text/xml",
-}
+#: Media type by file extension: the standard table of Python, and what it lacks.
+MIME_BY_EXTENSION = {ending[1:]: kind for ending, kind in sorted(mimetypes.MimeTypes().types_map[1].items())}
+MIME_BY_EXTENSION |= {"jp2": "image/jp2", "webp": "image/webp"}
 
 
 def url_basename(url):
@@ -73,6 +63,12 @@ def download_name(content_disposition, fallback):
     return F.coalesce(F.nullif(announced, F.lit("")), fallback)
 
 
+def announced_name(content_disposition):
+    """The same in Python, for a task that has the header of a call; empty if none."""
+    found = re.search(ATTACHMENT, content_disposition or "")
+    return found[1] if found else ""
+
+
 def mime_type(path):
     """Media type by extension, null if unknown."""
     extension = F.lower(F.regexp_extract(path, r"\.([^./]+)$", 1))

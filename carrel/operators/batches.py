@@ -3,8 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from carrel.operators.sizing import broadcast_if_small
-from carrel.session import shared_root
+from carrel.session import shared_root, stage
 
 
 def with_row_index(df, order, name="row_index"):
@@ -30,7 +29,7 @@ def with_row_index(df, order, name="row_index"):
         .select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     )
     return (
-        tagged.join(broadcast_if_small(offsets), "_part")
+        tagged.join(stage(offsets, "row-offsets"), "_part")
         .withColumn(name, F.col("_row") + F.col("_before"))
         .drop("_part", "_row", "_before")
     )

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 
 def _pick(df, keys, order, best):
-    order = F.struct(*order) if len(order) > 1 else F.col(order[0])
+    # min_by and max_by leave out rows with a null order; a struct is never null.
+    # A null counts as smaller than any value.
+    order = F.struct(*[part for c in order for part in (F.col(c).isNotNull(), F.col(c))])
     rest = [c for c in df.columns if c not in keys]
     picked = df.groupBy(*keys).agg(best(F.struct(*rest), order).alias("_row"))
     return picked.select(*keys, "_row.*").select(*df.columns)

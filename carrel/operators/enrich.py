@@ -19,7 +19,6 @@ from pyspark.sql.pandas.types import to_arrow_type
 from carrel import schemas
 from carrel.functions import images, names
 from carrel.operators.dedupe import last_wins
-from carrel.operators.sizing import broadcast_if_small
 from carrel.sources.files import open_root
 
 # Status words and messages.
@@ -28,6 +27,7 @@ SUCCESS, FAILURE = "success", "failure"
 UNSUPPORTED = "Unsupported file type "
 TOO_LARGE = "file size exceeds limit"
 NO_CONTENT = "no content in response"
+NO_IMAGE = "no image content"
 BUSY = "catalog API too busy, try again later"
 
 
@@ -39,46 +39,60 @@ class ServiceError(Exception):
     """The service refused; its message goes into the row."""
 
 
-def call_patiently(call, retries, first_delay, max_delay, sleep=time.sleep):
-    """Repeat a rate-limited call with doubling pauses; the last failure is raised."""
-    for attempt in range(retries + 1):
+def call_patiently(call, retries, first_delay, max_delay, sleep=time.sleep, used=0):
+    """Result of a call and the retries used so far; rate-limited calls are repeated with doubling pauses.
+
+    ``used`` counts the retries that the same record has had before: they are
+    of one budget, and pauses go on from there. The last failure is raised.
+    """
+    while True:
         try:
-            return call()
+            return call(), used
         except RateLimited:
-            if attempt == retries:
+            if used >= retries:
                 raise
-            sleep(min(first_delay * 2**attempt, max_delay))
+            sleep(min(first_delay * 2**used, max_delay))
+            used += 1
 
 
 def _with_calls(df, client_factory, call, wanted, result_type, retry):
-    """Adds ``_result`` and ``_error`` of one client call per wanted row."""
+    """Adds ``_result`` and ``_error`` of one client call per wanted row.
+
+    ``_used`` holds the retries that a record has had, over all its calls.
+    """
     schema = T.StructType(
-        df.schema.fields
-        + [T.StructField("_result", result_type), T.StructField("_error", T.StringType())]
+        [field for field in df.schema.fields if field.name != "_used"]
+        + [
+            T.StructField("_result", result_type),
+            T.StructField("_error", T.StringType()),
+            T.StructField("_used", T.IntegerType()),
+        ]
     )
-    columns = df.columns
+    columns = [c for c in df.columns if c != "_used"]
     arrow_type = to_arrow_type(result_type)
 
     def outcome(client, row):
+        used = row.get("_used") or 0
+        if not row["_wanted"]:
+            return None, None, used
         try:
-            return call_patiently(lambda: call(client, row), **retry), None
+            result, used = call_patiently(lambda: call(client, row), used=used, **retry)
+            return result, None, used
         except RateLimited:
-            return None, BUSY
+            return None, BUSY, retry["retries"]
         except Exception as error:  # any other failure belongs to this row alone
-            return None, str(error)
+            return None, str(error), used
 
     def run(batches):
         client = client_factory()
         for batch in batches:
-            pairs = [
-                outcome(client, row) if row["_wanted"] else (None, None)
-                for row in batch.to_pylist()
-            ]
+            outcomes = [outcome(client, row) for row in batch.to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [
                     *batch.select(columns).columns,
-                    pa.array([p[0] for p in pairs], arrow_type),
-                    pa.array([p[1] for p in pairs], pa.string()),
+                    pa.array([o[0] for o in outcomes], arrow_type),
+                    pa.array([o[1] for o in outcomes], pa.string()),
+                    pa.array([o[2] for o in outcomes], pa.int32()),
                 ],
                 names=schema.names,
             )
@@ -107,7 +121,9 @@ def fetch_records(
     returns (path, size); width and height are None for the original. It is
     built once per task. ``size_transform`` maps a size column to the size
     that counts against ``max_size``. ``max_parallel`` sets the number of
-    tasks that call at once.
+    tasks that call at once, by default as many as there are cores. ``retries``
+    is the budget of a record over all its calls. The calls of a record run as
+    one chain: a task that is lost repeats the calls of its records.
     """
     retry = {"retries": retries, "first_delay": first_delay, "max_delay": max_delay}
     metadata_type = T.ArrayType(T.StructType.fromDDL(schemas.FILE_METADATA[7:-1]))
@@ -130,8 +146,8 @@ def fetch_records(
         return {"path": str(path), "size": int(written)}
 
     ids = records.select(F.col(record_id).alias("record_id"))
-    if max_parallel:
-        ids = ids.repartition(max_parallel, "record_id")
+    # Always dealt out: a small table of ids would otherwise be one task.
+    ids = ids.repartition(max_parallel or records.sparkSession.sparkContext.defaultParallelism, "record_id")
     looked_up = _with_calls(ids, client_factory, metadata, F.lit(True), metadata_type, retry)
     if all_files:
         position = F.explode_outer(
@@ -140,12 +156,13 @@ def fetch_records(
     else:
         position = F.lit(0)
     files = looked_up.select(
-        "record_id", "_result", "_error", position.alias("file_index")
+        "record_id", "_result", "_error", "_used", position.alias("file_index")
     ).select(
         "record_id",
         F.coalesce("file_index", F.lit(0)).alias("file_index"),
         F.get("_result", F.coalesce("file_index", F.lit(0))).alias("file"),
         F.col("_error").alias("error"),
+        "_used",
     )
     size = F.col("file.size")
     counted = size_transform(size) if size_transform else size
@@ -167,7 +184,8 @@ def fetch_records(
         )
         .alias("description"),
         target.alias("t"),
-    ).select("record_id", "file_index", "status", "description", "t.*")
+        "_used",
+    ).select("record_id", "file_index", "status", "description", "t.*", "_used")
 
     first = _with_calls(
         planned, client_factory, download, F.col("status").isNull(), download_type, retry
@@ -189,7 +207,8 @@ def fetch_records(
         F.when(again, smaller).otherwise(
             F.struct("width", "height", F.lit(False).alias("resize"))
         ).alias("t"),
-    ).select("record_id", "file_index", "status", "description", "path", "resized", "t.*")
+        "_used",
+    ).select("record_id", "file_index", "status", "description", "path", "resized", "t.*", "_used")
 
     second = _with_calls(
         reduced, client_factory, download, F.coalesce("resize", F.lit(False)), download_type, retry
@@ -245,8 +264,9 @@ def describe(
     task; it returns the text, or None for an answer without content, or
     raises ``ServiceError``. Images are read from ``image_path`` below
     ``root``, or taken from the binary column ``content``. One that is too
-    large in base64 is never sent. ``max_parallel`` limits the calls that run
-    at once; finished rows leave the task every ``batch_size`` calls.
+    large in base64 is never sent, nor is a null one. Any failure stays in its
+    row. ``max_parallel`` limits the calls that run at once, by default to the
+    number of cores; finished rows leave the task every ``batch_size`` calls.
     """
     added = ["status", "status_description", "description"]
     kept = [c for c in rows.columns if c != content and c not in added]
@@ -257,25 +277,27 @@ def describe(
     if content:
         fits = images.base64_length(F.octet_length(F.col(content))) <= size_limit
         sized = sized.withColumn("image_", F.when(fits, images.base64_text(F.col(content))))
+        sized = sized.withColumn("absent_", F.col(content).isNull())
     else:
-        sized = sized.withColumn("image_", F.lit(None).cast("string"))
-    sized = sized.select(*kept, "mime_", "image_")
-    if max_parallel:
-        sized = sized.repartition(max_parallel, "image_path")
+        sized = sized.withColumn("image_", F.lit(None).cast("string")).withColumn("absent_", F.lit(False))
+    sized = sized.select(*kept, "mime_", "image_", "absent_")
+    sized = sized.repartition(max_parallel or rows.sparkSession.sparkContext.defaultParallelism, "image_path")
 
     def run(batches):
         model = model_factory()
         filesystem, base = (None, None) if content else open_root(root)
 
-        def answer(path, mime, image):
-            if content is None:
-                image = _load_base64(filesystem, base, path, size_limit)
-            if image is None:
-                return FAILURE, TOO_LARGE, ""
+        def answer(path, mime, image, absent):
+            if absent:
+                return FAILURE, NO_IMAGE, ""
             try:
+                if content is None:
+                    image = _load_base64(filesystem, base, path, size_limit)
+                if image is None:
+                    return FAILURE, TOO_LARGE, ""
                 text = model(prompt, mime, image)
-            except ServiceError as error:
-                return FAILURE, str(error), ""
+            except Exception as error:  # a failure belongs to its row; paid answers of others are kept
+                return FAILURE, str(error) or type(error).__name__, ""
             if text is None:
                 return FAILURE, NO_CONTENT, ""
             return SUCCESS, "", str(text)
@@ -284,7 +306,8 @@ def describe(
             for start in range(0, len(batch), batch_size):
                 part = batch.iloc[start : start + batch_size].reset_index(drop=True)
                 answers = [
-                    answer(*row) for row in zip(part["image_path"], part["mime_"], part["image_"])
+                    answer(*row)
+                    for row in zip(part["image_path"], part["mime_"], part["image_"], part["absent_"])
                 ]
                 yield pd.concat([part[kept], pd.DataFrame(answers, columns=added)], axis=1)
 
@@ -331,4 +354,4 @@ def to_output(
 
 def with_lookup(rows, dimension, keys):
     """Each row with the attributes of its key, e.g. prompt text and version."""
-    return rows.join(broadcast_if_small(dimension), keys, "left")
+    return rows.join(dimension, keys, "left")

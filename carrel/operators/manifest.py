@@ -101,10 +101,19 @@ def status_totals(df, by="status"):
 
 
 def check_declared(files, catalog, key="file"):
-    """Downloaded files with their declared checksum; a mismatch is only marked."""
-    declared = catalog.select(key, F.col("checksum").alias("declared_md5"))
+    """Downloaded files with their declared checksum; a mismatch is only marked.
+
+    A catalog may list a key several times only with one and the same checksum;
+    different ones are an error, as it would be open which of them holds.
+    Without a declared checksum nothing is confirmed.
+    """
+    given = catalog.groupBy(key).agg(F.min("checksum").alias("declared_md5"), F.max("checksum").alias("_other"))
+    unclear = F.raise_error(F.concat(F.lit("several checksums for "), F.col(key))).cast("string")
+    declared = given.select(
+        key, F.when(F.col("_other") != F.col("declared_md5"), unclear).otherwise(F.col("declared_md5")).alias("declared_md5")
+    )
     return files.join(declared, key, "left").withColumn(
-        "checksum_ok", F.col("md5").eqNullSafe(F.col("declared_md5"))
+        "checksum_ok", F.coalesce(F.col("md5") == F.col("declared_md5"), F.lit(False))
     )
 
 

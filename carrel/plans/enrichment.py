@@ -49,7 +49,7 @@ def fetch(routed, client_factory, settings, **options):
         client_factory,
         max_width=settings.max_width,
         max_height=settings.max_height,
-        **options,
+        **{"max_parallel": settings.max_parallel} | options,
     )
     statuses = stage(statuses, "fetch-status")
     return enrich.attach_status(wanted, statuses, ["at"]).drop("at")
@@ -73,10 +73,12 @@ def describe(fetched, model_factory, settings, **options):
     )
 
 
-def run(records, client_factory, model_factory, settings, root, run_id, timestamp=None):
+def run(
+    records, client_factory, model_factory, settings, root, run_id, timestamp=None, fetch_options=None, describe_options=None
+):
     """The whole job; returns one summary row per stage.
 
-    ``records`` come from ``read_checked``, so that a faulty collection fails
+    The options go to ``fetch`` and ``describe``. ``records`` come from ``read_checked``, so that a faulty collection fails
     before anything is fetched.
     Stage tables go below ``root`` by run; with ``timestamp`` they are also
     exported as CSV under their final names.
@@ -84,8 +86,8 @@ def run(records, client_factory, model_factory, settings, root, run_id, timestam
     spark = records.sparkSession
     routed = route(records, settings)
     skipped = routing.skipped(routed).drop("at")
-    fetched = stage(fetch(routed, client_factory, settings), "fetched")
-    processed = describe(fetched, model_factory, settings)
+    fetched = stage(fetch(routed, client_factory, settings, **fetch_options or {}), "fetched")
+    processed = describe(fetched, model_factory, settings, **describe_options or {})
     tables = {
         "processed": (processed, schemas.PROCESSED_HEADINGS),
         "fetched": (fetched, schemas.FETCHED_HEADINGS),

@@ -25,7 +25,7 @@ def destination_state(spark, manifest, root):
         .join(there.where("kind = 'file'"), ["path", "size"])
         .select("path", "size")
     )
-    digests = hash_files(candidates, root).select("path", "sha256")
+    digests = hash_files(stage(candidates, "same-size"), root).select("path", "sha256")
     return stage(there.join(digests, "path", "left"), "destination")
 
 

@@ -15,11 +15,12 @@ import uuid
 import pandas as pd
 import pyarrow as pa
 from pyarrow import fs as arrow_fs
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from carrel.functions import names, paths
-from carrel.session import new_folder
+from carrel.session import new_folder, stage
 
 CHUNK_BYTES = 8 * 1024 * 1024
 ROWS_PER_BATCH = 10_000
@@ -125,6 +126,19 @@ def walk(spark, root, prefix="", recursive=True, missing_ok=False):
     return spark.read.schema(LISTING).parquet(*[f"{folder}/level={i:04d}" for i in range(level + 1)])
 
 
+def existing(paths_, root):
+    """Those of the given paths (column ``path``) that are there below ``root``, without listing it."""
+
+    def run(batches):
+        filesystem, base = open_root(root)
+        for batch in batches:
+            full = [posixpath.join(base, path) for path in batch["path"]]
+            there = [info.type != arrow_fs.FileType.NotFound for info in filesystem.get_file_info(full)]
+            yield batch[there]
+
+    return paths_.select("path").mapInPandas(run, "path string")
+
+
 def inventory(spark, root):
     """Regular files below ``root`` with their path relative to it."""
     return walk(spark, root).where("kind = 'file'").drop("kind")
@@ -151,11 +165,23 @@ def list_objects(spark, uri, prefix=None, extension=None):
 
 
 def _spread(files, size="size"):
-    """Files over as many tasks as their bytes ask for, not as their rows do."""
+    """Files over as many tasks as their bytes ask for, not as their rows do.
+
+    Files are gathered into lots of about ``TASK_BYTES``; one that is larger is
+    a lot of its own. The running sums that cut the lots are over groups of
+    files by name, so none of them spans the listing.
+    """
+    files = stage(files, "spread")
     spark = files.sparkSession
-    total = files.agg(F.coalesce(F.sum(size), F.lit(0))).head()[0]
+    total, rows = files.agg(F.coalesce(F.sum(size), F.lit(0)), F.count(F.lit(1))).head()
     tasks = max(spark.sparkContext.defaultParallelism, -(-total // TASK_BYTES))
-    return files.repartition(min(tasks, 100_000), "path")
+    lot = max(1, min(TASK_BYTES, total // (4 * tasks)))
+    group = F.pmod(F.xxhash64("path"), F.lit(max(1, rows // 10_000)))
+    before = Window.partitionBy("_group").orderBy("path").rowsBetween(Window.unboundedPreceding, -1)
+    cut = files.withColumn("_group", group).withColumn(
+        "_lot", F.floor(F.coalesce(F.sum(size).over(before), F.lit(0)) / F.lit(lot))
+    )
+    return cut.repartition(tasks, "_group", "_lot").drop("_group", "_lot")
 
 
 def _read_chunks(filesystem, path):
@@ -198,7 +224,7 @@ def hashed_inventory(spark, root, pattern=None):
     )
 
 
-def _publish_bytes(filesystem, target, chunks):
+def publish_bytes(filesystem, target, chunks):
     """Write under a temporary name, then rename: no reader sees half a file."""
     folder, name = posixpath.split(target)
     filesystem.create_dir(folder, recursive=True)
@@ -238,7 +264,7 @@ def copy_files(plan, source_root, target_root):
             origin = posixpath.join(source_base, path)
             copied = posixpath.join(target_base, path)
             try:
-                _publish_bytes(target, copied, chunks())
+                publish_bytes(target, copied, chunks())
                 if isinstance(target, arrow_fs.LocalFileSystem) and isinstance(
                     source, arrow_fs.LocalFileSystem
                 ):
@@ -261,20 +287,23 @@ def copy_files(plan, source_root, target_root):
 def download_objects(keys, uri, target_root):
     """Copy objects into one folder under their base name.
 
-    Keys that share a base name would overwrite each other; they are not
-    copied but reported with an error.
+    Of keys that share a base name the first in the order of keys is copied,
+    the others are reported with an error. A file that is there already is
+    never replaced: its key is reported as well.
     """
     base = names.key_basename(F.col("key"))
-    counts = keys.groupBy(base.alias("basename")).agg(F.count(F.lit(1)).alias("_keys"))
-    marked = keys.withColumn("basename", base).join(counts, "basename")
+    firsts = keys.groupBy(base.alias("basename")).agg(F.min("key").alias("_first"))
+    marked = keys.withColumn("basename", base).join(firsts, "basename")
 
     def run(batches):
         source, source_base = open_root(uri)
         target, target_base = open_root(target_root)
 
-        def fetch(key, name, clash):
-            if clash > 1:
-                return key, name, None, f"{clash} keys share the name {name}"
+        def fetch(key, name, first):
+            if key != first:
+                return key, name, None, f"{first} has the name {name}"
+            if target.get_file_info(posixpath.join(target_base, name)).type != arrow_fs.FileType.NotFound:
+                return key, name, None, f"{name} exists"
             origin = posixpath.join(source_base, key)
             size = 0
 
@@ -285,13 +314,13 @@ def download_objects(keys, uri, target_root):
                     yield chunk
 
             try:
-                _publish_bytes(target, posixpath.join(target_base, name), chunks())
+                publish_bytes(target, posixpath.join(target_base, name), chunks())
             except OSError as error:
                 return key, name, None, str(error)
             return key, name, size, None
 
         for batch in batches:
-            rows = [fetch(*r) for r in zip(batch["key"], batch["basename"], batch["_keys"])]
+            rows = [fetch(*r) for r in zip(batch["key"], batch["basename"], batch["_first"])]
             yield pd.DataFrame(rows, columns=["key", "filename", "bytes", "error"]).astype(
                 {"bytes": "Int64"}
             )
@@ -309,7 +338,7 @@ def write_files(df, root, path="path", content="content"):
         filesystem, base = open_root(root)
         for batch in batches:
             for name, data in zip(batch[path], batch[content]):
-                _publish_bytes(filesystem, posixpath.join(base, name), [bytes(data)])
+                publish_bytes(filesystem, posixpath.join(base, name), [bytes(data)])
             yield pd.DataFrame(
                 {"path": batch[path], "size": [len(data) for data in batch[content]]}
             )

@@ -1,5 +1,7 @@
 """MARCXML collections as one row per record."""
 
+import functools
+
 from pyspark.sql import functions as F
 
 from carrel.functions import marc, marcxml
@@ -22,15 +24,39 @@ def _cut(spark, path, row_tag):
     )
 
 
-def read_marcxml(spark, path, row_tag="record", strict=False):
+def record_tags(spark, path):
+    """Names of the record element in a collection, with their namespace prefixes.
+
+    Elements other than records and collections without any record mean that
+    the records have not been recognised, which is an error.
+    """
+    pieces = spark.read.option("lineSep", ">").text(path)
+    tag = r"<([A-Za-z_][\w.-]*:)?([A-Za-z_][\w.-]*)(?:\s[^<]*)?\z"
+    named = pieces.select(F.regexp_extract("value", tag, 1).alias("prefix"), F.regexp_extract("value", tag, 2).alias("name"))
+    kinds = named.where(~F.col("name").isin("", "collection")).groupBy(
+        F.when(F.col("name") == "record", F.col("prefix")).alias("prefix")
+    )
+    found = [row.prefix for row in kinds.agg(F.count(F.lit(1))).collect()]
+    tags = sorted(f"{prefix}record" for prefix in found if prefix is not None)
+    if found and not tags:
+        raise ValueError(f"no record element in {path}")
+    return tags or ["record"]
+
+
+def read_marcxml(spark, path, row_tag=None, strict=False):
     """Columns source_file, block_start, seq, record and parse_error.
 
+    Without ``row_tag`` the record element is found with whatever prefix it has.
+
     The file is cut at the end tag of a record, so that one large collection
     is read by many tasks. A record that is not well-formed has a null
     ``record`` and its text as ``parse_error``; with ``strict`` it fails the
     job. (source_file, block_start, seq) sorts the records as they are in the
     file.
     """
+    if row_tag is None:
+        parts = [read_marcxml(spark, path, tag, strict) for tag in record_tags(spark, path)]
+        return functools.reduce(lambda a, b: a.unionByName(b), parts)
     pieces = (
         _cut(spark, path, row_tag)
         .drop("file_size", "bytes")
@@ -66,12 +92,15 @@ def truncated_files(spark, path, row_tag="record"):
     return files.where(open_end).select("source_file")
 
 
-def read_checked(spark, path, row_tag="record"):
+def read_checked(spark, path, row_tag=None):
     """``read_marcxml`` that fails on any fault, a file cut short included."""
-    cut_short = truncated_files(spark, path, row_tag).head(1)
-    if cut_short:
-        raise ValueError(f"file ends within a record: {cut_short[0][0]}")
-    return read_marcxml(spark, path, row_tag, strict=True)
+    parts = []
+    for tag in [row_tag] if row_tag else record_tags(spark, path):
+        cut_short = truncated_files(spark, path, tag).head(1)
+        if cut_short:
+            raise ValueError(f"file ends within a record: {cut_short[0][0]}")
+        parts.append(read_marcxml(spark, path, tag, strict=True))
+    return functools.reduce(lambda a, b: a.unionByName(b), parts)
 
 
 def explode_subfield(records, tag, ind1, ind2, code, record="record"):
@@ -80,6 +109,6 @@ def explode_subfield(records, tag, ind1, ind2, code, record="record"):
     return records.select(F.explode(values).alias("value"))
 
 
-def write_marcxml(records, path, record="record"):
-    """One ``<record>`` element per line, readable by ``read_marcxml``."""
-    records.select(marcxml.to_text(F.col(record)).alias("value")).write.text(path)
+def write_marcxml(records, path, record="record", prefix=""):
+    """One ``<record>`` element per line, readable by ``read_marcxml``; ``prefix`` is one like ``marc:``."""
+    records.select(marcxml.to_text(F.col(record), prefix).alias("value")).write.text(path)

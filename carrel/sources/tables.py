@@ -1,5 +1,7 @@
 """Stage tables: CSV, JSON manifests, reports, shards, run snapshots."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from carrel import schemas
@@ -47,10 +49,6 @@ def read_manifest(spark, path):
     return spark.read.schema(MANIFEST).json(path)
 
 
-def write_json(df, path):
-    df.write.json(path)
-
-
 def write_report(lines, path):
     """Report rows as text; the part files in name order are the report."""
     in_reading_order(lines).write.text(path)
@@ -71,14 +69,19 @@ def write_shards(df, path, record_id="record_id"):
 
 
 def publish(df, root, stage_name, run_id):
-    """Replace this run's rows of a stage table, and no other run's."""
-    (
-        df.withColumn("run_id", F.lit(run_id))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("run_id")
-        .parquet(f"{root}/{stage_name}")
-    )
+    """Replace this run's rows of a stage table, and no other run's; also by no rows."""
+    replace_part(df, f"{root}/{stage_name}", "run_id", run_id)
+
+
+def replace_part(df, path, column, value):
+    """Write ``df`` as the one partition ``column=value`` of a table.
+
+    The partition's own folder is overwritten, so that zero rows replace what
+    is there. The value becomes a folder name and must be a plain word.
+    """
+    if not re.fullmatch(r"[\w.-]+", value):
+        raise ValueError(f"not a plain name: {value!r}")
+    df.drop(column).write.mode("overwrite").parquet(f"{path}/{column}={value}")
 
 
 def read_run(spark, root, stage_name, run_id, schema):
@@ -90,4 +93,5 @@ def read_run(spark, root, stage_name, run_id, schema):
 
 def export_name(stage_name, timestamp):
     """Name of a final copy; ``timestamp`` is a datetime in UTC."""
+    # Fixed value: how the name begins.
     return f"imagedesc_{stage_name}_{timestamp:%Y%m%d_%H%M%S}.csv"

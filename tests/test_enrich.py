@@ -4,6 +4,7 @@ import functools
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from carrel import schemas
 from carrel.functions import images
@@ -156,14 +157,42 @@ def test_large_image_is_never_sent(spark):
     assert (row.status, row.status_description) == ("failure", "file size exceeds limit")
 
 
-def test_unexpected_model_error_fails_the_job(spark):
+def test_unexpected_model_error_stays_in_its_row(spark):
     class Wrong:
         def __call__(self, *_):
             raise RuntimeError("bug in model")
 
-    rows = spark.createDataFrame([("a.jpg", b"1")], "image_path string, content binary")
-    with pytest.raises(Exception, match="bug in model"):
-        enrich.describe(rows, Wrong, "P", content="content").collect()
+    rows = spark.createDataFrame([("a.jpg", b"1"), ("b.jpg", None)], "image_path string, content binary")
+    got = {r.image_path: r for r in enrich.describe(rows, Wrong, "P", content="content").collect()}
+    assert got["a.jpg"].status == "failure" and got["a.jpg"].status_description == "bug in model"
+    assert got["b.jpg"].status_description == enrich.NO_IMAGE
+
+
+def test_calls_are_spread_over_all_cores(spark):
+    ids = spark.range(5_000).select(F.col("id").cast("string").alias("record_id")).coalesce(1)
+    calls = enrich.fetch_records(ids, Client, first_delay=0.0)
+    cores = spark.sparkContext.defaultParallelism
+    assert cores > 1 and calls.rdd.getNumPartitions() == cores
+    described = enrich.describe(
+        spark.createDataFrame([("a.jpg", b"1")], "image_path string, content binary"), Model, "P", content="content"
+    )
+    assert described.rdd.getNumPartitions() == cores
+
+
+def test_one_budget_of_retries_per_record():
+    left = {"first": 2, "second": 2}
+
+    def busy(name):
+        if left[name]:
+            left[name] -= 1
+            raise enrich.RateLimited()
+        return name
+
+    pauses = []
+    assert enrich.call_patiently(lambda: busy("first"), 3, 1.0, 60.0, pauses.append) == ("first", 2)
+    with pytest.raises(enrich.RateLimited):
+        enrich.call_patiently(lambda: busy("second"), 3, 1.0, 60.0, pauses.append, used=2)
+    assert pauses == [1.0, 2.0, 4.0]
 
 
 def test_summary_counts_null_as_failure(spark):

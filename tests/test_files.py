@@ -182,9 +182,12 @@ def test_download_by_base_name_reports_clashes(spark, tmp_path):
     for path, data in (("p/a", b"1"), ("q/a", b"2"), ("q/b", b"33")):
         put(tmp_path / "store", path, data)
     keys = files.list_objects(spark, str(tmp_path / "store"))
+    put(tmp_path / "to", "b", b"older")
     got = files.download_objects(keys, str(tmp_path / "store"), str(tmp_path / "to")).collect()
-    assert {(r.key, r.bytes) for r in got} == {("p/a", None), ("q/a", None), ("q/b", 2)}
-    assert [p.name for p in (tmp_path / "to").iterdir()] == ["b"]
+    assert {(r.key, r.bytes, r.error) for r in got} == {
+        ("p/a", 1, None), ("q/a", None, "p/a has the name a"), ("q/b", None, "b exists")
+    }
+    assert {p.name: p.read_bytes() for p in (tmp_path / "to").iterdir()} == {"a": b"1", "b": b"older"}
     assert [(r.basename, r.keys) for r in m.name_clashes(keys).collect()] == [("a", 2)]
 
 
@@ -198,6 +201,24 @@ def test_manifest_json_and_totals(spark, tmp_path):
     assert tuple(m.manifest_totals(back).head()) == (2, 2)
 
 
+def test_large_files_are_lots_of_their_own(spark):
+    rows = [(f"f{i}", 100) for i in range(400)] + [("big", 20_000), ("huge", 40_000)]
+    spread = files._spread(spark.createDataFrame(rows, "path string, size bigint"))
+    loads = spread.withColumn("p", F.spark_partition_id()).groupBy("p").agg(F.sum("size").alias("n"), F.collect_set("path").alias("f"))
+    homes = {name: r.n for r in loads.collect() for name in r.f}
+    assert len(homes) == 402 and spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert len(loads.collect()) > 1
+
+
+def test_repeated_checksums_must_agree(spark):
+    files_ = spark.createDataFrame([("a", "1")], "file string, md5 string")
+    twice = spark.createDataFrame([("a", "1"), ("a", "1")], "file string, checksum string")
+    assert m.check_declared(files_, twice).count() == 1
+    other = spark.createDataFrame([("a", "1"), ("a", "2")], "file string, checksum string")
+    with pytest.raises(Exception, match="several checksums for a"):
+        m.check_declared(files_, other).collect()
+
+
 def test_declared_checksum_is_only_marked(spark):
     files_ = spark.createDataFrame([("a", "1"), ("b", "2"), ("c", "3")], "file string, md5 string")
     catalog = spark.createDataFrame([("a", "1"), ("b", "x")], "file string, checksum string")

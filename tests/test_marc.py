@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -166,3 +168,19 @@ def test_text_of_a_record_round_trips(spark):
     )
     row = back.head()
     assert row.again == row.record
+
+
+def test_records_with_a_prefix(spark, tmp_path):
+    plain = collection(*[xml_record(i) for i in range(3)])
+    marked = re.sub(r"<(/?)(record|collection|controlfield|datafield|subfield|leader)", r"<\1marc:\2", collection(*[xml_record(i) for i in range(10, 14)]))
+    marked = marked.replace("xmlns=", "xmlns:marc=")
+    (tmp_path / "a.xml").write_text(plain)
+    (tmp_path / "b.xml").write_text(marked)
+    ids = lambda records: sorted(int(r[0]) for r in records.select(marc.control_field(F.col("record"), "001")).collect())
+    assert ids(read_checked(spark, str(tmp_path / "b.xml"))) == [10, 11, 12, 13]
+    assert ids(read_checked(spark, str(tmp_path))) == [0, 1, 2, 10, 11, 12, 13]
+    (tmp_path / "c.xml").write_text("<feed><entry>x</entry></feed>")
+    with pytest.raises(ValueError, match="no record"):
+        read_checked(spark, str(tmp_path / "c.xml"))
+    (tmp_path / "d.xml").write_text("<collection/>")
+    assert read_checked(spark, str(tmp_path / "d.xml")).count() == 0

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from carrel.functions.marc import PROVIDER_FIELD
 from carrel.operators import dedupe, orders, reconcile
+from carrel.session import stage
 from carrel.sources.marc21 import encode, first_values, parse, read_pieces, with_record_index
 from carrel.sources.marcxml import read_marcxml
 from queries import inputs
@@ -50,7 +51,7 @@ def test_orders_are_published_without_a_shuffle(spark, tmp_path):
     checked = orders.with_provider(first_values(rows, provider_value=PROVIDER_FIELD))
     counts = orders.count_by_provider(checked)
     outputs = orders.planned_outputs(counts, orders.rejected_files(counts), 2026)
-    outputs = outputs.withColumn("exists", F.lit(False))
+    outputs = stage(outputs.withColumn("exists", F.lit(False)), "outputs")
     routed = orders.with_provider(
         first_values(rows, checked=False, provider_value=PROVIDER_FIELD)
     )

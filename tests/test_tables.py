@@ -4,8 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from carrel.operators import batches, corpora, dedupe, reconcile
-from carrel.operators.sizing import broadcast_if_small
-from carrel.plans.corpora import available, read_catalog
+from carrel.plans.corpora import available, download, read_catalog
 from carrel.plans.reconciliation import reconcile_folder
 from carrel.sources import html, tables
 from tests.helpers import collection, xml_record
@@ -105,14 +104,6 @@ def test_latest_keeps_all_ties(spark):
     assert got.columns == df.columns
 
 
-def test_shuffled_join_gives_the_same_when_nothing_is_small(spark):
-    df = spark.range(100).withColumnRenamed("id", "k")
-    assert broadcast_if_small(df, max_rows=99) is df
-    assert broadcast_if_small(df, max_rows=100) is not df
-    assert broadcast_if_small(df, max_bytes=10) is df
-    assert sorted(r.k for r in broadcast_if_small(df).collect()) == list(range(100))
-
-
 @pytest.mark.parametrize("n", [0, 1, 10, 1003])
 def test_batches(spark, n):
     values = random.Random(n).sample(range(10 * n + 1), n)
@@ -181,3 +172,54 @@ def test_shards(spark, tmp_path):
     folders = {p.name for p in (tmp_path / "s").iterdir() if p.is_dir()}
     assert {"shard=8", "shard=9", "shard=10", "shard=12"} <= folders
     assert spark.read.parquet(str(tmp_path / "s")).count() == 122
+
+
+def test_first_and_last_with_null_order(spark):
+    rows = [("a", None, "x"), ("b", 1, "y"), ("b", None, "z"), ("b", 2, "w")]
+    df = spark.createDataFrame(rows, "k string, at int, v string")
+    assert {tuple(r) for r in dedupe.last_wins(df, ["k"], ["at"]).collect()} == {("a", None, "x"), ("b", 2, "w")}
+    assert {tuple(r) for r in dedupe.first_seen(df, ["k"], ["at"]).collect()} == {("a", None, "x"), ("b", None, "z")}
+
+
+def test_empty_rerun_leaves_no_rows(spark, tmp_path):
+    rows = spark.createDataFrame([(1,), (2,)], "n int")
+    tables.publish(rows, str(tmp_path), "t", "run-1")
+    tables.publish(rows, str(tmp_path), "t", "run-2")
+    tables.publish(rows.limit(0), str(tmp_path), "t", "run-1")
+    assert tables.read_run(spark, str(tmp_path), "t", "run-1", "n int").count() == 0
+    assert tables.read_run(spark, str(tmp_path), "t", "run-2", "n int").count() == 2
+    with pytest.raises(ValueError, match="plain"):
+        tables.publish(rows, str(tmp_path), "t", "a/b")
+
+
+def test_unreadable_date_is_not_passed_over(spark):
+    page = "<table id='user-corpora-download-table'><tbody><tr><td>C</td><td>f</td><td>01.02.2026</td><td>x</td><td>m</td></tr></tbody></table>"
+    pages = spark.createDataFrame([(1, page)], "page int, html string")
+    columns = {"corpus_id": 0, "file": 1, "invoice_date": 2, "checksum": 4}
+    with pytest.raises(ValueError, match="01.02.2026"):
+        read_catalog(pages, ["page"], columns)
+    assert read_catalog(pages, ["page"], columns, strict=False).count() == 1
+    assert read_catalog(pages, ["page"], columns, date_format="dd.MM.yyyy").first().invoice_date.year == 2026
+
+
+class Corpora:
+    def get(self, link):
+        if link == "/broken":
+            raise OSError("gone")
+        header = 'attachment; filename="named.tgz"' if link == "/named" else None
+        return header, [link.encode(), b"!"]
+
+
+def test_download_with_checksum(spark, tmp_path):
+    import hashlib
+
+    md5 = hashlib.md5(b"/named!").hexdigest()
+    rows = [("a", "/named", md5.upper()), ("b", "/plain", "0"), ("c", "/broken", "1"), ("old", "/old", "2"), ("d", "/none", None)]
+    (tmp_path / "old").write_bytes(b"kept")
+    wanted = spark.createDataFrame(rows, "file string, download_link string, checksum string")
+    got = {r.file: r for r in download(wanted, Corpora, str(tmp_path)).collect()}
+    assert (got["a"].target, got["a"].md5, got["a"].checksum_ok, got["a"].bytes) == ("named.tgz", md5, True, 7)
+    assert got["b"].checksum_ok is False and got["c"].error == "gone" and got["old"].error == "old exists"
+    assert got["d"].checksum_ok is None and got["d"].bytes == 6
+    assert {p.name for p in tmp_path.iterdir()} == {"named.tgz", "b", "old", "d"}
+    assert (tmp_path / "old").read_bytes() == b"kept"
