@@ -259,23 +259,26 @@ def _shapes(pages, text):
     return pages.select("host", shape_of(text).alias("_s")).select("host", "_s.*")
 
 
+_PARTS = pa.schema([("host", pa.string()), ("part", pa.int32()), ("shape", pa.string())])
+
+
 def _fold(batches):
     """Wrappers of runs of equal (host, part) in sorted rows."""
     key, wrapper = None, None
     for batch in batches:
         done = []
-        for host, part, plain in zip(*(batch.column(c).to_pylist() for c in ("host", "part", "shape"))):
-            node = restored(json.loads(plain))
-            if (host, part) == key:
+        for row in batch.to_pylist():
+            node = restored(json.loads(row["shape"]))
+            if (row["host"], row["part"]) == key:
                 wrapper = folded(merge(wrapper, node))
                 continue
             if key is not None:
-                done.append((*key, json.dumps(wrapper.plain())))
-            key, wrapper = (host, part), node
+                done.append({"host": key[0], "part": key[1], "shape": json.dumps(wrapper.plain())})
+            key, wrapper = (row["host"], row["part"]), node
         if done:
-            yield pa.record_batch(list(map(pa.array, zip(*done))), names=["host", "part", "shape"])
+            yield pa.RecordBatch.from_pylist(done, _PARTS)
     if key is not None:
-        yield pa.record_batch([pa.array([key[0]]), pa.array([key[1]], pa.int32()), pa.array([json.dumps(wrapper.plain())])], names=["host", "part", "shape"])
+        yield pa.RecordBatch.from_pylist([{"host": key[0], "part": key[1], "shape": json.dumps(wrapper.plain())}], _PARTS)
 
 
 def _folded(shapes, tasks):

@@ -90,3 +90,12 @@ def test_empty_and_extra_columns(spark, hosts):
     odd = pages.select("*", *[F.lit(1).alias(c) for c in ("host", "part", "shape", "paths", "text")])
     out = wrappers.extract(odd)
     assert out.columns == odd.columns and out.count() == len(hosts)
+
+
+def test_many_hosts_in_one_task(spark):
+    rows = [(i, f"http://h{i % 40}.example.org/{i}", page(f"T{i}", "x", extra="<h2>y</h2>" * (i % 3))) for i in range(200)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    found = {r.host: r.wrapper for r in wrappers.infer(pages, shapes_per_part=2).collect()}
+    assert len(found) == 40 and all("(<h2> # </>)" in w for w in found.values())
+    texts = {r.page_id: r.text for r in wrappers.extract(pages).collect()}
+    assert texts == {i: "\n\n".join([f"T{i}", "x"] + ["y"] * (i % 3)) for i in range(200)}
