@@ -173,6 +173,18 @@ described AS (
   FROM images)
 """
 
+PAGE_FETCH = fetched(f"SELECT page_id AS n, * FROM pages WHERE {ACCEPTED}")
+
+PAGE_DESCRIBED = """
+stored AS (
+  SELECT * EXCLUDE (size), to_base64(encode(repeat('image ' || n || ' ', (n % 9 + 1)::INT))) AS b64
+  FROM statuses WHERE status = 'fetched'),
+answers AS (
+  SELECT *, length(b64) AS size,
+    CASE WHEN length(b64) % 28 = 0 OR length(b64) % 44 = 0 THEN 'failure' ELSE 'success' END AS answer
+  FROM stored)
+"""
+
 ORACLE = {
     "reconcile_both": f"WITH {LOCAL} SELECT filename, in_catalog FROM result",
     "reconcile_in": f"WITH {LOCAL} SELECT filename FROM result WHERE in_catalog",
@@ -198,15 +210,15 @@ UNION ALL SELECT 7, '000', '{RULER}' FROM n WHERE b > 0
     "reconcile_report_text": f"""
 WITH {LOCAL},
 n AS (SELECT count(*) AS b FROM result WHERE NOT in_catalog)
-SELECT '{RULER}' AS line FROM n
-UNION ALL SELECT rpad('     ARCHIVE FILE COMPARISON REPORT', 40, ' ') FROM n
-UNION ALL SELECT '{RULER}' FROM n
-UNION ALL SELECT 'Total files not found in Archive: ' || b FROM n
-UNION ALL SELECT '{RULER}' FROM n
-UNION ALL SELECT '' FROM n WHERE b > 0
-UNION ALL SELECT '--- FILES NOT FOUND IN ARCHIVE ---' FROM n WHERE b > 0
-UNION ALL SELECT filename FROM result WHERE NOT in_catalog
-UNION ALL SELECT '{RULER}' FROM n WHERE b > 0
+SELECT 0::BIGINT AS line_no, '{RULER}' AS line FROM n
+UNION ALL SELECT 1, rpad('     ARCHIVE FILE COMPARISON REPORT', 40, ' ') FROM n
+UNION ALL SELECT 2, '{RULER}' FROM n
+UNION ALL SELECT 3, 'Total files not found in Archive: ' || b FROM n
+UNION ALL SELECT 4, '{RULER}' FROM n
+UNION ALL SELECT 5, '' FROM n WHERE b > 0
+UNION ALL SELECT 6, '--- FILES NOT FOUND IN ARCHIVE ---' FROM n WHERE b > 0
+UNION ALL SELECT 6 + row_number() OVER (ORDER BY first_seen), filename FROM result WHERE NOT in_catalog
+UNION ALL SELECT 7 + b, '{RULER}' FROM n WHERE b > 0
 """,
     "reconcile_folder": f"""
 WITH named AS (
@@ -235,6 +247,13 @@ FROM pages
 """,
     "marcxml_route": ROUTED,
     "routing_counts": f"SELECT status, count(*) AS records FROM ({ROUTED}) GROUP BY status",
+    "marcxml_prefixed": """
+SELECT 'local-' || page_id AS local_id,
+       concat_ws('|', CASE WHEN page_id % 7 <> 0 THEN url END,
+                 CASE WHEN page_id % 5 = 0 THEN 'https://more.example.org/m/' || page_id || '|' END) AS urls,
+       2::BIGINT AS records
+FROM pages
+""",
     "marcxml_urls": f"""
 SELECT url, {BASE} AS filename FROM pages WHERE page_id % 7 <> 0 AND url <> ''
 UNION ALL
@@ -283,6 +302,7 @@ WITH {ORDER_ROWS} SELECT filename, 'record length is not a number' AS reason FRO
 SELECT filename, records_read, records_written, records_skipped, outputs,
        records_read IS NULL AS left_behind, records_read IS NOT NULL AS archived
 FROM (SELECT DISTINCT filename FROM order_rows) LEFT JOIN stats USING (filename)
+UNION ALL SELECT 'ebook-nothing.ord', 0, 0, 0, '', false, true
 """,
     "output_names": """
 SELECT o_orderkey,
@@ -319,10 +339,13 @@ WITH {FILES} SELECT path AS key, size FROM files
 WHERE starts_with(path, 'src1') AND ends_with(lower(path), '.txt')
 """,
     "object_download": f"""
-WITH {FILES}
-SELECT path AS key, regexp_extract(path, '([^/]*)$', 1) AS filename, size AS bytes,
-       NULL::VARCHAR AS error
-FROM files
+WITH {FILES}, named AS (SELECT *, regexp_extract(path, '([^/]*)$', 1) AS filename FROM files)
+SELECT path AS key, filename, CASE WHEN doc_id % 23 <> 0 THEN size END AS bytes,
+       CASE WHEN doc_id % 23 = 0 THEN filename || ' exists' END AS error
+FROM named
+UNION ALL
+SELECT 'zz/' || filename, filename, NULL, path || ' has the name ' || filename
+FROM named WHERE doc_id % 17 = 0
 """,
     "name_clashes": r"""
 SELECT regexp_extract(url, '([^/]*)$', 1) AS basename, count(*) AS keys
@@ -409,15 +432,37 @@ SELECT 'processed', count(*), count(*) FILTER (status = 'success'),
 UNION ALL
 SELECT 'skipped', count(*), NULL, NULL FROM ({ROUTED}) WHERE status = 'skipped'
 """,
-    "enrichment_run": f"""
-WITH {fetched(f"SELECT page_id AS n, * FROM pages WHERE {ACCEPTED}")}
+    "enrichment_fetched": f"""
+WITH {PAGE_FETCH}
 SELECT n::VARCHAR AS record_id, 'local-' || n AS local_id, 'Set ' || (n % 6) AS collection, status,
        description AS status_description,
        'https://catalog.example.org/record/' || n || '?ln=en' AS record_link, url AS image_url,
        path AS image_path
 FROM statuses
 """,
-    "status_summary": """
+    "enrichment_run": f"""
+WITH {PAGE_FETCH}, {PAGE_DESCRIBED}
+SELECT 'local-' || n AS local_id, 'https://catalog.example.org/r/local-' || n AS record_link,
+       regexp_extract(path, '([^/]*)$', 1) AS image_name, 'Set ' || (n % 6) AS collection, answer AS status,
+       CASE answer WHEN 'success' THEN ''
+            ELSE CASE WHEN size % 28 = 0 THEN 'cannot read ' || size || ' characters'
+                      ELSE 'no content in response' END END AS status_description,
+       CASE answer WHEN 'success' THEN 'Describe. image/jpeg ' || size || ' ' || right(b64, 8) ELSE '' END AS description,
+       'Image description generated by AI (Model One) and reviewed on [MM/YYYY].' AS note,
+       'image-description|model-1|carrel/7' AS provenance, '2026-02-03' AS run_date,
+       '520' AS target_field
+FROM answers
+""",
+    "enrichment_summary": f"""
+WITH {PAGE_FETCH}, {PAGE_DESCRIBED}
+SELECT 'fetched' AS stage, count(*) AS total, count(*) FILTER (status = 'fetched') AS successes,
+       count(*) FILTER (status <> 'fetched') AS failures FROM statuses
+UNION ALL
+SELECT 'processed', count(*), count(*) FILTER (answer = 'success'),
+       count(*) FILTER (answer <> 'success') FROM answers
+UNION ALL
+SELECT 'skipped', count(*), NULL, NULL FROM ({ROUTED}) WHERE status = 'skipped'
+""",    "status_summary": """
 SELECT count(*) AS total, count(*) FILTER (event_type = 'purchase') AS successes,
        count(*) FILTER (event_type IS DISTINCT FROM 'purchase') AS failures
 FROM events
@@ -426,10 +471,17 @@ FROM events
 SELECT c_custkey, n_name, n_regionkey::BIGINT AS n_regionkey
 FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
 """,
-    "mime_types": f"""
-WITH {DESCRIBED} SELECT image_path, mime, true AS supported FROM images
-""",
-    "stamps": """
+    "mime_types": """
+WITH named AS (
+  SELECT doc_id, '/images/' || source || '/' || doc_id * 3 || '.' || CASE doc_id * 3 % 5 WHEN 0 THEN 'jpg' WHEN 1 THEN 'PNG'
+         WHEN 2 THEN 'gif' WHEN 3 THEN 'webp' ELSE 'jpeg' END AS image_path
+  FROM documents)
+SELECT image_path || CASE doc_id % 5 WHEN 0 THEN '' WHEN 1 THEN '.tiff' WHEN 2 THEN '.unknown' WHEN 3 THEN '.mp4'
+       ELSE '/plain' END AS image_path,
+       CASE doc_id % 5 WHEN 0 THEN 'image/jpeg' WHEN 1 THEN 'image/tiff' WHEN 3 THEN 'video/mp4' END AS mime,
+       doc_id % 5 = 0 AS supported
+FROM named
+""",    "stamps": """
 SELECT event_id, strftime(ts, '%Y-%m-%d') AS day, strftime(ts, '%Y%m%d_%H%M%S') AS second,
        left('0' || event_id, 2) AS shard,
        event_type || '|m|ns/' || user_id AS provenance,
@@ -482,6 +534,23 @@ SELECT 'C' || o_custkey AS corpus_id, 'disc-' || o_orderkey || '.tgz' AS file,
 FROM orders
 QUALIFY rank() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC) = 1
 """,
+    "corpus_available": """
+SELECT 'C' || o_custkey AS corpus_id, file, '/d/' || file || '?a=1&b=2' AS download_link
+FROM (SELECT *, 'disc-' || o_orderkey || '.tgz' AS file FROM orders
+      WHERE o_custkey = (SELECT min(o_custkey) FROM orders)
+      QUALIFY rank() OVER (ORDER BY o_orderdate DESC) = 1)
+""",
+    "corpus_download": """
+WITH latest AS (
+  SELECT o_orderkey AS k, 'disc-' || o_orderkey || '.tgz' AS file FROM orders
+  QUALIFY rank() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC) = 1)
+SELECT file, CASE WHEN k % 7 = 0 THEN NULL WHEN k % 3 = 0 THEN 'got-' || k || '.tgz' ELSE file END AS target,
+       CASE WHEN k % 7 <> 0 THEN strlen(file) END AS bytes, CASE WHEN k % 7 <> 0 THEN md5(file) END AS md5,
+       CASE WHEN k % 7 <> 0 THEN true END AS checksum_ok,
+       CASE WHEN k % 7 = 0 THEN 'no file ' || file END AS error
+FROM latest
+""",
+    "run_snapshot_emptied": "SELECT o_orderkey, o_orderpriority, 'run-2' AS run FROM orders",
     "run_snapshot": "SELECT o_orderkey, o_orderpriority FROM orders",
     "csv_round_trip": """
 SELECT doc_id::VARCHAR AS doc_id, md5(' "' || text || '",' || chr(10) || ' ') AS md5, '' AS "none"

@@ -1,5 +1,8 @@
 """Every operator as a query over the test tables: name -> (spark, sf_dir) -> DataFrame."""
 
+import datetime
+import functools
+
 from pyspark.sql import functions as F
 
 from carrel import schemas
@@ -59,11 +62,17 @@ def reconcile_report(spark, sf_dir):
 
 @query
 def reconcile_report_text(spark, sf_dir):
-    """The report written as text in order, read back with line numbers per file."""
+    """The report written as text, read back with the number of each line over all part files."""
     result = stage(_reconciled(spark, sf_dir, reconcile.NOT_IN, order="position"), "reconciled")
     folder = new_folder(spark, "report")
     tables.write_report(reconcile.report_lines(result, reconcile.NOT_IN, label="Archive"), folder)
-    return spark.read.text(folder).select(F.col("value").alias("line"))
+    lines = spark.read.text(folder).select(
+        F.col("value").alias("line"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"),
+    )
+    return batches.with_row_index(lines, ["file", "block", "at"], "line_no").select("line_no", "line")
 
 
 @query
@@ -127,6 +136,21 @@ def marcxml_route(spark, sf_dir):
     return _routed(spark, sf_dir)
 
 
+@query
+def marcxml_prefixed(spark, sf_dir):
+    """Records with a namespace prefix, next to a file without records' prefix; found without being told."""
+    folder = new_folder(spark, "prefixed")
+    made = i.catalog_records(t(spark, sf_dir, "pages"))
+    marcxml.write_marcxml(made, f"{folder}/a", prefix="marc:")
+    marcxml.write_marcxml(made, f"{folder}/b")
+    rec = F.col("record")
+    records = marcxml.read_checked(spark, f"{folder}/*")
+    return records.groupBy(
+        marc.subfield_first(rec, "035", "a").alias("local_id"),
+        F.array_join(marc.link_urls(rec), "|").alias("urls"),
+    ).agg(F.count(F.lit(1)).alias("records"))
+
+
 @query
 def routing_counts(spark, sf_dir):
     return routing.routing_counts(_routed(spark, sf_dir))
@@ -159,7 +183,12 @@ def order_files_listed(spark, sf_dir):
 
 @query
 def marc21_records(spark, sf_dir):
-    records = marc21.read_marc21(spark, i.order_folder(spark, sf_dir), record_index=True)
+    # Small splits, so that the numbers of a file come from several of them.
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        records = marc21.read_marc21(spark, i.order_folder(spark, sf_dir), record_index=True)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
     routed = orders.with_provider(records)
     rec = F.col("record")
     return routed.select(
@@ -238,14 +267,16 @@ def marc21_rejects(spark, sf_dir):
 
 @query
 def order_stream_stats(spark, sf_dir):
-    """The streaming intake, run twice; the second run finds nothing new."""
+    """The streaming intake in several steps, with an empty file; run again, and once more with a new checkpoint."""
     folder = i.write_order_files(spark, sf_dir)
+    nothing = spark.createDataFrame([("ebook-nothing.ord", b"")], "path string, content binary")
+    stage(files.write_files(nothing, folder), "written")
     root, archive = i.mounted(spark, "stream-out"), i.mounted(spark, "archive")
-    checkpoint = new_folder(spark, "stream-state")
     existing = i.existing_outputs(t(spark, sf_dir, "orders"))
-    for _ in range(2):
+    first, second = new_folder(spark, "stream-state"), new_folder(spark, "stream-state")
+    for checkpoint in (first, first, second):
         order_stream(
-            spark, folder, root, archive, checkpoint, i.YEAR, max_files=40, existing=existing
+            spark, folder, root, archive, checkpoint, i.YEAR, max_files=3, existing=existing
         ).awaitTermination()
     left = files.list_names(spark, folder, "ord").withColumn("left_behind", F.lit(True))
     kept = files.list_names(spark, archive, "ord").withColumn("archived", F.lit(True))
@@ -377,13 +408,16 @@ def object_keys(spark, sf_dir):
 
 @query
 def object_download(spark, sf_dir):
-    """Objects into one folder; names that several keys share are not copied."""
-    uri = i.source_folder(spark, sf_dir)
-    keys = files.list_objects(spark, uri).select(
-        F.col("key"), "size"
-    )
-    done = stage(files.download_objects(keys, uri, i.mounted(spark, "download")), "downloads")
-    return done
+    """Objects into one folder: the first of equal names is copied, a file that is there stays."""
+    uri, target = i.mounted(spark, "store"), i.mounted(spark, "download")
+    documents = i.document_files(t(spark, sf_dir, "documents"))
+    name = names.key_basename(F.col("path"))
+    again = documents.where(F.col("doc_id") % 17 == 0).withColumn("path", F.concat(F.lit("zz/"), name))
+    stage(files.write_files(documents.unionByName(again), uri), "written")
+    older = documents.where(F.col("doc_id") % 23 == 0).withColumn("path", name).withColumn("content", F.lit(b"older"))
+    stage(files.write_files(older, target), "written")
+    keys = files.list_objects(spark, uri).select("key", "size")
+    return stage(files.download_objects(keys, uri, target), "downloads")
 
 
 @query
@@ -436,6 +470,8 @@ def declared_checksum(spark, sf_dir):
         name.alias("file"),
         F.when(F.col("doc_id") % 10 == 0, F.reverse(actual)).otherwise(actual).alias("checksum"),
     )
+    # A catalog may list a file several times.
+    catalog = catalog.unionByName(catalog.where(F.substring("file", -5, 1) == "5"))
     header = (
         F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit('attachment; filename="'), "doc_id", F.lit('.tgz"')))
         .when(F.col("doc_id") % 3 == 1, F.concat(F.lit("attachment; filename="), "doc_id", F.lit(".tgz")))
@@ -588,9 +624,8 @@ def job_summary(spark, sf_dir):
     )
 
 
-@query
-def enrichment_run(spark, sf_dir):
-    """The whole job on the MARCXML collection: scan to exported tables."""
+def _enrichment(spark, sf_dir):
+    """The whole job on the MARCXML collection, once: scan, route, fetch, describe, publish, export."""
     settings = enrichment.Settings(
         link_template=i.LINK,
         output_link_template="https://catalog.example.org/r/{id}",
@@ -600,13 +635,41 @@ def enrichment_run(spark, sf_dir):
         model_label="Model One",
         run_date="2026-02-03",
     )
-    root = new_folder(spark, "run")
-    records = marcxml.read_checked(spark, i.collection_folder(spark, sf_dir))
-    routed = enrichment.route(records, settings)
-    got = enrichment.fetch(routed, i.ImageService, settings, first_delay=0.0)
-    tables.publish(got, root, "fetched", "run-1")
-    tables.write_stage(got, f"{root}/fetched.csv", schemas.FETCHED_HEADINGS)
-    return tables.read_stage(spark, f"{root}/fetched.csv", schemas.FETCHED_HEADINGS)
+    moment = datetime.datetime(2026, 2, 3, 4, 5, 6)
+
+    def make():
+        root, folder = new_folder(spark, "run"), i.mounted(spark, "stored-images")
+        records = marcxml.read_checked(spark, i.collection_folder(spark, sf_dir))
+        done = enrichment.run(
+            records, functools.partial(i.StoredImages, folder), i.CaptionModel, settings, root, "run-1", moment,
+            fetch_options={"first_delay": 0.0}, describe_options={"root": folder},
+        )
+        return root, stage(done, "summary")
+
+    root, done = i.once(spark, sf_dir, "enrichment", make)
+
+    def exported(name, headings):
+        return tables.read_stage(spark, f"{root}/exports/run-1/{tables.export_name(name, moment)}", headings)
+
+    return exported, done
+
+
+@query
+def enrichment_run(spark, sf_dir):
+    """What the whole job has described, from its export."""
+    return _enrichment(spark, sf_dir)[0]("processed", schemas.PROCESSED_HEADINGS)
+
+
+@query
+def enrichment_fetched(spark, sf_dir):
+    """What the whole job has fetched, from its export."""
+    return _enrichment(spark, sf_dir)[0]("fetched", schemas.FETCHED_HEADINGS)
+
+
+@query
+def enrichment_summary(spark, sf_dir):
+    """The counts of the whole job's stages."""
+    return _enrichment(spark, sf_dir)[1]
 
 
 @query
@@ -629,9 +692,11 @@ def prompt_lookup(spark, sf_dir):
 def mime_types(spark, sf_dir):
     path = F.col("image_path")
     kind = names.mime_type(path)
-    return i.document_images(t(spark, sf_dir, "documents")).select(
-        "image_path", kind.alias("mime"), images.is_supported(kind).alias("supported")
-    )
+    ending = F.get(F.array(*[F.lit(x) for x in ("", ".tiff", ".unknown", ".mp4", "/plain")]), (F.col("doc_id") % 5).cast("int"))
+    rows = i.document_images(t(spark, sf_dir, "documents").withColumn("doc_id", F.col("doc_id") * 3))
+    rows = rows.withColumn("doc_id", (F.col("record_id").cast("bigint") / 3).cast("bigint"))
+    rows = rows.withColumn("image_path", F.concat("image_path", ending))
+    return rows.select("image_path", kind.alias("mime"), images.is_supported(kind).alias("supported"))
 
 
 @query
@@ -691,8 +756,13 @@ _COLUMNS = {"corpus_id": 0, "file": 1, "invoice_date": 2, "checksum": 4}
 
 
 def _corpora(spark, sf_dir):
-    pages = i.corpus_pages(t(spark, sf_dir, "orders"))
-    return corpus_plan.read_catalog(pages, ["page"], _COLUMNS, tasks=i.tasks(spark))
+    """The pages parsed once, for all queries on them."""
+
+    def make():
+        pages = i.corpus_pages(t(spark, sf_dir, "orders"))
+        return corpus_plan.read_catalog(pages, ["page"], _COLUMNS, tasks=i.tasks(spark))
+
+    return i.once(spark, sf_dir, "corpora", make)
 
 
 @query
@@ -723,9 +793,41 @@ def corpus_latest(spark, sf_dir):
     return wanted.select("corpus_id", "file", "download_link")
 
 
+@query
+def corpus_available(spark, sf_dir):
+    """The downloads of the corpus of the customer with the smallest number."""
+    least = t(spark, sf_dir, "orders").agg(F.min("o_custkey")).head()[0]
+    wanted = corpus_plan.available(_corpora(spark, sf_dir), f"C{least}")
+    return wanted.select("corpus_id", "file", "download_link")
+
+
+@query
+def corpus_download(spark, sf_dir):
+    """The latest archives of every corpus, fetched, named and checked."""
+
+    def make():
+        wanted = corpora.filter_corpora(_corpora(spark, sf_dir), file_pattern=r"\.tgz$")
+        return corpus_plan.download(wanted, i.CorpusServer, i.mounted(spark, "corpora"))
+
+    got = i.once(spark, sf_dir, "corpus-download", make)
+    return got.select("file", "target", "bytes", "md5", "checksum_ok", "error")
+
+
 # Stage tables
 
 
+@query
+def run_snapshot_emptied(spark, sf_dir):
+    """A run that is published again without rows, next to one that stays."""
+    root = new_folder(spark, "snapshots")
+    rows = t(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+    for run, part in (("run-1", rows), ("run-2", rows), ("run-1", rows.limit(0))):
+        tables.publish(part, root, "skipped", run)
+    schema = "o_orderkey bigint, o_orderpriority string"
+    kept = [tables.read_run(spark, root, "skipped", run, schema).withColumn("run", F.lit(run)) for run in ("run-1", "run-2")]
+    return kept[0].unionByName(kept[1])
+
+
 @query
 def run_snapshot(spark, sf_dir):
     """Two runs published, the first one twice; one run read back."""
