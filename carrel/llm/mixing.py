@@ -101,6 +101,11 @@ def apportion(votes, seats, by=(), order=("source",)):
     )
 
 
+def _drawn(*parts):
+    """60 seeded bits of the parts' digest, as a long."""
+    return F.conv(F.substring(F.md5(F.encode(F.concat_ws(":", *parts), "UTF-8")), 1, 15), 16, 10).cast("long")
+
+
 def mix(docs, ratio=1.5, cap=2.0, weights=WEIGHTS, block=8, shard_words=500_000, seed=7, id_col="doc_id"):
     """How many words the mix takes of each document.
 
@@ -121,7 +126,7 @@ def mix(docs, ratio=1.5, cap=2.0, weights=WEIGHTS, block=8, shard_words=500_000,
     shards = max(1, -(-words // shard_words))
     targets = stage(source_targets(sizes, ratio, cap, weights), "mix-targets")
     text_id = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
-    place = F.xxhash64(text_id, F.lit(seed))
+    place = _drawn(text_id, F.lit(str(seed)))
     laid = sizes.withColumn("_place", place).withColumn("_shard", F.pmod("_place", F.lit(shards)))
 
     # Seats of the sources, then of their shards.
@@ -134,7 +139,8 @@ def mix(docs, ratio=1.5, cap=2.0, weights=WEIGHTS, block=8, shard_words=500_000,
     blocks = F.ceil(F.col("cell") / block)
     quota = F.least(F.col("quota"), F.lit(int(-(-cap // 1))) * blocks)
     times = F.when(blocks > 0, F.floor(quota / blocks)).otherwise(F.lit(0))
-    start = F.pmod(F.xxhash64(F.col("source"), F.col("_shard"), F.lit(seed + 1)), F.greatest(blocks, F.lit(1)))
+    begin = _drawn(F.coalesce(F.col("source"), F.lit("")), F.col("_shard").cast("string"), F.lit(str(seed + 1)))
+    start = F.pmod(begin, F.greatest(blocks, F.lit(1)))
     cells = stage(
         cells.select(
             "source", "_shard", "cell", times.alias("_times"), (quota - times * blocks).alias("_extra"),

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from carrel.llm import decontaminate, mixing, secrets, sharding, simhash, spotsigs, suffix, templates, toxicity, wrappers
 from carrel.llm.common import table
+from carrel.llm.oracle import ORACLE  # noqa: F401  (registered with the queries)
 
 
 def op1_spotsigs(spark, sf_dir):
@@ -105,4 +106,3 @@ QUERIES = {
     "op9_simhash_groups": op9_simhash_groups,
     "op10_line_templates": op10_line_templates,
 }
-ORACLE = {}
