@@ -140,6 +140,14 @@ def train(texts, toxic, rounds=50, rate=0.15, decay=2e-3, least=10.0, times=12.0
     seen = np.zeros((2, len(slots)))
     for kind, words in zip(toxic, rows):
         seen[int(kind)][np.unique(table[words])] += 1
+    # Copies with small edits repeat a word next to the same word: those count once.
+    none = len(table)
+    pairs = [np.zeros(0, np.int64)]
+    for kind, words in zip(toxic, rows):
+        if kind and len(words):
+            pairs.append(words.astype(np.int64) * (none + 1) + np.concatenate([[none], words[:-1]]))
+    places = np.bincount(np.unique(np.concatenate(pairs)) // (none + 1), minlength=none)
+    seen[1] = np.minimum(seen[1], np.bincount(table.ravel(), np.repeat(places, 6), len(slots)))
     rates = (seen + np.array([[0.5], [0.0]])) / np.array([[(~toxic).sum() + 1.0], [toxic.sum()]])
     part = toxic.mean()
     own = np.clip(seen[1] / np.maximum(seen.sum(0), 1), 1e-9, 1 - 1e-9)
@@ -229,10 +237,10 @@ def _facts(chance):
     return [max(-6.0, np.log(top / (1 - top))), np.log1p(chance[chance > 0.1].sum())]
 
 
-def fit(docs, labels, sample=1200, where=None, seed=3, id_col="doc_id", text="text", label="toxic"):
-    """A model from at most ``sample`` labelled documents of each kind, in a seeded order of their ids.
+def fit(docs, labels, sample=1200, clean_sample=2400, where=None, seed=3, id_col="doc_id", text="text", label="toxic"):
+    """A model from at most ``sample`` toxic and ``clean_sample`` clean labelled documents, in a seeded order of ids.
 
-    The bound holds for the fit alone: it is what reaches the driver. The ids
+    The bounds hold for the fit alone: they are what reaches the driver. The ids
     only choose rows and are no input. ``where`` limits the labelled rows that
     may be used. A repeated label counts as toxic if one of its rows is; null
     labels are not used. Without labelled documents of both kinds every score
@@ -242,7 +250,8 @@ def fit(docs, labels, sample=1200, where=None, seed=3, id_col="doc_id", text="te
     if where is not None:
         known = known.where(where(F.col("_id")))
     order = F.xxhash64(F.col("_id").cast("string"), F.lit(seed))
-    kinds = [known.where(F.col("_label") == k).orderBy(order, "_id").limit(sample) for k in (0, 1)]
+    bounds = {0: clean_sample, 1: sample}
+    kinds = [known.where(F.col("_label") == k).orderBy(order, "_id").limit(n) for k, n in bounds.items()]
     chosen = kinds[0].unionByName(kinds[1])
     rows = (
         docs.select(F.col(id_col).alias("doc_id"), whole_text(text).alias("text"))
