@@ -11,7 +11,11 @@ from pyspark.sql import functions as F
 
 from carrel.llm.common import stage, whole_text
 
-FIELD = 0  # stands for a variable field among token hashes
+MARK = "\x01"  # stands for a variable field
+
+
+def _field():
+    return F.hash(F.lit(MARK))
 
 
 def _row_id(docs, id_col, text):
@@ -24,10 +28,15 @@ def _row_id(docs, id_col, text):
 
 def tokenised(docs, depth, text="text"):
     """One row per line with tokens: row id, ``line`` (from 0), ``leaf``, ``tokens`` (hashes, fields masked)."""
-    each = docs.select("_r1", "_r2", F.posexplode(F.split(whole_text(text), "\n")).alias("line", "_l"))
-    words = F.array_remove(F.split(F.regexp_replace("_l", r"[^\s\d]*+\d\S*+", "\x01"), r"\s+"), "")
-    hashes = F.transform(words, lambda w: F.when(w == "\x01", F.lit(FIELD)).otherwise(F.hash(w)))
-    lines = each.select("_r1", "_r2", "line", hashes.alias("tokens")).where(F.size("tokens") > 0)
+    plain = F.translate(whole_text(text), "\t\x0b\f\r", "    ")
+    masked = F.regexp_replace(plain, r"[^ \n0-9]*+[0-9][^ \n]*+", MARK)
+
+    def hashes(line):
+        return F.transform(F.array_remove(F.split(line, " "), ""), lambda word: F.hash(word))
+
+    # Out of a generator, so that nothing is pushed through and hashed again.
+    each = docs.select("_r1", "_r2", F.posexplode(F.transform(F.split(masked, "\n"), hashes)).alias("line", "tokens"))
+    lines = each.where(F.size("tokens") > 0)
     return lines.withColumn("leaf", F.xxhash64(F.size("tokens"), F.slice("tokens", 1, depth)))
 
 
@@ -43,16 +52,16 @@ def recurring_lines(docs, depth=3, min_docs=4, constant=0.5, id_col="doc_id", te
     busy = lines.groupBy("leaf").agg(F.count("*").alias("_n")).where(F.col("_n") >= min_docs).select("leaf")
     held = stage(lines.join(stage(busy, "leaves"), "leaf", "left_semi"), "busy-lines")
 
-    placed = held.select("leaf", F.posexplode("tokens").alias("_p", "_t")).where(F.col("_t") != FIELD)
+    placed = held.select("leaf", F.posexplode("tokens").alias("_p", "_t")).where(F.col("_t") != _field())
     often = placed.groupBy("leaf", "_p", "_t").agg(F.count("*").alias("_n")).where(F.col("_n") >= min_docs)
     known = stage(often.groupBy("leaf").agg(F.collect_set(F.xxhash64("_p", "_t")).alias("_known")), "leaf-tokens")
 
     joined = held.join(known, "leaf")
     fixed = F.transform(
-        "tokens", lambda t, i: F.when(F.array_contains("_known", F.xxhash64(i, t)), t).otherwise(F.lit(FIELD))
+        "tokens", lambda t, i: F.when(F.array_contains("_known", F.xxhash64(i, t)), t).otherwise(_field())
     )
     shaped = joined.select("_r1", "_r2", "line", "leaf", fixed.alias("_f"))
-    parts = F.size(F.filter("_f", lambda t: t != FIELD))
+    parts = F.size(F.filter("_f", lambda t: t != _field()))
     shaped = shaped.where(parts >= F.lit(constant) * F.size("_f"))
     shaped = stage(shaped.select("_r1", "_r2", "line", F.xxhash64("leaf", "_f").alias("template")), "templates")
     # A template counts documents, not lines; equal rows, which share both hashes, count each.
