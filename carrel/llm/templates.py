@@ -26,40 +26,51 @@ def _row_id(docs, id_col, text):
     )
 
 
-def tokenised(docs, depth, text="text"):
-    """One row per line with tokens: row id, ``line`` (from 0), ``leaf``, ``tokens`` (hashes, fields masked)."""
-    plain = F.translate(whole_text(text), "\t\x0b\f\r", "    ")
-    masked = F.regexp_replace(plain, r"[^ \n0-9]*+[0-9][^ \n]*+", MARK)
+def lines_of(docs, depth, text="text"):
+    """One row per line: row id, ``line`` (from 0), ``words`` (fields masked) and ``leaf``; blank lines have no words.
 
-    def hashes(line):
-        return F.transform(F.array_remove(F.split(line, " "), ""), lambda word: F.hash(word))
-
-    # Out of a generator, so that nothing is pushed through and hashed again.
-    each = docs.select("_r1", "_r2", F.posexplode(F.transform(F.split(masked, "\n"), hashes)).alias("line", "tokens"))
-    lines = each.where(F.size("tokens") > 0)
-    return lines.withColumn("leaf", F.xxhash64(F.size("tokens"), F.slice("tokens", 1, depth)))
+    White space other than blanks, and digits, are looked for before they are
+    replaced, as most texts have none.
+    """
+    whole = whole_text(text)
+    plain = F.when(whole.rlike(r"[\t\x0B\f\r]"), F.translate(whole, "\t\x0b\f\r", "    ")).otherwise(whole)
+    digits = F.regexp_replace(plain, r"(?<![^ \n])[^ \n0-9]*+[0-9][^ \n]*+", MARK)
+    masked = F.when(whole.rlike("[0-9]"), digits).otherwise(plain)
+    each = docs.select("_r1", "_r2", F.posexplode(F.split(masked, "\n")).alias("line", "_l"))
+    words = F.array_remove(F.split("_l", " "), "")
+    return each.select(
+        "_r1", "_r2", "line", words.alias("words"), F.xxhash64(F.size(words), F.slice(words, 1, depth)).alias("leaf")
+    )
 
 
 def recurring_lines(docs, depth=3, min_docs=4, constant=0.5, id_col="doc_id", text="text"):
     """Rows ``_r1``, ``_r2``, ``line`` of the lines whose template recurs in at least ``min_docs`` documents.
 
     Only leaves with that many lines are looked into. What a leaf holds beyond
-    its tree path is a set of (place, token) that recur, so a line that a third
-    of all documents have is one entry. Equal rows count as one document each
+    its tree path are the tokens that recur in each place, so a line that a
+    third of all documents have is one entry. Equal rows count as one document each
     by their number.
     """
-    lines = tokenised(_row_id(docs, id_col, text), depth, text)
-    busy = lines.groupBy("leaf").agg(F.count("*").alias("_n")).where(F.col("_n") >= min_docs).select("leaf")
-    held = stage(lines.join(stage(busy, "leaves"), "leaf", "left_semi"), "busy-lines")
+    lines = lines_of(_row_id(docs, id_col, text), depth, text)
+    # The number of words is tested on the aggregate: a test of a line would split it once more.
+    busy = lines.groupBy("leaf").agg(F.count("*").alias("_n"), F.max(F.size("words")).alias("_k"))
+    busy = busy.where((F.col("_n") >= min_docs) & (F.col("_k") > 0)).select("leaf")
+    held = lines.join(stage(busy, "leaves"), "leaf", "left_semi")
+    held = stage(held.withColumn("tokens", F.transform("words", lambda w: F.hash(w))).drop("words"), "busy-lines")
 
     placed = held.select("leaf", F.posexplode("tokens").alias("_p", "_t")).where(F.col("_t") != _field())
     often = placed.groupBy("leaf", "_p", "_t").agg(F.count("*").alias("_n")).where(F.col("_n") >= min_docs)
-    known = stage(often.groupBy("leaf").agg(F.collect_set(F.xxhash64("_p", "_t")).alias("_known")), "leaf-tokens")
+    at_place = often.groupBy("leaf", "_p").agg(F.collect_list("_t").alias("_ts"))
+    known = F.map_from_entries(F.array_sort(F.collect_list(F.struct("_p", "_ts"))))
+    known = stage(at_place.groupBy("leaf").agg(known.alias("_known")), "leaf-tokens")
 
     joined = held.join(known, "leaf")
-    fixed = F.transform(
-        "tokens", lambda t, i: F.when(F.array_contains("_known", F.xxhash64(i, t)), t).otherwise(_field())
-    )
+
+    def constant_token(token, place):
+        here = F.try_element_at(F.col("_known"), place)
+        return F.when(F.array_contains(here, token), token).otherwise(_field())
+
+    fixed = F.transform("tokens", constant_token)
     shaped = joined.select("_r1", "_r2", "line", "leaf", fixed.alias("_f"))
     parts = F.size(F.filter("_f", lambda t: t != _field()))
     shaped = shaped.where(parts >= F.lit(constant) * F.size("_f"))
