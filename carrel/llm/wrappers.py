@@ -214,14 +214,23 @@ def slots(node, path=""):
     return list(dict.fromkeys(found))
 
 
+def _parts(word):
+    return [part for part in re.split(r"[-_#]+", word) if part]
+
+
 def _rest(label):
+    """Whether a label names something other than the article; a word made of main words only speaks against it."""
     name, *words = label.split(".")
-    return name in REST_TAGS or (name not in MAIN_TAGS and any(p in REST_WORDS for w in words for p in re.split(r"[-_#]+", w) if p))
+    if name in REST_TAGS or name in MAIN_TAGS:
+        return name in REST_TAGS
+    if any(_parts(w) and all(p in MAIN_WORDS for p in _parts(w)) for w in words):
+        return False
+    return any(p in REST_WORDS for w in words for p in _parts(w))
 
 
 def _main(label):
     name, *words = label.split(".")
-    return name in MAIN_TAGS or any(p in MAIN_WORDS for w in words for p in re.split(r"[-_#]+", w) if p)
+    return name in MAIN_TAGS or any(p in MAIN_WORDS for w in words for p in _parts(w))
 
 
 def content_paths(wrapper, fixed=()):

@@ -33,6 +33,15 @@ def test_article_only():
     assert text_of(page("T &quot;1&quot;", "a", "b", extra=extra)) == 'T "1"\n\na\n\nb\n\nTwo\n\nEnd'
 
 
+def test_named_parts():
+    page = (
+        "<body><header><h1>Site</h1></header><div role=navigation>menu</div><div class='cookie-notice'>ok?</div>"
+        "<div class='main-content with-sidebar'><h2>Title</h2><p>one</p><div id='ad-12'>buy</div><p>two</p>"
+        "<ul class='share-links'><li>tweet</ul></div><div class='site_footer'>me</div><ol class='commentlist'><li>hm</ol></body>"
+    )
+    assert text_of(page) == "Title\n\none\n\ntwo"
+
+
 def shape(html):
     return wrappers.blocks_of(html)[1]
 
