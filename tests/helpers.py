@@ -18,24 +18,25 @@ def marc21(number, provider=None, leader_code="a", extra=()):
     return leader + directory + b"\x1e" + data + b"\x1d"
 
 
-def xml_record(number, kind="Image", urls=("http://example.org/img.jpg",), ind1="4", ind2=" "):
-    parts = ["<record>"]
-    if number is not None:
-        parts.append(f'<controlfield tag="001">{number}</controlfield>')
-    parts.append(
-        '<datafield tag="035" ind1=" " ind2=" "><subfield code="a">local</subfield></datafield>'
-    )
+def xml_field(tag, ind1, ind2, *pairs):
+    """One data field of (code, value) pairs."""
+    inner = "".join(f'<subfield code="{code}">{value}</subfield>' for code, value in pairs)
+    return f'<datafield tag="{tag}" ind1="{ind1}" ind2="{ind2}">{inner}</datafield>'
+
+
+def xml_element(controls, fields):
+    """One record of (tag, value) control fields and data fields."""
+    named = "".join(f'<controlfield tag="{tag}">{value}</controlfield>' for tag, value in controls)
+    return f"<record>{named}{''.join(fields)}</record>"
+
+
+def xml_record(number, kind="Image", urls=("https://pictures.example.net/a/1.jpg",), ind1="4", ind2=" "):
+    """A catalog record: links first, then its kind and local id."""
+    fields = [xml_field("856", ind1, ind2, ("u", url)) for url in urls]
     if kind is not None:
-        parts.append(
-            f'<datafield tag="336" ind1=" " ind2=" "><subfield code="a">{kind}</subfield></datafield>'
-        )
-    for url in urls:
-        parts.append(
-            f'<datafield tag="856" ind1="{ind1}" ind2="{ind2}">'
-            f'<subfield code="u">{url}</subfield></datafield>'
-        )
-    parts.append("</record>")
-    return "\n  ".join(parts)
+        fields.append(xml_field("336", " ", " ", ("a", kind)))
+    fields.append(xml_field("035", " ", " ", ("a", "local")))
+    return xml_element([] if number is None else [("001", number)], fields)
 
 
 def collection(*records):
