@@ -13,7 +13,6 @@ labelled words what to make of words it has not seen.
 """
 
 import re
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
