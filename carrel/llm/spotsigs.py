@@ -186,19 +186,21 @@ def compare_edited(docs, id_col="doc_id", text="text"):
     # One key of both joins and the grouping, so that texts and what they hand over are dealt out once each.
     key = lambda c: (F.coalesce(F.col(c).cast("string"), F.lit("")).alias("_k"), F.col(c).isNull().alias("_z"))
     slim = docs.select(F.col(id_col).alias("doc_id"), whole_text(text).alias("text"))
-    slim = slim.select(*key("doc_id"), "doc_id", "text")
+    # The same columns on both sides, so that the texts are dealt out once for both joins.
+    slim = slim.select(*key("doc_id"), "text")
     order = with_next(docs, id_col)
     need = slim.groupBy("_k", "_z").agg(F.max(F.floor(F.length("text") / 3)).alias("need"))
     wanted = order.select(*key("doc_id"), "doc_id", "next_id").join(need, ["_k", "_z"])
-    wanted = wanted.select(*key("next_id"), F.col("_k").alias("_bk"), F.col("_z").alias("_bz"), "need")
+    wanted = wanted.select(*key("next_id"), F.col("_k").alias("_bk"), F.col("_z").alias("_bz"), "doc_id", "need")
     # What a document hands to the one before it: as much of its beginning as that one replaces, and its set.
     head = F.substring(F.col("text"), F.lit(1), F.col("need").cast("int"))
     given = slim.join(wanted, ["_k", "_z"]).select(
         F.col("_bk").alias("_k"),
         F.col("_bz").alias("_z"),
+        "doc_id",
         F.struct(head.alias("head"), signatures(F.col("text")).alias("signs")).alias("given"),
     )
-    given = given.groupBy("_k", "_z").agg(F.min("given").alias("given"))
+    given = given.groupBy("_k", "_z").agg(F.min("given").alias("given"), F.min("doc_id").alias("doc_id"))
     joined = slim.join(given, ["_k", "_z"])
     n = F.length("text")
     third = F.floor(n / 3).cast("int")
