@@ -6,11 +6,16 @@ have distances to any pivot that differ by at most ``bits``, so a pair whose
 largest coordinate difference is more is discarded without a look at the
 fingerprints; survivors are verified.
 
-Pairs are looked for among fingerprints that share a key: for few bits, two
-equal blocks of the fingerprint; for near copies of texts, a least shingle hash.
-A key with many fingerprints is dealt to cells of at most two chunks, so each
-pair of its chunks meets in one cell of bounded size; a cell returns a spanning
-forest of its links, never all of them.
+Pairs are looked for among fingerprints that share a key: two equal blocks of
+the fingerprint. A key with many fingerprints is dealt to cells of at most two
+chunks, so each pair of its chunks meets in one cell of bounded size; a cell
+returns a spanning forest of its links, never all of them.
+
+Near copies of texts are linked in two steps. The first is a short cut: texts
+that share a least shingle hash and have near fingerprints are verified and
+grouped. The second leaves no pair out: two sets that are similar share one of
+their first shingles in any common order, so all pairs of different groups that
+do are tested, by bounds that hold for every similar pair, and then verified.
 """
 
 import itertools
@@ -73,8 +78,45 @@ def least_of(hashes, count):
     return out
 
 
+SKETCH = 512  # bits
+
+
+def prefix_of(shingles, similarity, common=None):
+    """The first shingles of a set, of which two sets share one if they are that similar.
+
+    The order is the same for all sets: those in ``common`` (sorted hashes and
+    how often each was seen) come last, the most frequent at the very end; all
+    others lie by their hash.
+    """
+    size = len(shingles)
+    if not size:
+        return shingles
+    rank = np.zeros(size, np.int64)
+    if common is not None and len(common[0]):
+        at = np.minimum(np.searchsorted(common[0], shingles), len(common[0]) - 1)
+        rank = np.where(common[0][at] == shingles, common[1][at], 0)
+    # A similar set shares at least this many; it can't if it lacks one more than all the others.
+    shared = int(np.ceil(similarity * size - 1e-9))
+    return shingles[np.lexsort((shingles, rank))[: size - shared + 1]]
+
+
+def sketch_of(shingles):
+    """Parity of the number of shingles in each of ``SKETCH`` places: two sketches differ in no more bits than
+    their sets differ in shingles."""
+    counts = np.bincount((shingles * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(55)).astype(np.int64), minlength=SKETCH)
+    return np.packbits(counts & 1, bitorder="little")
+
+
 _PRINT = pa.struct(
-    [("fingerprint", pa.int64()), ("table", pa.binary()), ("set", pa.int64()), ("least", pa.list_(pa.int64()))]
+    [
+        ("fingerprint", pa.int64()),
+        ("table", pa.binary()),
+        ("set", pa.int64()),
+        ("least", pa.list_(pa.int64())),
+        ("prefix", pa.list_(pa.int64())),
+        ("sketch", pa.binary()),
+        ("n", pa.int32()),
+    ]
 )
 
 
@@ -82,21 +124,29 @@ def _signed(value):
     return value - 2**64 if value >= 2**63 else value
 
 
-def fingerprints(docs, shingle=3, seed=42, orders=0, text="text", into="print"):
+def fingerprints(docs, shingle=3, seed=42, orders=0, text="text", into="print", similarity=None, common=None):
     """Adds ``into``: ``fingerprint`` (64 bits, as a long), its pivot distance ``table`` and, with
-    ``orders``, ``least`` and a hash of its shingle ``set``. Null counts as empty: fingerprint 0."""
+    ``orders``, ``least``, a hash of its shingle ``set``, the set's size ``n``, ``sketch`` and ``prefix``; the
+    fingerprint is then that of the set. Null counts as empty: fingerprint 0."""
     points = pivots()
 
-    @F.arrow_udf("struct<fingerprint:long,table:binary,set:long,least:array<long>>")
+    @F.arrow_udf("struct<fingerprint:long,table:binary,set:long,least:array<long>,prefix:array<long>,sketch:binary,n:int>")
     def print_of(texts: pa.Array) -> pa.Array:
         rows = []
         for t in texts:
             hashes = shingle_hashes(t.as_buffer().to_pybytes(), shingle, seed)
+            if orders:
+                hashes = np.unique(hashes)
             value = fingerprint_of(hashes)
             row = {"fingerprint": _signed(value), "table": np.bitwise_count(points ^ np.uint64(value)).tobytes()}
             if orders:
-                whole = xxhash.xxh64_intdigest(np.unique(hashes).tobytes())
-                row |= {"set": _signed(whole), "least": least_of(hashes, orders)}
+                row |= {
+                    "set": _signed(xxhash.xxh64_intdigest(hashes.tobytes())),
+                    "least": least_of(hashes, orders),
+                    "prefix": prefix_of(hashes, similarity, common).view(np.int64),
+                    "sketch": sketch_of(hashes).tobytes(),
+                    "n": len(hashes),
+                }
             rows.append(row)
         return pa.array(rows, type=_PRINT)
 
@@ -283,17 +333,142 @@ def linked(nodes, bits, similarity=None, sets_of=None, chunk=CHUNK):
     return dealt.mapInArrow(_link_cells(bits, similarity), "a long, b long")
 
 
+def common_shingles(docs, shingle, seed, text="text", sample=20_000, least=4, most=200_000):
+    """Hashes (sorted) and counts of the shingles that at least ``least`` texts of a sample share.
+
+    They only set the order in which shingles are looked at, so what the sample
+    misses costs time and no pair. A sample by digest takes the same texts on
+    any split of the table; equal texts count once.
+    """
+    whole = whole_text(text)
+    rows = docs.count()
+    digest = F.xxhash64(whole, F.lit("common"))
+    drawn = docs.where(F.pmod(digest, F.lit(max(1, -(-rows // sample)))) == 0).select(whole.alias("_t")).distinct()
+
+    @F.arrow_udf("array<long>")
+    def of(texts: pa.Array) -> pa.Array:
+        hashes = (np.unique(shingle_hashes(t.as_buffer().to_pybytes(), shingle, seed)) for t in texts)
+        return pa.array([h.view(np.int64) for h in hashes], type=pa.list_(pa.int64()))
+
+    seen = drawn.select(F.explode(of("_t")).alias("s")).groupBy("s").agg(F.count("*").alias("n"))
+    found = seen.where(F.col("n") >= least).orderBy(F.desc("n"), "s").limit(most).toArrow()
+    hashes, counts = (found.column(c).to_numpy() for c in ("s", "n"))
+    order = np.argsort(hashes.view(np.uint64))
+    return hashes.view(np.uint64)[order], counts[order]
+
+
+def _pairs_of_cells(similarity):
+    """Pairs of different groups in a cell that may be similar, from sorted rows of (key, cell)."""
+    differ = (1 - similarity) / (1 + similarity)  # of both sizes together
+
+    def pairs(node, group, size, sketch):
+        order = np.argsort(size, kind="stable")
+        node, group, size, sketch = node[order], group[order], size[order], sketch[order]
+        upto = np.searchsorted(size, np.floor(size / similarity + 1e-9), side="right")
+        for i in range(len(node) - 1):
+            j = np.arange(i + 1, upto[i])
+            j = j[group[j] != group[i]]
+            if len(j):
+                bits = np.bitwise_count(sketch[j] ^ sketch[i]).sum(1, dtype=np.int64)
+                j = j[bits <= differ * (size[j] + size[i]) + 1e-9]
+                if len(j):
+                    yield np.minimum(node[j], node[i]), np.maximum(node[j], node[i])
+
+    def run(batches):
+        key, held = None, []
+
+        def found():
+            if len(held) > 1:
+                columns = list(zip(*held))
+                sketch = np.frombuffer(b"".join(columns[3]), np.uint64).reshape(len(held), -1)
+                out_a, out_b, n = [], [], 0
+                for a, b in pairs(*(np.array(c, np.int64) for c in columns[:3]), sketch):
+                    out_a.append(a)
+                    out_b.append(b)
+                    n += len(a)
+                    if n > 100_000:
+                        yield pa.record_batch({"a": np.concatenate(out_a), "b": np.concatenate(out_b)})
+                        out_a, out_b, n = [], [], 0
+                if n:
+                    yield pa.record_batch({"a": np.concatenate(out_a), "b": np.concatenate(out_b)})
+
+        for batch in batches:
+            for *cell, node, group, size, sketch in zip(*(batch.column(c).to_pylist() for c in batch.schema.names)):
+                if cell != key:
+                    yield from found()
+                    key, held = cell, []
+                held.append((node, group, size, sketch))
+        yield from found()
+
+    return run
+
+
+def _verified_pairs(similarity):
+    def run(batches):
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column("first").to_pylist(), batch.column("second").to_pylist()):
+                x, y = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)
+                shared = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(shared >= similarity * (len(x) + len(y) - shared))
+            found = batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            if found.num_rows:
+                yield found
+
+    return run
+
+
+def linked_rest(nodes, firsts, similarity, sets_of, chunk=CHUNK):
+    """Links of similar nodes of different groups, all that there are: columns ``a``, ``b``.
+
+    ``nodes`` has ``node``, ``group``, ``n`` and ``sketch``; ``firsts`` has
+    ``node``, ``group`` and ``key``, a shingle of the node's prefix. A key that
+    one group has to itself links nothing. Of any other the nodes outside of its
+    largest group, in chunks, meet all its nodes, in chunks, so a cell holds at
+    most two chunks and a large group doesn't meet itself.
+    """
+    spark = nodes.sparkSession
+    all_of = Window.partitionBy("key")
+    low, high = F.min("group").over(all_of), F.max("group").over(all_of)
+    mixed = firsts.select("key", "node", "group", (low != high).alias("_m")).where("_m").drop("_m").distinct()
+    mixed = stage(mixed, "mixed-keys")
+    sizes = mixed.groupBy("key", "group").agg(F.count("*").alias("n"))
+    sizes = sizes.groupBy("key").agg(F.sum("n").alias("all"), F.max(F.struct("n", "group")).alias("top"))
+    sizes = sizes.select(
+        "key",
+        F.col("top.group").alias("top"),
+        F.ceil(F.col("all") / chunk).cast("int").alias("wide"),
+        F.ceil((F.col("all") - F.col("top.n")) / chunk).cast("int").alias("high"),
+    )
+    both = mixed.join(sizes, "key")
+    mark = F.xxhash64("node", "key")
+    column = F.pmod(mark, F.col("wide")).cast("long")
+    row = F.pmod(F.shiftright(mark, 20), F.col("high")).cast("long")
+    down = F.transform(F.sequence(F.lit(0), F.col("high") - 1), lambda r: r * F.col("wide") + column)
+    across = F.transform(F.sequence(F.lit(0), F.col("wide") - 1), lambda c: row * F.col("wide") + c)
+    cells = F.when(F.col("group") == F.col("top"), down).otherwise(F.array_union(down, across))
+    placed = both.select("key", "node", F.explode(cells).alias("cell"))
+    rows = placed.join(nodes.select("node", "group", "n", "sketch"), "node")
+    rows = rows.select("key", "cell", "node", "group", "n", "sketch")
+    tasks = share_of(spark, mixed.count(), 200_000)
+    dealt = rows.repartition(tasks, "key", "cell").sortWithinPartitions("key", "cell")
+    pairs = stage(dealt.mapInArrow(_pairs_of_cells(similarity), "a long, b long").distinct(), "pairs")
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    sets = stage(sets_of(wanted), "pair-sets")
+    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("first")), "a")
+    both = both.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("second")), "b")
+    return both.select("a", "b", "first", "second").mapInArrow(_verified_pairs(similarity), "a long, b long")
+
+
 def near_groups(docs, shingle=3, bits=2, similarity=None, orders=6, seed=42, id_col="doc_id", text="text"):
     """One row per document: id, ``fingerprint`` (16 hex digits), ``component_id``, ``class_id``.
 
     Documents whose fingerprints differ in at most ``bits`` bits are linked;
     ``component_id`` is the least id reachable over links, itself included.
-    Without ``similarity`` that is exact: fingerprints meet by equal blocks.
-    With it, documents meet by a common least shingle hash in one of ``orders``
-    orders (a pair of that similarity is missed with the chance
-    ``(1 - similarity) ** orders``) and must also share that part of their
-    shingles (as sets); what the bits leave out of such pairs is 0.2 percent
-    for 18 bits and a similarity of 0.8.
+    Without ``similarity`` fingerprints meet by equal blocks. With it, documents
+    that share that part of their shingles (as sets) are linked, whatever their
+    fingerprints, which are then those of the sets; ``bits`` and ``orders`` only
+    say which pairs are found by the short cut. Both ways leave no pair out.
 
     Equal fingerprints (with ``similarity``: equal shingle sets) are one node.
     Null and empty texts have fingerprint 0 and are linked like any other; rows
@@ -307,15 +482,16 @@ def near_groups(docs, shingle=3, bits=2, similarity=None, orders=6, seed=42, id_
 
 def _grouped(docs, shingle, bits, similarity, orders, seed, id_col, text):
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"), row_key(id_col, text).alias("key"))
-    printed = fingerprints(slim, shingle, seed, orders if similarity is not None else 0).drop("text")
     if similarity is None:
+        printed = fingerprints(slim, shingle, seed).drop("text")
         printed = printed.select("doc_id", "key", "print.fingerprint", "print.table", F.col("print.fingerprint").alias("node"))
     else:
-        printed = printed.select(
-            "doc_id", "key", "print.fingerprint", "print.table", "print.least", F.col("print.set").alias("node")
-        )
+        common = common_shingles(slim, shingle, seed)
+        printed = fingerprints(slim, shingle, seed, orders, similarity=similarity, common=common).drop("text")
+        parts = [f"print.{c}" for c in ("fingerprint", "table", "least", "prefix", "sketch", "n")]
+        printed = printed.select("doc_id", "key", *parts, F.col("print.set").alias("node"))
     printed = stage(printed, "prints")
-    firsts = [F.first(c).alias(c) for c in printed.columns if c not in ("doc_id", "key", "node")]
+    firsts = [F.first(c).alias(c) for c in printed.columns if c not in ("doc_id", "key", "node", "prefix")]
     nodes = printed.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.min("key").alias("key"), *firsts)
     keys = block_keys(F.col("fingerprint"), bits) if similarity is None else F.col("least")
     nodes = stage(nodes.withColumn("keys", keys), "nodes")
@@ -325,7 +501,16 @@ def _grouped(docs, shingle, bits, similarity, orders, seed, id_col, text):
         texts = slim.select("key", "text").join(keyed, "key").select("node", "text")
         return shingle_sets(texts, shingle, seed).drop("text")
 
-    groups = components(linked(nodes, bits, similarity, sets_of))
+    links = linked(nodes, bits, similarity, sets_of)
+    groups = components(links)
+    if similarity is not None:
+        known = nodes.join(groups, "node", "left").select("node", "key", "n", "sketch", F.coalesce("component", "node").alias("group"))
+        known = stage(known, "groups")
+        # One row stands for its node: rows that share its key are equal.
+        own = printed.select("key", "prefix").join(known.select("key", "node", "group"), "key")
+        rest = linked_rest(known, own.select("node", "group", F.explode("prefix").alias("key")), similarity, sets_of)
+        kept = known.select(F.col("node").alias("a"), F.col("group").alias("b")).where("a != b")
+        groups = components(kept.unionByName(rest))
     member = nodes.select("node", "least_id").join(groups, "node", "left")
     member = member.select("node", "least_id", F.coalesce("component", "node").alias("class_id"))
     ids = member.groupBy("class_id").agg(F.min("least_id").alias("component_id"))

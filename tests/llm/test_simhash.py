@@ -127,3 +127,50 @@ def test_similarity_in_a_dense_group(spark, chunk, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: r.component_id for r in simhash.near_groups(docs, 5, 24, 0.8, orders=12).collect()}
     assert [got[i] for i in range(90)] == label and 1 < len(set(label)) < 90
+
+
+def test_similar_sets_with_other_counts(spark):
+    """Lines that repeat a different number of times, and short texts just as similar as the limit, leave no pair out."""
+    rows, want = [], {}
+    for base in range(6):
+        words, line = prose(300 + base, 104, 9000).split(), " ".join(f"line{base}x{i}" for i in range(9))
+        for copy, times in enumerate((1, 40)):
+            rows.append((base * 10 + copy, " ".join([*words, *[line] * times])))
+            want[base * 10 + copy] = base * 10
+    for base in range(400):
+        words = [f"short{base}x{i}" for i in range(9)]
+        for copy, text in enumerate((words[:8], words)):
+            rows.append((1000 + base * 10 + copy, " ".join(text)))
+            want[1000 + base * 10 + copy] = 1000 + base * 10
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in simhash.near_groups(docs, 5, 18, 0.8).collect()}
+    assert got == want
+
+
+@pytest.mark.parametrize("chunk", [1024, 6])
+def test_every_pair_of_other_groups_is_met(spark, chunk):
+    """The second step alone, with groups of several sizes and keys that are dealt to many cells."""
+    import numpy as np
+
+    draw, sets = random.Random(chunk), []
+    for centre in range(3):
+        whole = [draw.getrandbits(63) | 1 << 40 for _ in range(60)]
+        sets += [sorted(set(draw.sample(whole, 57) + [draw.getrandbits(63) for _ in range(draw.randint(0, 6))])) for _ in range(30)]
+    group = [i if i % 3 else i // 30 * 30 for i in range(len(sets))]
+    arrays = [np.array(s, np.uint64) for s in sets]
+    common = np.array(sorted({x for s in sets[:20] for x in s}), np.uint64)
+    common = common, np.array([draw.randint(4, 9) for _ in common])
+    small = [np.unique((a >> np.uint64(32)).astype(np.uint32)).tobytes() for a in arrays]
+    nodes = [(i, group[i], len(a), bytearray(simhash.sketch_of(a).tobytes())) for i, a in enumerate(arrays)]
+    firsts = [(i, group[i], int(k)) for i, a in enumerate(arrays) for k in simhash.prefix_of(a, 0.8, common)]
+    nodes = spark.createDataFrame(nodes, "node long, group long, n int, sketch binary")
+    firsts = spark.createDataFrame(firsts, "node long, group long, key long")
+    shingles = spark.createDataFrame([(i, bytearray(s)) for i, s in enumerate(small)], "node long, shingles binary")
+    links = simhash.linked_rest(nodes, firsts, 0.8, lambda wanted: wanted.join(shingles, "node"), chunk=chunk)
+    want = set()
+    for i in range(len(sets)):
+        for j in range(i):
+            shared = len(set(sets[i]) & set(sets[j]))
+            if group[i] != group[j] and shared >= 0.8 * (len(sets[i]) + len(sets[j]) - shared):
+                want.add((j, i))
+    assert {(r.a, r.b) for r in links.collect()} == want and 20 < len(want)
