@@ -233,16 +233,34 @@ def _main(label):
     return name in MAIN_TAGS or any(p in MAIN_WORDS for w in words for p in _parts(w))
 
 
-def content_paths(wrapper, fixed=()):
-    """The slots that hold the article: within its main element where the wrapper has one, and outside of what is
-    named as something else; ``fixed`` are slots with one and the same text on many pages, left out unless they
-    lie in the main element."""
-    kept = [p for p in slots(wrapper) if not any(_rest(label) for label in p.split("/")[1:])]
+def candidates(wrapper):
+    """The slots outside of what is named as something other than the article."""
+    return [p for p in slots(wrapper) if not any(_rest(label) for label in p.split("/")[1:])]
+
+
+def main_paths(paths):
+    """The paths in the main region that the best rule finds: article, main, names; none if no rule finds one."""
     for test in (lambda x: x.split(".")[0] == "article", lambda x: x.split(".")[0] == "main", _main):
-        inside = [p for p in kept if any(test(label) for label in p.split("/")[1:])]
+        inside = [p for p in paths if any(test(label) for label in p.split("/")[1:])]
         if inside:
             return inside
-    return [p for p in kept if p not in set(fixed)]
+    return []
+
+
+def content_paths(wrapper, fixed=()):
+    """The slots that hold the article of a page with all of the wrapper's slots: within its main region where there
+    is one, and outside of what is named as something else; ``fixed`` slots are left out unless they lie in the
+    main region."""
+    kept = candidates(wrapper)
+    return main_paths(kept) or [p for p in kept if p not in set(fixed)]
+
+
+def content_of(blocks, paths, fixed=()):
+    """The texts of a page's article: its own main region is chosen, so pages of other templates don't matter."""
+    wanted, fixed = set(paths), set(fixed)
+    own = list(dict.fromkeys(path for path, _ in blocks if path in wanted))
+    kept = set(main_paths(own) or [p for p in own if p not in fixed])
+    return [text for path, text in blocks if path in kept]
 
 
 # Spark
@@ -297,7 +315,7 @@ def _folded(shapes, tasks):
 
 
 def infer(pages, fixed_pages=3, shapes_per_part=200, url="url", text="html"):
-    """One row per host: ``host``, ``wrapper`` (expression), ``paths`` (of content slots).
+    """One row per host: ``host``, ``wrapper`` (expression), ``paths`` (of slots that may hold content), ``fixed``.
 
     All pages of a host take part. Equal shapes count once; a host's shapes are
     aligned in parts of about ``shapes_per_part`` and the parts' wrappers then
@@ -324,15 +342,15 @@ def infer(pages, fixed_pages=3, shapes_per_part=200, url="url", text="html"):
     fixed = fixed.groupBy("host").agg(F.collect_set("path").alias("fixed")).select(F.col("host").alias("_f"), "fixed")
 
     @F.arrow_udf("struct<wrapper:string,paths:array<string>>")
-    def finished(shapes: pa.Array, texts: pa.Array) -> pa.Array:
+    def finished(shapes: pa.Array) -> pa.Array:
         rows = []
-        for plain, same in zip(shapes.to_pylist(), texts.to_pylist()):
+        for plain in shapes.to_pylist():
             node = restored(json.loads(plain))
-            rows.append({"wrapper": expression(node), "paths": content_paths(node, same or ())})
+            rows.append({"wrapper": expression(node), "paths": candidates(node)})
         return pa.array(rows, type=pa.struct([("wrapper", pa.string()), ("paths", pa.list_(pa.string()))]))
 
     joined = whole.join(fixed, F.col("host") == F.col("_f"), "left")
-    return joined.select("host", finished("shape", "fixed").alias("_w")).select("host", "_w.wrapper", "_w.paths")
+    return joined.select("host", finished("shape").alias("_w"), "fixed").select("host", "_w.wrapper", "_w.paths", "fixed")
 
 
 def extract(pages, fixed_pages=3, url="url", text="html", into="text"):
@@ -344,16 +362,15 @@ def extract(pages, fixed_pages=3, url="url", text="html", into="text"):
     column named ``into`` is replaced. The wrappers, one row per host, are
     staged, so Spark knows their size when it joins them to the pages.
     """
-    known = stage(infer(pages, fixed_pages, url=url, text=text).select("host", "paths"), "wrappers")
-    known = known.select(F.col("host").alias("_host"), F.col("paths").alias("_paths"))
+    known = stage(infer(pages, fixed_pages, url=url, text=text).select("host", "paths", "fixed"), "wrappers")
+    known = known.select(F.col("host").alias("_host"), F.col("paths").alias("_paths"), F.col("fixed").alias("_fixed"))
 
     @F.arrow_udf("string")
-    def read(htmls: pa.Array, paths: pa.Array) -> pa.Array:
+    def read(htmls: pa.Array, paths: pa.Array, fixed: pa.Array) -> pa.Array:
         out = []
-        for page, kept in zip(htmls.to_pylist(), paths.to_pylist()):
-            wanted = set(kept or ())
-            out.append("\n\n".join(block for path, block in blocks_of(page)[0] if path in wanted))
+        for page, kept, same in zip(htmls.to_pylist(), paths.to_pylist(), fixed.to_pylist()):
+            out.append("\n\n".join(content_of(blocks_of(page)[0], kept or (), same or ())))
         return pa.array(out, type=pa.string())
 
     both = pages.join(known, host_of(F.col(url)) == F.col("_host"), "left")
-    return both.withColumn(into, read(F.coalesce(F.col(text), F.lit("")), F.col("_paths"))).drop("_host", "_paths")
+    return both.withColumn(into, read(F.coalesce(F.col(text), F.lit("")), F.col("_paths"), F.col("_fixed"))).drop("_host", "_paths", "_fixed")

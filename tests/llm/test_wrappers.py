@@ -108,3 +108,11 @@ def test_many_hosts_in_one_task(spark):
     assert len(found) == 40 and all("(<h2> # </>)" in w for w in found.values())
     texts = {r.page_id: r.text for r in wrappers.extract(pages).collect()}
     assert texts == {i: "\n\n".join([f"T{i}", "x"] + ["y"] * (i % 3)) for i in range(200)}
+
+
+def test_templates_of_one_host(spark):
+    bodies = ["<article><p>a{}</p></article><p>out</p>", "<main><p>m{}</p></main>", "<div class=content><p>c{}</p></div>", "<p>p{}</p>"]
+    rows = [(i, u, bodies[i % 4].format(i)) for u in ("http://t.example.org/", None) for i in range(8)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {(r.url, r.page_id): r.text for r in wrappers.extract(pages).collect()}
+    assert got == {(u, i): f"{'amcp'[i % 4]}{i}" for _, u, _ in rows for i in range(8)}
