@@ -16,6 +16,7 @@ import re
 from dataclasses import dataclass, field
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import functions as F
 
 from carrel.llm.common import share_of, stage
@@ -255,32 +256,46 @@ def content_paths(wrapper, fixed=()):
     return main_paths(kept) or [p for p in kept if p not in set(fixed)]
 
 
+def block_key(path, text):
+    """A hash of a block and its place, as a long."""
+    return xxhash.xxh64_intdigest(f"{path}\0{text}".encode("utf-8", "replace")) - 2**63
+
+
 def content_of(blocks, paths, fixed=()):
-    """The texts of a page's article: its own main region is chosen, so pages of other templates don't matter."""
+    """The texts of a page's article: its own main region is chosen, so pages of other templates don't matter.
+    ``fixed`` are keys of blocks that are left out of pages without a main region."""
     wanted, fixed = set(paths), set(fixed)
     own = list(dict.fromkeys(path for path, _ in blocks if path in wanted))
-    kept = set(main_paths(own) or [p for p in own if p not in fixed])
-    return [text for path, text in blocks if path in kept]
+    kept = set(main_paths(own))
+    if kept:
+        return [text for path, text in blocks if path in kept]
+    return [text for path, text in blocks if path in wanted and not (fixed and block_key(path, text) in fixed)]
 
 
 # Spark
 
 
-_SHAPE = pa.struct([("shape", pa.string()), ("paths", pa.list_(pa.string())), ("texts", pa.list_(pa.int64()))])
+_SHAPE = pa.struct(
+    [("shape", pa.string()), ("page", pa.int64()), ("paths", pa.list_(pa.string())), ("texts", pa.list_(pa.list_(pa.int64())))]
+)
 
 
 def _shapes(pages, text):
-    @F.arrow_udf("struct<shape:string,paths:array<string>,texts:array<long>>")
+    @F.arrow_udf("struct<shape:string,page:long,paths:array<string>,texts:array<array<long>>>")
     def shape_of(htmls: pa.Array) -> pa.Array:
-        import zlib
-
         rows = []
         for page in htmls.to_pylist():
             blocks, shape = blocks_of(page)
-            first = {}
+            # Only blocks that may be left out: not named as rest, not in the main region.
+            own = [p for p in dict.fromkeys(p for p, _ in blocks) if not any(_rest(x) for x in p.split("/")[1:])]
+            inside = set(main_paths(own))
+            keys = {p: set() for p in own if p not in inside}
             for path, block in blocks:
-                first.setdefault(path, zlib.crc32(block.encode("utf-8", "replace")))
-            rows.append({"shape": json.dumps(shape.plain()), "paths": list(first), "texts": list(first.values())})
+                if path in keys:
+                    keys[path].add(block_key(path, block))
+            whole = block_key("", "\0".join(f"{path}\0{block}" for path, block in blocks))
+            texts = [sorted(k) for k in keys.values()]
+            rows.append({"shape": json.dumps(shape.plain()), "page": whole, "paths": list(keys), "texts": texts})
         return pa.array(rows, type=_SHAPE)
 
     return pages.select("host", shape_of(text).alias("_s")).select("host", "_s.*")
@@ -319,14 +334,13 @@ def infer(pages, fixed_pages=3, shapes_per_part=200, url="url", text="html"):
 
     All pages of a host take part. Equal shapes count once; a host's shapes are
     aligned in parts of about ``shapes_per_part`` and the parts' wrappers then
-    with each other, so a host with a third of all pages is spread out. A slot
-    is fixed if it has one text on at least ``fixed_pages`` pages.
+    with each other, so a host with a third of all pages is spread out. A block
+    is fixed if it stands on all distinct pages that have its path, at least ``fixed_pages`` of them; other blocks
+    on the path are not. Pages with the same blocks are one page.
     """
     spark = pages.sparkSession
     hosted = pages.select(host_of(F.col(url)).alias("host"), F.coalesce(F.col(text), F.lit("")).alias("_html"))
-    shaped = stage(
-        _shapes(hosted, F.col("_html")).groupBy("host", "shape", "paths", "texts").agg(F.count("*").alias("n")), "shapes"
-    )
+    shaped = stage(_shapes(hosted, F.col("_html")).distinct(), "shapes")
     distinct = shaped.select("host", "shape").distinct()
     counts = distinct.groupBy("host").agg(F.count("*").alias("shapes")).select(F.col("host").alias("_h"), "shapes")
     parts = F.pmod(F.xxhash64("shape"), F.ceil(F.col("shapes") / shapes_per_part)).cast("int")
@@ -334,12 +348,13 @@ def infer(pages, fixed_pages=3, shapes_per_part=200, url="url", text="html"):
     tasks = share_of(spark, distinct.count(), 2_000)
     whole = _folded(_folded(parted, tasks).withColumn("part", F.lit(0)), tasks)
 
-    each = shaped.select("host", "n", F.explode(F.arrays_zip("paths", "texts")).alias("_e"))
-    fixed = each.groupBy("host", F.col("_e.paths").alias("path")).agg(
-        F.min("_e.texts").alias("low"), F.max("_e.texts").alias("high"), F.sum("n").alias("n")
-    )
-    fixed = fixed.where((F.col("low") == F.col("high")) & (F.col("n") >= fixed_pages))
-    fixed = fixed.groupBy("host").agg(F.collect_set("path").alias("fixed")).select(F.col("host").alias("_f"), "fixed")
+    pages_of = shaped.select("host", "page", "paths", "texts").distinct()
+    each = pages_of.select("host", F.explode(F.arrays_zip("paths", "texts")).alias("_e")).select("host", "_e.*")
+    wide = each.groupBy("host", "paths").agg(F.count("*").alias("n")).where(F.col("n") >= fixed_pages)
+    same = each.select("host", "paths", F.explode("texts").alias("block")).groupBy("host", "paths", "block")
+    same = same.agg(F.count("*").alias("n")).where(F.col("n") >= fixed_pages)
+    fixed = same.join(wide, ["host", "paths", "n"]).groupBy("host").agg(F.collect_set("block").alias("fixed"))
+    fixed = fixed.select(F.col("host").alias("_f"), "fixed")
 
     @F.arrow_udf("struct<wrapper:string,paths:array<string>>")
     def finished(shapes: pa.Array) -> pa.Array:

@@ -116,3 +116,11 @@ def test_templates_of_one_host(spark):
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     got = {(r.url, r.page_id): r.text for r in wrappers.extract(pages).collect()}
     assert got == {(u, i): f"{'amcp'[i % 4]}{i}" for _, u, _ in rows for i in range(8)}
+
+
+def test_only_repeated_blocks_are_left_out(spark):
+    rows = [(i, f"http://staff.example.org/{i}", f"<div><p>By Staff</p><p>text {i}</p><p>more {i}</p></div>") for i in range(4)]
+    rows += [(10 + i, f"http://copies.example.org/{i}", "<div><p>one</p><p>two</p></div>") for i in range(4)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in wrappers.extract(pages).collect()}
+    assert got == {i: f"text {i}\n\nmore {i}" for i in range(4)} | {10 + i: "one\n\ntwo" for i in range(4)}
