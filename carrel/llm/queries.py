@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from carrel.llm import decontaminate, mixing, secrets, sharding, simhash, spotsigs, suffix, templates, toxicity, wrappers
+from carrel.llm import conversations, decontaminate, mixing, secrets, sharding, simhash, spotsigs, suffix, templates, toxicity, wrappers
 from carrel.llm.common import table
 from carrel.llm.oracle import ORACLE  # noqa: F401  (registered with the queries)
 
@@ -94,6 +94,11 @@ def op10_line_templates(spark, sf_dir):
     return cut.select("doc_id", "n_lines", "n_dropped", kept.alias("kept_sha256"))
 
 
+def op11_auction_repair(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations")
+    return conversations.report(conversations.damage(turns), turns)
+
+
 QUERIES = {
     "op1_spotsigs": op1_spotsigs,
     "op2_source_mix": op2_source_mix,
@@ -105,4 +110,5 @@ QUERIES = {
     "op8_html_wrappers": op8_html_wrappers,
     "op9_simhash_groups": op9_simhash_groups,
     "op10_line_templates": op10_line_templates,
+    "op11_auction_repair": op11_auction_repair,
 }
