@@ -120,3 +120,160 @@ SELECT doc_id, coalesce(counts.n, 0)::BIGINT AS n_lines, coalesce(dropped.n, 0):
 FROM documents LEFT JOIN counts USING (doc_id) LEFT JOIN dropped USING (doc_id) LEFT JOIN left_over USING (doc_id)
 """,
 }
+
+#: Ways over one turn: state in front, turns put in first, what then happens to the turn, state behind.
+_NEXT = [{"s": 1, "u": 2}, {"u": 2}, {"a": 3}, {"u": 2}]
+_NEW = ["u", "u", "a", "u"]
+_NAME = {"u": "user", "a": "assistant"}
+
+
+def _ways():
+    """SQL rows (front, letters, cost, put in, initial, renamed to, behind); up to two turns are put in."""
+    rows = []
+    for front in range(4):
+        state, put = front, []
+        for _ in range(3):
+            letters, lines = "I" * len(put), "".join(f"{_NAME[p]}:\n" for p in put).replace("\n", "' || chr(10) || '")
+            ways = [("D", 3, "NULL", "NULL", state), ("R", 2, "NULL", f"'{_NAME[_NEW[state]]}'", _NEXT[state][_NEW[state]])]
+            ways += [("K", 0, f"'{initial}'", "NULL", after) for initial, after in _NEXT[state].items()]
+            ways += [("K", 0, "''", "NULL", state)]
+            for letter, cost, initial, name, behind in ways:
+                rows.append(f"({front}, '{letters}{letter}', {cost + 2 * len(put)}, '{lines}', {initial}, {name}, {behind})")
+            put.append(_NEW[state])
+            state = _NEXT[state][_NEW[state]]
+    return ",\n  ".join(rows)
+
+
+ORACLE["op11_auction_repair"] = rf"""
+WITH RECURSIVE steps AS (
+  SELECT n, list_reduce(range(8), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, n::BIGINT) AS c
+  FROM range(256) AS r(n)),
+lookup AS (SELECT list(c::BIGINT ORDER BY n) AS t FROM steps),
+named AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name
+  FROM conversations),
+kinds AS (
+  SELECT *, xor(list_reduce(list_transform(range(1, length(name) + 1), lambda i: ascii(substr(name, i::INT, 1))::BIGINT),
+            lambda x, b: xor(x >> 8, t[(xor(x, b) & 255) + 1]), 4294967295::BIGINT), 4294967295) % 20 AS kind
+  FROM named, lookup),
+rows_ AS (
+  SELECT coalesce('=' || conv_id, '') AS c, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM kinds WHERE kind <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+         row_number() OVER (PARTITION BY c, role, text ORDER BY turn NULLS FIRST, copy) AS seen,
+         regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS body
+  FROM rows_),
+faults AS (
+  SELECT c, turn, role, text, i, left(role, 1) AS initial,
+         lag(left(role, 1)) OVER (PARTITION BY c ORDER BY i) AS before,
+         CASE WHEN body = '' THEN 'blank' WHEN seen > 1 THEN 'duplicate'
+              WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault
+  FROM placed),
+counts AS (
+  SELECT c, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+         count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+  FROM faults GROUP BY c),
+ways(front, letters, cost, put, initial, name, behind) AS (VALUES
+  {_ways()}),
+walked AS (
+  SELECT c, 0::BIGINT AS i, 0 AS state, struct_pack(cost := 0::BIGINT, audit := '', lines := '') AS best FROM counts
+  UNION ALL
+  SELECT c, i, state, min(best) FROM (
+    SELECT w.c, f.i, v.behind AS state,
+           struct_pack(cost := w.best.cost + v.cost + CASE WHEN f.fault = 'truncated' AND right(v.letters, 1) <> 'D' THEN 1 ELSE 0 END,
+                       audit := w.best.audit || v.letters,
+                       lines := w.best.lines || v.put || CASE WHEN right(v.letters, 1) = 'D' THEN ''
+                                ELSE coalesce(v.name, f.role) || ':' || f.text || chr(10) END) AS best
+    FROM walked AS w JOIN faults AS f ON f.c = w.c AND f.i = w.i + 1
+    JOIN ways AS v ON v.front = w.state AND (v.initial IS NULL OR v.initial = f.initial)
+      AND (right(v.letters, 1) = 'D' OR f.fault NOT IN ('blank', 'duplicate'))) GROUP BY c, i, state),
+ended AS (
+  SELECT w.c, min(struct_pack(cost := best.cost + p.cost, audit := best.audit || p.letters, lines := best.lines || p.put)) AS best
+  FROM walked AS w JOIN counts AS n ON w.c = n.c AND w.i = n.n
+  JOIN (VALUES (0, '', 0, ''), (1, 'II', 4, 'user:' || chr(10) || 'assistant:' || chr(10)), (2, 'I', 2, 'assistant:' || chr(10)),
+        (3, '', 0, '')) AS p(state, letters, cost, put) ON p.state = w.state
+  GROUP BY w.c)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(best.cost, 0)::BIGINT AS cost,
+       coalesce(best.audit, '') AS audit,
+       sha256(CASE WHEN coalesce(best.lines, '') = '' THEN '' ELSE left(best.lines, length(best.lines) - 1) END) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) AS o
+LEFT JOIN counts AS n ON n.c = coalesce('=' || o.conv_id, '') LEFT JOIN ended AS e ON e.c = n.c
+"""
+
+
+def _framed(column):
+    return f"coalesce(strlen({column}::VARCHAR) || ':' || {column}::VARCHAR, '-')"
+
+
+_LEAF = " || ".join(map(_framed, ("doc_id", "source", "lang", "n_chars")))
+
+ORACLE["op12_merkle_manifest"] = rf"""
+WITH RECURSIVE steps AS (
+  SELECT n, list_reduce(range(8), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, n::BIGINT) AS c
+  FROM range(256) AS r(n)),
+lookup AS (SELECT list(c::BIGINT ORDER BY n) AS t FROM steps),
+cut AS (
+  SELECT *, CASE WHEN xor(list_reduce(list_transform(range(1, length(doc_id::VARCHAR) + 1), lambda i: ascii(substr(doc_id::VARCHAR, i::INT, 1))::BIGINT),
+            lambda x, b: xor(x >> 8, t[(xor(x, b) & 255) + 1]), 4294967295::BIGINT), 4294967295) % 2 = 0
+            THEN replace(text, chr(10), '') ELSE text END AS other
+  FROM documents, lookup),
+leaves AS (
+  SELECT doc_id, source, sha256({_LEAF} || {_framed("text")}) AS leaf, sha256({_LEAF} || {_framed("other")}) AS tampered FROM cut),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+         dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree FROM leaves),
+up AS (
+  SELECT tree, 0 AS level, pos, leaf AS node, count(*) OVER (PARTITION BY tree) AS n FROM placed
+  UNION ALL
+  SELECT tree, any_value(level) + 1, pos // 3, sha256(string_agg(node, '' ORDER BY pos)), (any_value(n) + 2) // 3
+  FROM up WHERE n > 1 GROUP BY tree, pos // 3),
+tops AS (SELECT tree, node AS subroot, level AS height FROM up WHERE n = 1),
+over_ AS (
+  SELECT 0 AS level, tree AS pos, subroot AS node, count(*) OVER () AS n FROM tops
+  UNION ALL
+  SELECT any_value(level) + 1, pos // 3, sha256(string_agg(node, '' ORDER BY pos)), (any_value(n) + 2) // 3
+  FROM over_ WHERE n > 1 GROUP BY pos // 3),
+root AS (SELECT node AS root, level AS height FROM over_ WHERE n = 1),
+every AS (
+  SELECT u.tree, u.level, u.pos, u.node FROM up AS u JOIN tops USING (tree) WHERE u.level < height
+  UNION ALL
+  SELECT tree, t.height + level, o.pos, o.node FROM tops AS t, over_ AS o, root AS r WHERE level < r.height),
+ways AS (
+  SELECT row_number() OVER () AS id, p.*, subroot, height, pos AS spot FROM placed AS p JOIN tops USING (tree)),
+walked AS (
+  SELECT id, tree, height, 0 AS level, CASE WHEN height = 0 THEN tree ELSE spot END AS spot, tampered AS own, '' AS proof FROM ways
+  UNION ALL
+  SELECT id, tree, height, level + 1, CASE WHEN level + 1 = height THEN tree ELSE spot // 3 END, own, proof FROM (
+    SELECT w.id, w.tree, w.height, w.level, w.spot,
+           sha256(string_agg(CASE WHEN e.pos = w.spot THEN w.own ELSE e.node END, '' ORDER BY e.pos)) AS own,
+           w.proof || coalesce(string_agg(e.node, '' ORDER BY e.pos) FILTER (e.pos <> w.spot), '') AS proof
+    FROM walked AS w JOIN every AS e ON e.tree = w.tree AND e.level = w.level AND e.pos // 3 = w.spot // 3
+    GROUP BY w.id, w.tree, w.height, w.level, w.spot, w.own, w.proof)),
+done AS (SELECT w.* FROM walked AS w, root AS r WHERE w.level = w.height + r.height)
+SELECT doc_id, leaf, subroot, root, sha256(d.proof) AS proof_sha256, d.own AS folded_root, d.own = root AS verified
+FROM ways AS w JOIN done AS d ON d.id = w.id, root
+"""
+
+ORACLE["op13_lattice_groups"] = """
+WITH RECURSIVE vectors AS (
+  SELECT row_number() OVER () AS n, vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),
+good AS (
+  SELECT * FROM vectors WHERE label IS NOT NULL AND len(v) > 0
+    AND len(list_filter(v, lambda x: x IS NOT NULL AND isfinite(x))) = len(v) AND len(list_filter(v, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.n AS a, b.n AS b FROM good AS a JOIN good AS b ON a.label = b.label AND a.n <> b.n AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.93),
+reached AS (
+  SELECT n, n AS m FROM vectors
+  UNION
+  SELECT r.n, l.b FROM reached AS r JOIN links AS l ON l.a = r.m)
+SELECT v.vec_id, (SELECT count(*) FROM links WHERE a = v.n) AS n_links, c.component_id,
+       v.vec_id IS NOT DISTINCT FROM c.component_id AS kept
+FROM vectors AS v JOIN (SELECT r.n, min(o.vec_id) AS component_id FROM reached AS r JOIN vectors AS o ON o.n = r.m GROUP BY r.n) AS c ON c.n = v.n
+"""

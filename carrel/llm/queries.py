@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from carrel.llm import conversations, decontaminate, mixing, secrets, sharding, simhash, spotsigs, suffix, templates, toxicity, wrappers
+from carrel.llm import conversations, decontaminate, lattice, merkle, mixing, secrets, sharding, simhash, spotsigs, suffix, templates, toxicity, wrappers
 from carrel.llm.common import table
 from carrel.llm.oracle import ORACLE  # noqa: F401  (registered with the queries)
 
@@ -99,6 +99,14 @@ def op11_auction_repair(spark, sf_dir):
     return conversations.report(conversations.damage(turns), turns)
 
 
+def op12_merkle_manifest(spark, sf_dir):
+    return merkle.verify_documents(table(spark, sf_dir, "documents"))
+
+
+def op13_lattice_groups(spark, sf_dir):
+    return lattice.near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 QUERIES = {
     "op1_spotsigs": op1_spotsigs,
     "op2_source_mix": op2_source_mix,
@@ -111,4 +119,6 @@ QUERIES = {
     "op9_simhash_groups": op9_simhash_groups,
     "op10_line_templates": op10_line_templates,
     "op11_auction_repair": op11_auction_repair,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_lattice_groups": op13_lattice_groups,
 }

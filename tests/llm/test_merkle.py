@@ -1,0 +1,116 @@
+import hashlib
+import random
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from carrel.llm import merkle
+from carrel.llm.queries import QUERIES
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def hashed(parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def leaf(row, text):
+    parts = []
+    for value in (row["doc_id"], row["source"], row["lang"], row["n_chars"], text):
+        value = None if value is None else str(value)
+        parts.append("-" if value is None else f"{len(value.encode())}:{value}")
+    return hashed(parts)
+
+
+def levels_of(nodes):
+    out = [nodes]
+    while len(out[-1]) > 1:
+        out.append([hashed(out[-1][i : i + 3]) for i in range(0, len(out[-1]), 3)])
+    return out
+
+
+def way(levels, at):
+    """Siblings left and right on the way up."""
+    out = []
+    for level in levels[:-1]:
+        low = at // 3 * 3
+        out.append((level[low:at], level[at + 1 : low + 3]))
+        at //= 3
+    return out
+
+
+def expected(rows):
+    sources = {}
+    for row in rows:
+        sources.setdefault(row["source"], []).append(row)
+    names = sorted(sources, key=lambda s: (s is not None, (s or "").encode()))
+    for name in names:
+        sources[name].sort(key=lambda r: (r["doc_id"] is not None, r["doc_id"] or 0, leaf(r, r["text"])))
+    trees = {name: levels_of([leaf(r, r["text"]) for r in sources[name]]) for name in names}
+    upper = levels_of([trees[name][-1][0] for name in names])
+    out = []
+    for place, name in enumerate(names):
+        for at, row in enumerate(sources[name]):
+            path = way(trees[name], at) + way(upper, place)
+            text = row["text"]
+            if row["doc_id"] is not None and zlib.crc32(str(row["doc_id"]).encode()) % 2 == 0 and text is not None:
+                text = text.replace("\n", "")
+            own = leaf(row, text)
+            for left, right in path:
+                own = hashed([*left, own, *right])
+            proof = hashed([x for left, right in path for x in (*left, *right)])
+            root = upper[-1][0]
+            out.append((row["doc_id"], leaf(row, row["text"]), trees[name][-1][0], root, proof, own, own == root))
+    return sorted(out, key=str)
+
+
+def got(frame):
+    return sorted(map(tuple, frame.collect()), key=str)
+
+
+def test_odd_rows(odd_docs, no_docs, clashing):
+    rows = [r.asDict() for r in odd_docs.collect()]
+    assert got(merkle.verify_documents(odd_docs)) == expected(rows)
+    clash = clashing(odd_docs).withColumns({c: F.lit("x") for c in ("tree", "pos", "node", "count", "order", "row_index", "leaf", "own", "_part")})
+    assert got(merkle.verify_documents(clash)) == expected(rows)
+    assert merkle.verify_documents(no_docs).collect() == []
+
+
+@pytest.mark.parametrize("counts", [[1], [2, 1, 3], [82, 1, 81, 9, 4, 28], [300] + [1] * 90])
+def test_sizes_of_trees(spark, counts):
+    draw = random.Random(len(counts))
+    rows, number = [], 0
+    for place, count in enumerate(counts):
+        for _ in range(count):
+            text = "one\ntwo" if draw.random() < 0.5 else "three"
+            rows.append((number, text, None, None if place == 1 else f"ü{place}" if place % 2 else f"z{place}", 3))
+            number += 1
+    draw.shuffle(rows)
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    want = expected([dict(zip(("doc_id", "text", "lang", "source", "n_chars"), r)) for r in rows])
+    assert got(merkle.verify_documents(frame)) == want
+
+
+def test_many_equal_rows_and_long_text(spark):
+    rows = [(1, "same\n", "en", "a", 4)] * 200 + [(2, "word " * 60_000, "en", "a", 1)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    assert got(merkle.verify_documents(frame)) == expected([dict(zip(("doc_id", "text", "lang", "source", "n_chars"), r)) for r in rows])
+
+
+@pytest.mark.parametrize("step", [1, 2, 5])
+def test_any_step_gives_the_same_proofs(spark, step):
+    rows = spark.range(100).select("id", F.lit("s").alias("source"), F.sha2(F.col("id").cast("string"), 256).alias("leaf"))
+    manifest = merkle.Manifest(rows, order="id", carried=("id",), step=step)
+    leaves = [hashlib.sha256(str(i).encode()).hexdigest() for i in range(100)]
+    levels = levels_of(leaves)
+    assert manifest.root == levels[-1][0]
+    for row in manifest.proofs().collect():
+        assert [(p.left, p.right) for p in row.proof] == [("".join(a), "".join(b)) for a, b in way(levels, row.own.id)]
+
+
+def test_query_against_brute_force(spark, docs_dir):
+    rows = [r.asDict() for r in spark.read.parquet(f"{docs_dir}/documents.parquet").collect()]
+    found = got(QUERIES["op12_merkle_manifest"](spark, docs_dir))
+    assert found == expected(rows)
+    assert {r[-1] for r in found} == {True, False}
