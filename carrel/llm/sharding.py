@@ -4,9 +4,8 @@ Equal texts form a group that is never cut. Groups are ordered by digest; of
 all ways to cut that order into ``shards`` runs, the one whose largest run is
 smallest is taken: its capacity is found by search over whole numbers, each
 candidate checked greedily (fill a run as far as it goes, then cut), and the
-cuts are those of the smallest feasible capacity. All candidates of a round
-are checked in the same jobs, by looking up the last group that ends at or
-before a bound.
+cuts are those of the smallest feasible capacity. The sums of digest buckets
+settle the search but for a few narrow gaps; one job looks into all of them.
 """
 
 import bisect
@@ -34,57 +33,91 @@ def group_rows(docs, text="text", id_col="doc_id", buckets=1024, salts=1):
     )
 
 
-def _largest_end(groups, starts, bounds):
-    """For each bound the largest group end that is at most the bound.
-
-    ``starts`` is the byte offset of each bucket, on the driver: at most one
-    number per bucket. Only the bucket that holds the bound is looked into.
-    """
-    spark = groups.sparkSession
-    wanted = []
-    for bound in sorted(set(bounds)):
-        place = max(0, bisect.bisect_right(starts, bound) - 1)
-        wanted.append((bound, place))
-    asked = spark.createDataFrame(wanted, "bound long, at int")
-    inside = groups.where(F.col("bucket").isin(sorted({p for _, p in wanted})))
-    found = (
-        inside.join(F.broadcast(asked), F.col("bucket") == F.col("at"))
-        .where(F.col("end") <= F.col("bound"))
-        .groupBy("bound")
-        .agg(F.max("end").alias("end"))
-    )
-    ends = {row.bound: row.end for row in found.collect()}
-    return {bound: ends.get(bound, starts[place]) for bound, place in wanted}
-
-
-def minimax_cuts(groups, starts, total, largest, shards, tries=512):
+class Ends:
+    """What is known of the sorted ends of groups: some of them, and between which of these others may lie."""
+
+    def __init__(self, known, open_after):
+        self.known, self.open_after = known, open_after
+
+    def reach(self, bound):
+        """The largest end up to ``bound``: what is known for sure, and what it can be at most."""
+        at = bisect.bisect_right(self.known, bound) - 1
+        low = self.known[at]
+        return low, bound if self.open_after[at] else low
+
+    def walk(self, capacity, runs, most):
+        """Ends of greedy runs of at most ``capacity``: at least, or at most (``most``)."""
+        at, out = 0, []
+        for _ in range(runs):
+            at = self.reach(at + capacity)[most]
+            out.append(at)
+        return out
+
+    def smallest(self, low, high, runs, most):
+        """The smallest capacity in the range that takes everything in, as far as it is known."""
+        total = self.known[-1]
+        while low < high:
+            middle = (low + high) // 2
+            if self.walk(middle, runs, most)[-1] >= total:
+                high = middle
+            else:
+                low = middle + 1
+        return low
+
+    def open_in(self, low, high):
+        """Places of the gaps in which an end between ``low`` and ``high`` may lie unknown."""
+        first = max(0, bisect.bisect_right(self.known, low) - 1)
+        last = bisect.bisect_right(self.known, high)
+        return [i for i in range(first, min(last, len(self.known) - 1)) if self.open_after[i]]
+
+    def refine(self, groups, gaps, bins):
+        """Looks into the gaps in one job: least and largest end, and their number, of each bin."""
+        runs = []
+        for i in sorted(gaps):
+            if runs and runs[-1][1] == self.known[i]:
+                runs[-1][1] = self.known[i + 1]
+            else:
+                runs.append([self.known[i], self.known[i + 1]])
+        wide = max(1, -(-sum(b - a for a, b in runs) // bins))
+        end, inside, number = F.col("end"), F.lit(False), F.lit(None).cast("long")
+        for place, (a, b) in enumerate(runs):
+            within = (end > a) & (end <= b)
+            inside = inside | within
+            number = F.when(within, F.floor((end - a) / wide) * len(runs) + place).otherwise(number)
+        seen = groups.where(inside).groupBy(number.alias("bin")).agg(F.min("end"), F.max("end"), F.count("*"))
+        closed = {self.known[i] for i in gaps}
+        both = {end: way and end not in closed for end, way in zip(self.known, self.open_after)}
+        found = [tuple(r)[1:] for r in seen.collect()]
+        for least, most, _ in found:
+            both.setdefault(least, False)
+            both.setdefault(most, False)
+        self.known = sorted(both)
+        self.open_after = [both[end] for end in self.known]
+        for least, most, count in found:
+            if count > 2:  # others may lie behind each known end of the bin but its last
+                at, to = bisect.bisect_left(self.known, least), bisect.bisect_left(self.known, most)
+                self.open_after[at:to] = [True] * (to - at)
+
+
+def minimax_cuts(groups, ends, largest, shards, bins=16_384):
     """Smallest feasible capacity and the cuts (byte offsets) it gives.
 
-    ``groups`` has ``bucket``, ``end``; ``largest`` is the size of the largest
-    group. Each round narrows the capacity to one of ``tries`` intervals.
+    ``groups`` has ``end``; ``ends`` is what the sums of buckets tell of them,
+    ``largest`` the size of the largest group. The search runs on what is known;
+    where the capacity or a cut still depends on ends that are not, one job looks
+    into those gaps of all shards, and the search goes on. A round leaves a gap
+    ``bins`` times as narrow, so there are two or three of any table.
     """
-    low, high = max(largest, -(-total // shards)), largest + -(-total // shards)
-    while low < high:
-        step = max(1, -(-(high - low) // tries))
-        capacities = sorted({*range(low, high, step), high})
-        reach = {c: 0 for c in capacities}
-        for _ in range(shards):
-            open_ones = {c: reach[c] + c for c in capacities if reach[c] < total}
-            far = {c for c, bound in open_ones.items() if bound >= total}
-            reach.update({c: total for c in far})
-            asked = {c: b for c, b in open_ones.items() if c not in far}
-            if asked:
-                ends = _largest_end(groups, starts, asked.values())
-                reach.update({c: ends[b] for c, b in asked.items()})
-        feasible = [c for c in capacities if reach[c] >= total]
-        high = feasible[0]
-        place = capacities.index(high)
-        low = capacities[place - 1] + 1 if place else high
-    cuts, at = [], 0
-    for _ in range(shards - 1):
-        at = total if at + high >= total else _largest_end(groups, starts, [at + high])[at + high]
-        cuts.append(at)
-    return high, cuts
+    total = ends.known[-1]
+    low = max(largest, -(-total // shards))
+    high = largest + low
+    while True:
+        low, high = ends.smallest(low, high, shards, 1), ends.smallest(low, high, shards, 0)
+        first, last = ends.walk(low, shards - 1, 0), ends.walk(high, shards - 1, 1)
+        if low == high and first == last:
+            return high, first
+        gaps = {i for a, b in zip(first, last) for i in ends.open_in(a, b)}
+        ends.refine(groups, gaps, bins)
 
 
 def shard(docs, shards=8, id_col="doc_id", text="text", rows_per_cell=20_000, max_buckets=16_384):
@@ -100,7 +133,7 @@ def shard(docs, shards=8, id_col="doc_id", text="text", rows_per_cell=20_000, ma
     Every window is bounded: a hot group is counted in salted cells of about
     ``rows_per_cell`` rows, and byte offsets run within one bucket of digests.
     What reaches the driver is one row per bucket (``max_buckets`` at most) and
-    one per looked-up bound.
+    one per bin of a round (16,384 at most).
     """
     spark = docs.sparkSession
     n = docs.count()
@@ -139,7 +172,10 @@ def shard(docs, shards=8, id_col="doc_id", text="text", rows_per_cell=20_000, ma
         "shard-groups",
     )
     largest = groups.agg(F.max("bytes")).first()[0] or 0
-    _, cuts = minimax_cuts(groups, starts, total, largest, shards)
+    filled = [b for b in range(buckets) if sums.get(b, (0, 0))[1]]
+    known = [0] + [starts[b] + sums[b][0] for b in filled]
+    ends = Ends(known, [sums[b][1] > 1 for b in filled] + [False])
+    _, cuts = minimax_cuts(groups, ends, largest, shards)
 
     begin = F.col("end") - F.col("bytes")
     number = F.lit(0)

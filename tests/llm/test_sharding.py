@@ -65,5 +65,23 @@ def test_search_in_few_tries(spark):
     check(sharding.shard(docs, 7).collect(), texts, 7)
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_search_looks_into_gaps(spark, seed):
+    """Few bins: several rounds, with known ends inside of bins; the answer is that of one look at all ends."""
+    draw = random.Random(seed)
+    sizes = [draw.choice([1, 2, 5, 40, 300]) for _ in range(700)]
+    at = [sum(sizes[: i + 1]) for i in range(len(sizes))]
+    groups = spark.createDataFrame([(e,) for e in at], "end long").repartition(3).cache()
+    for shards in (1, 2, 8):
+        own = [0, *sorted({at[i] for i in (90, 91, 300, 410, 650)}), at[-1]]
+        ends = sharding.Ends(own, [True] * (len(own) - 1) + [False])
+        capacity, cuts = sharding.minimax_cuts(groups, ends, max(sizes), shards, bins=5)
+        assert capacity == brute_capacity(sizes, shards)
+        reached = 0
+        for cut in cuts:
+            reached = max([reached, *(e for e in at if e <= reached + capacity)])
+            assert cut == reached
+
+
 def test_empty(no_docs):
     assert sharding.shard(no_docs, 8).count() == 0
