@@ -12,6 +12,7 @@ frequent in toxic than in clean documents. The field then learns from those
 labelled words what to make of words it has not seen.
 """
 
+import pickle
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -236,15 +237,34 @@ def _facts(chance):
     return [max(-6.0, np.log(top / (1 - top))), np.log1p(chance[chance > 0.1].sum())]
 
 
-def fit(docs, labels, sample=1200, clean_sample=2400, where=None, seed=3, id_col="doc_id", text="text", label="toxic"):
+def _fitted(most_bytes):
+    def run(batches):
+        texts, toxic, size = [], [], 0
+        for batch in batches:
+            for text, label in zip(batch.column("text").to_pylist(), batch.column("_label").to_pylist()):
+                size += len(text.encode())
+                if size <= most_bytes:
+                    texts.append(text)
+                    toxic.append(label == 1)
+        model = train(texts, toxic)
+        yield pa.record_batch({"model": pa.array([pickle.dumps(model)], pa.binary())})
+
+    return run
+
+
+def fit(
+    docs, labels, sample=1200, clean_sample=2400, most_bytes=24_000_000, where=None, seed=3,
+    id_col="doc_id", text="text", label="toxic",
+):
     """A model from at most ``sample`` toxic and ``clean_sample`` clean labelled documents, in a seeded order of ids.
 
-    The bounds hold for the fit alone: they are what reaches the driver. The ids
-    only choose rows and are no input. ``where`` limits the labelled rows that
-    may be used. A repeated label counts as toxic if one of its rows is; null
-    labels are not used. Without labelled documents of both kinds every score
-    is low.
-    """
+    Of these, whole texts are taken in that order as long as they have at most
+    ``most_bytes`` together. The bounds hold for the fit alone, which is one
+    task; what reaches the driver is the model. The ids only choose rows and are
+    no input. ``where`` limits the labelled rows that may be used. A repeated
+    label counts as toxic if one of its rows is; null labels are not used.
+    Without labelled documents of both kinds every score is low.
+    """
     known = labels.where(F.col(label).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.max(label).alias("_label"))
     if where is not None:
         known = known.where(where(F.col("_id")))
@@ -257,9 +277,10 @@ def fit(docs, labels, sample=1200, clean_sample=2400, where=None, seed=3, id_col
         .join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
         .select("text", "_label", order.alias("_order"))
         .orderBy("_order", "text")
-        .collect()
+        .limit(sample + clean_sample)
     )
-    return train([r.text for r in rows], [r._label == 1 for r in rows])
+    found = rows.mapInArrow(_fitted(most_bytes), "model binary").first()
+    return pickle.loads(found.model) if found else train([], [])
 
 
 _SCORE = pa.struct([("score", pa.float64()), ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))])
@@ -279,8 +300,8 @@ def score(docs, model, limit=0.7, likely=0.5, text="text"):
         evidence = _Evidence(model)
         for batch in batches:
             rows = []
-            for low in range(0, len(batch), 2048):
-                texts = batch.slice(low, 2048).to_pylist()
+            for low in range(0, len(batch), 512):
+                texts = batch.slice(low, 512).to_pylist()
                 for body, chance in zip(texts, _chances(model, texts, evidence)):
                     value = 1 / (1 + np.exp(-float(np.clip(model.document @ [1.0, *_facts(chance)], -MOST, MOST))))
                     rows.append({"score": value, "spans": _places(body, chance >= likely)})
