@@ -1,24 +1,25 @@
 """Records through outside services, with the outcome captured per row.
 
-Decisions (type, sizes, limits) are columns; Python only makes the calls.
-Every action on these results calls again, so write them once (``stage``)
-before using them twice.
+Decisions (type, sizes, limits) are columns; Python only makes the calls. Their
+outcomes go to a log in the shared folder while a task runs: a task that is
+lost, and a second action on the result, find them there.
 """
 
 import base64
 import posixpath
 import time
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.pandas.types import to_arrow_schema, to_arrow_type
 
 from carrel import schemas
 from carrel.functions import images, names
 from carrel.operators.dedupe import last_wins
+from carrel.session import new_folder
+from carrel.sources.calls import CallLog, with_lots
 from carrel.sources.files import open_root
 
 # Status words and messages.
@@ -55,10 +56,22 @@ def call_patiently(call, retries, first_delay, max_delay, sleep=time.sleep, used
             used += 1
 
 
-def _with_calls(df, client_factory, call, wanted, result_type, retry):
+#: Outcomes that a task holds before it writes them to the log.
+FLUSH = 10
+#: Lots for each task that runs at once.
+LOTS = 8
+
+
+def lots_of(spark, max_parallel):
+    """How many lots the calls are dealt to: as many as may run at once, or several for each core where no limit is set."""
+    return max_parallel or LOTS * spark.sparkContext.defaultParallelism
+
+
+def _with_calls(df, client_factory, call, wanted, result_type, retry, log, step):
     """Adds ``_result`` and ``_error`` of one client call per wanted row.
 
-    ``_used`` holds the retries that a record has had, over all its calls.
+    ``_used`` holds the retries that a record has had, over all its calls. Rows
+    have ``_key`` and ``_lot``; a task has one lot.
     """
     schema = T.StructType(
         [field for field in df.schema.fields if field.name != "_used"]
@@ -83,10 +96,18 @@ def _with_calls(df, client_factory, call, wanted, result_type, retry):
         except Exception as error:  # any other failure belongs to this row alone
             return None, str(error), used
 
+    def logged(client, calls, row):
+        if not row["_wanted"]:
+            return outcome(client, row)
+        calls.open_lot(row["_lot"])
+        return calls.outcome(row["_key"], lambda: outcome(client, row))
+
     def run(batches):
         client = client_factory()
+        calls = CallLog(log, step, arrow_type, FLUSH)
         for batch in batches:
-            outcomes = [outcome(client, row) for row in batch.to_pylist()]
+            outcomes = [logged(client, calls, row) for row in batch.to_pylist()]
+            calls.close()
             yield pa.RecordBatch.from_arrays(
                 [
                     *batch.select(columns).columns,
@@ -113,6 +134,7 @@ def fetch_records(
     max_height=images.MAX_SIDE,
     max_size=images.FETCH_SIZE_LIMIT,
     size_transform=images.base64_estimate,
+    log=None,
 ):
     """Fetch one image (or all) per record: record_id, file_index, status, ...
 
@@ -121,9 +143,11 @@ def fetch_records(
     returns (path, size); width and height are None for the original. It is
     built once per task. ``size_transform`` maps a size column to the size
     that counts against ``max_size``. ``max_parallel`` sets the number of
-    tasks that call at once, by default as many as there are cores. ``retries``
-    is the budget of a record over all its calls. The calls of a record run as
-    one chain: a task that is lost repeats the calls of its records.
+    tasks that call at once; without it all cores take small lots one after
+    another. ``retries`` is the budget of a record over all its calls. Outcomes
+    are logged by record in the folder ``log``, by default a new one: a task
+    that is lost repeats the calls of one flush at most, and a job that is
+    given the log of an earlier one goes on from there.
     """
     retry = {"retries": retries, "first_delay": first_delay, "max_delay": max_delay}
     metadata_type = T.ArrayType(T.StructType.fromDDL(schemas.FILE_METADATA[7:-1]))
@@ -145,10 +169,12 @@ def fetch_records(
         path, written = client.download(row["record_id"], row["file_index"], *size)
         return {"path": str(path), "size": int(written)}
 
+    spark = records.sparkSession
+    log = log or new_folder(spark, "calls")
     ids = records.select(F.col(record_id).alias("record_id"))
     # Always dealt out: a small table of ids would otherwise be one task.
-    ids = ids.repartition(max_parallel or records.sparkSession.sparkContext.defaultParallelism, "record_id")
-    looked_up = _with_calls(ids, client_factory, metadata, F.lit(True), metadata_type, retry)
+    ids = with_lots(ids, F.col("record_id").cast("string"), lots_of(spark, max_parallel))
+    looked_up = _with_calls(ids, client_factory, metadata, F.lit(True), metadata_type, retry, log, "metadata")
     if all_files:
         position = F.explode_outer(
             F.when(F.size("_result") > 0, F.sequence(F.lit(0), F.size("_result") - 1))
@@ -156,9 +182,11 @@ def fetch_records(
     else:
         position = F.lit(0)
     files = looked_up.select(
-        "record_id", "_result", "_error", "_used", position.alias("file_index")
+        "record_id", "_lot", "_result", "_error", "_used", position.alias("file_index")
     ).select(
         "record_id",
+        "_lot",
+        F.concat_ws(":", "record_id", F.coalesce("file_index", F.lit(0))).alias("_key"),
         F.coalesce("file_index", F.lit(0)).alias("file_index"),
         F.get("_result", F.coalesce("file_index", F.lit(0))).alias("file"),
         F.col("_error").alias("error"),
@@ -185,10 +213,12 @@ def fetch_records(
         .alias("description"),
         target.alias("t"),
         "_used",
-    ).select("record_id", "file_index", "status", "description", "t.*", "_used")
+        "_key",
+        "_lot",
+    ).select("record_id", "file_index", "status", "description", "t.*", "_used", "_key", "_lot")
 
     first = _with_calls(
-        planned, client_factory, download, F.col("status").isNull(), download_type, retry
+        planned, client_factory, download, F.col("status").isNull(), download_type, retry, log, "download"
     )
     new_size = F.col("_result.size")
     counted = size_transform(new_size) if size_transform else new_size
@@ -208,10 +238,12 @@ def fetch_records(
             F.struct("width", "height", F.lit(False).alias("resize"))
         ).alias("t"),
         "_used",
-    ).select("record_id", "file_index", "status", "description", "path", "resized", "t.*", "_used")
+        "_key",
+        "_lot",
+    ).select("record_id", "file_index", "status", "description", "path", "resized", "t.*", "_used", "_key", "_lot")
 
     second = _with_calls(
-        reduced, client_factory, download, F.coalesce("resize", F.lit(False)), download_type, retry
+        reduced, client_factory, download, F.coalesce("resize", F.lit(False)), download_type, retry, log, "reduced"
     )
     failed = F.col("_error").isNotNull()
     status = F.when(failed, FAILED).otherwise(F.coalesce("status", F.lit(FETCHED)))
@@ -257,6 +289,7 @@ def describe(
     batch_size=10,
     max_parallel=None,
     size_limit=images.DESCRIBE_SIZE_LIMIT,
+    log=None,
 ):
     """Describe each row's image: adds status, status_description, description.
 
@@ -265,8 +298,11 @@ def describe(
     raises ``ServiceError``. Images are read from ``image_path`` below
     ``root``, or taken from the binary column ``content``. One that is too
     large in base64 is never sent, nor is a null one. Any failure stays in its
-    row. ``max_parallel`` limits the calls that run at once, by default to the
-    number of cores; finished rows leave the task every ``batch_size`` calls.
+    row. ``max_parallel`` limits the calls that run at once; without it all
+    cores take small lots one after another. Answers are logged by image and
+    prompt in the folder ``log``, by default a new one, every ``batch_size``
+    calls: a task that is lost repeats no more than these, and an image that
+    several rows have is sent once.
     """
     added = ["status", "status_description", "description"]
     kept = [c for c in rows.columns if c != content and c not in added]
@@ -280,38 +316,45 @@ def describe(
         sized = sized.withColumn("absent_", F.col(content).isNull())
     else:
         sized = sized.withColumn("image_", F.lit(None).cast("string")).withColumn("absent_", F.lit(False))
-    sized = sized.select(*kept, "mime_", "image_", "absent_")
-    sized = sized.repartition(max_parallel or rows.sparkSession.sparkContext.defaultParallelism, "image_path")
+    spark = rows.sparkSession
+    log = log or new_folder(spark, "calls")
+    own = F.sha2(F.col(content), 256) if content else F.lit(None).cast("string")
+    key = F.sha2(F.to_json(F.struct(F.lit(prompt).alias("p"), F.col("image_path"), own.alias("c"), F.col("absent_"))), 256)
+    sized = sized.withColumn("key_", key)
+    sized = with_lots(sized.select(*kept, "mime_", "image_", "absent_", "key_"), F.col("key_"), lots_of(spark, max_parallel))
+    arrow_schema = to_arrow_schema(schema)
 
     def run(batches):
         model = model_factory()
         filesystem, base = (None, None) if content else open_root(root)
+        calls = CallLog(log, "describe", pa.string(), batch_size)
 
-        def answer(path, mime, image, absent):
-            if absent:
-                return FAILURE, NO_IMAGE, ""
+        def answer(path, mime, image):
+            """(text, failure, no retries): exactly one of the two is null, or both for an answer without content."""
             try:
                 if content is None:
                     image = _load_base64(filesystem, base, path, size_limit)
                 if image is None:
-                    return FAILURE, TOO_LARGE, ""
+                    return None, TOO_LARGE, 0
                 text = model(prompt, mime, image)
             except Exception as error:  # a failure belongs to its row; paid answers of others are kept
-                return FAILURE, str(error) or type(error).__name__, ""
-            if text is None:
-                return FAILURE, NO_CONTENT, ""
-            return SUCCESS, "", str(text)
+                return None, str(error) or type(error).__name__, 0
+            return (None, NO_CONTENT, 0) if text is None else (str(text), None, 0)
+
+        def outcome(row):
+            if row["absent_"]:
+                return FAILURE, NO_IMAGE, ""
+            calls.open_lot(row["_lot"])
+            text, error, _ = calls.outcome(row["_key"], lambda: answer(row["image_path"], row["mime_"], row["image_"]))
+            return (SUCCESS, "", text) if error is None else (FAILURE, error, "")
 
         for batch in batches:
-            for start in range(0, len(batch), batch_size):
-                part = batch.iloc[start : start + batch_size].reset_index(drop=True)
-                answers = [
-                    answer(*row)
-                    for row in zip(part["image_path"], part["mime_"], part["image_"], part["absent_"])
-                ]
-                yield pd.concat([part[kept], pd.DataFrame(answers, columns=added)], axis=1)
-
-    return sized.mapInPandas(run, schema)
+            answers = [outcome(row) for row in batch.select(["image_path", "mime_", "image_", "absent_", "_key", "_lot"]).to_pylist()]
+            calls.close()
+            columns = [pa.array(c, pa.string()) for c in zip(*answers)] or [pa.array([], pa.string())] * len(added)
+            yield pa.RecordBatch.from_arrays([*batch.select(kept).columns, *columns], schema=arrow_schema)
+
+    return sized.mapInArrow(run, schema)
 
 
 def _load_base64(filesystem, base, path, size_limit):

@@ -11,7 +11,7 @@ from carrel.operators import enrich, routing
 from carrel.operators.dedupe import last_wins
 from carrel.operators.summary import job_summary
 from carrel.session import stage
-from carrel.sources.tables import export_name, publish, write_stage
+from carrel.sources.tables import export_name, publish_run, write_stage
 
 
 @dataclass(frozen=True)
@@ -94,9 +94,8 @@ def run(
         "skipped": (skipped, schemas.SKIPPED_HEADINGS),
     }
     params = spark.createDataFrame([(json.dumps(asdict(settings)),)], "params string")
-    publish(params, root, "params", run_id)
-    for name, (table, headings) in tables.items():
-        publish(table, root, name, run_id)
-        if timestamp:
+    publish_run({"params": params} | {name: table for name, (table, _) in tables.items()}, root, run_id)
+    if timestamp:
+        for name, (table, headings) in tables.items():
             write_stage(table, f"{root}/exports/{run_id}/{export_name(name, timestamp)}", headings)
     return job_summary(fetched, processed, skipped)

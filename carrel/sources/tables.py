@@ -8,6 +8,7 @@ from carrel import schemas
 from carrel.functions import names
 from carrel.operators.reconcile import in_reading_order
 from carrel.sources.files import MANIFEST
+from carrel.sources.versions import Versions, new_data
 
 CSV_OPTIONS = {
     "header": "true",
@@ -68,27 +69,41 @@ def write_shards(df, path, record_id="record_id"):
     )
 
 
-def publish(df, root, stage_name, run_id):
-    """Replace this run's rows of a stage table, and no other run's; also by no rows."""
-    replace_part(df, f"{root}/{stage_name}", "run_id", run_id)
+def _run(spark, root, run_id):
+    """A run's tables; its id becomes a folder name and must be a plain word."""
+    if not re.fullmatch(r"[\w.-]+", run_id):
+        raise ValueError(f"not a plain name: {run_id!r}")
+    return Versions(spark, f"{root}/run_id={run_id}")
 
 
-def replace_part(df, path, column, value):
-    """Write ``df`` as the one partition ``column=value`` of a table.
+def publish_run(tables, root, run_id):
+    """Replace these stage tables of a run, and nothing else, at once; also by no rows.
 
-    The partition's own folder is overwritten, so that zero rows replace what
-    is there. The value becomes a folder name and must be a plain word.
+    All tables are written aside; then one switch makes them the run's. A reader
+    that began before it goes on with the old rows, and a writer that dies
+    leaves them as they are. ``tables``: frames by stage name.
     """
-    if not re.fullmatch(r"[\w.-]+", value):
-        raise ValueError(f"not a plain name: {value!r}")
-    df.drop(column).write.mode("overwrite").parquet(f"{path}/{column}={value}")
+    spark = next(iter(tables.values())).sparkSession
+    run, written = _run(spark, root, run_id), {}
+    for name, df in tables.items():
+        written[name] = new_data(name)
+        df.drop("run_id").write.parquet(f"{run.root}/{written[name]}")
+    run.update(lambda content: {"tables": {**(content or {}).get("tables", {}), **written}})
+    run.forget(lambda content: content["tables"].values())
+
+
+def publish(df, root, stage_name, run_id):
+    """Replace this run's rows of one stage table, see ``publish_run``."""
+    publish_run({stage_name: df}, root, run_id)
 
 
 def read_run(spark, root, stage_name, run_id, schema):
-    """One run's rows of a stage table; other runs are not listed or read."""
-    columns = spark.createDataFrame([], schema).schema
-    table = spark.read.schema(columns.add("run_id", "string")).parquet(f"{root}/{stage_name}")
-    return table.where(F.col("run_id") == run_id).drop("run_id")
+    """One run's rows of a stage table as they were published last; none if it has no such table."""
+    run = _run(spark, root, run_id)
+    folder = ((run.current()[1] or {}).get("tables") or {}).get(stage_name)
+    if folder is None:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{run.root}/{folder}")
 
 
 def export_name(stage_name, timestamp):

@@ -172,7 +172,7 @@ def test_calls_are_spread_over_all_cores(spark):
     ids = spark.range(5_000).select(F.col("id").cast("string").alias("record_id")).coalesce(1)
     calls = enrich.fetch_records(ids, Client, first_delay=0.0)
     cores = spark.sparkContext.defaultParallelism
-    assert cores > 1 and calls.rdd.getNumPartitions() == cores
+    assert cores > 1 and calls.rdd.getNumPartitions() == enrich.LOTS * cores
     described = enrich.describe(
         spark.createDataFrame([("a.jpg", b"1")], "image_path string, content binary"), Model, "P", content="content"
     )
@@ -246,3 +246,98 @@ def test_whole_run(spark, tmp_path):
     assert {r.record_id: r.status for r in stored.collect()} == {
         "1": "fetched", "2": "fetched", "3": "skipped"
     }
+
+
+class Counted(Client):
+    """Notes every call in a file; its task dies once, at a call of the first run."""
+
+    folder = dies_at = None
+
+    def note(self, name):
+        with open(os.path.join(self.folder, f"calls-{os.getpid()}"), "a") as out:
+            out.write(f"{name}\n")
+        if self.dies_at and sum(1 for _ in open(os.path.join(self.folder, f"calls-{os.getpid()}"))) == self.dies_at:
+            os._exit(1)
+
+    def metadata(self, record_id):
+        self.note(f"metadata {record_id}")
+        return super().metadata(record_id)
+
+    def download(self, record_id, index, width, height):
+        self.note(f"download {record_id} {width}")
+        return super().download(record_id, index, width, height)
+
+
+def counted(folder, dies_at):
+    client = Counted()
+    client.folder, client.dies_at = folder, dies_at
+    return client
+
+
+def calls_in(folder):
+    return [line.strip() for name in os.listdir(folder) for line in open(os.path.join(folder, name))]
+
+
+def test_a_task_that_dies_repeats_one_flush_at_most(spark, tmp_path):
+    folder, log = tmp_path / "calls", str(tmp_path / "log")
+    folder.mkdir()
+    ids = spark.createDataFrame([(f"r{i}",) for i in range(60)], "record_id string")
+
+    def run(dies_at):
+        made = functools.partial(counted, str(folder), dies_at)
+        return enrich.fetch_records(ids, made, **LIMITS, max_parallel=1, log=log).collect()
+
+    with pytest.raises(Exception):
+        run(47)
+    before = calls_in(folder)
+    assert len(before) == 47
+    got = run(None)
+    every = calls_in(folder)
+    assert len(got) == 60 and all(r.status == "fetched" for r in got)
+    # Metadata, the file, and its smaller form once each; what was not yet logged again.
+    assert len(set(every)) == 180 and len(every) <= 180 + enrich.FLUSH
+    run(None)
+    assert len(calls_in(folder)) == len(every)  # a second action calls nothing
+
+
+class CountedModel:
+    def __init__(self, folder, dies_at):
+        self.folder, self.dies_at, self.n = folder, dies_at, 0
+
+    def __call__(self, prompt, mime, image):
+        self.n += 1
+        with open(os.path.join(self.folder, f"calls-{os.getpid()}"), "a") as out:
+            out.write(image + "\n")
+        if self.n == self.dies_at:
+            os._exit(1)
+        return f"{prompt} {mime}"
+
+
+def test_paid_answers_outlive_their_task(spark, tmp_path):
+    folder, log = tmp_path / "calls", str(tmp_path / "log")
+    folder.mkdir()
+    rows = spark.range(40).select(
+        F.concat(F.lit("/i/"), F.col("id"), F.lit(".png")).alias("image_path"), F.col("id").cast("string").cast("binary").alias("content")
+    )
+    rows = rows.unionByName(rows.where("image_path = '/i/7.png'"))
+
+    def run(dies_at):
+        made = functools.partial(CountedModel, str(folder), dies_at)
+        return enrich.describe(rows, made, "look", content="content", max_parallel=1, log=log).collect()
+
+    with pytest.raises(Exception):
+        run(25)
+    got = run(None)
+    assert len(got) == 41 and {(r.status, r.description) for r in got} == {("success", "look image/png")}
+    sent = calls_in(folder)
+    assert len(set(sent)) == 40 and len(sent) <= 40 + 10
+
+
+def test_calls_are_dealt_to_small_lots(spark):
+    ids = spark.range(5000).select(F.col("id").cast("string").alias("record_id"))
+    cores = spark.sparkContext.defaultParallelism
+    fetched = enrich.fetch_records(ids, Client, **LIMITS)
+    own = fetched.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert len(own) == enrich.LOTS * cores
+    assert max(r["count"] for r in own) < 2 * 5000 / len(own)
+    assert enrich.fetch_records(ids, Client, **LIMITS, max_parallel=3).rdd.getNumPartitions() == 3
