@@ -6,8 +6,9 @@ folded into repeated groups. The shapes of a host are aligned one after
 another: equal tags are matched, what only one side has becomes optional,
 what stands side by side again becomes repeated, texts become slots. The
 result, a regular expression without alternatives, is the host's wrapper; its
-slots are sorted into content and rest, and every page is read through the
-wrapper of its host.
+marks tell regions that repeat (lists) from the one that holds an article, and
+what varies over the pages from what does not; names of elements decide where
+these leave a choice. Every page is read with what its host's wrapper tells.
 """
 
 import html
@@ -41,7 +42,9 @@ ENDS_PARAGRAPH = BLOCKS - frozenset("label button select option caption summary"
 #: Elements that end each other, up to the element that holds them.
 SIBLINGS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "tr": ({"tr"}, {"table"})}
 SIBLINGS |= {"dd": SIBLINGS["dt"], "td": ({"td", "th"}, {"tr"}), "th": ({"td", "th"}, {"tr"}), "option": ({"option"}, {"select"})}
-REST_TAGS = frozenset("head nav header footer aside form menu select option button dialog label fieldset address".split())
+REST_TAGS = frozenset("head nav header footer aside menu select option button dialog address".split())
+#: Elements that are rest unless the article is inside of them.
+HOLDERS = frozenset("form fieldset label".split())
 MAIN_TAGS = ("article", "main")
 #: Words in classes, ids and roles of what is not the article.
 REST_WORDS = frozenset(
@@ -52,6 +55,13 @@ REST_WORDS = frozenset(
     " copyright toolbar search form complementary contentinfo".split()
 )
 MAIN_WORDS = frozenset("article content main post entry story articlebody".split())
+#: Words that say how a page is laid out; what they stand with is not meant.
+LAYOUT_WORDS = frozenset("with has no without hide show".split())
+#: Words that go with those above and change nothing.
+NEUTRAL_WORDS = frozenset(
+    "list box bar block wrap wrapper container section area item items link links button buttons icon icons top bottom"
+    " left right side site page post entry inner outer body text head title row col column group set".split()
+)
 
 
 @dataclass
@@ -219,14 +229,15 @@ def _parts(word):
     return [part for part in re.split(r"[-_#]+", word) if part]
 
 
-def _rest(label):
-    """Whether a label names something other than the article; a word made of main words only speaks against it."""
-    name, *words = label.split(".")
-    if name in REST_TAGS or name in MAIN_TAGS:
-        return name in REST_TAGS
-    if any(_parts(w) and all(p in MAIN_WORDS for p in _parts(w)) for w in words):
-        return False
-    return any(p in REST_WORDS for w in words for p in _parts(w))
+def _named_rest(words, strict=False):
+    """Whether classes, ids and roles name something other than the article; ``strict``: and nothing else."""
+    for word in words:
+        parts = _parts(word)
+        if any(p in LAYOUT_WORDS for p in parts) or not any(p in REST_WORDS for p in parts):
+            continue
+        if not strict or all(p in REST_WORDS or p in NEUTRAL_WORDS for p in parts):
+            return True
+    return False
 
 
 def _main(label):
@@ -234,26 +245,102 @@ def _main(label):
     return name in MAIN_TAGS or any(p in MAIN_WORDS for w in words for p in _parts(w))
 
 
-def candidates(wrapper):
-    """The slots outside of what is named as something other than the article."""
-    return [p for p in slots(wrapper) if not any(_rest(label) for label in p.split("/")[1:])]
+def _core(label):
+    """Whether a label names the article, and nothing besides."""
+    return _main(label) and not _named_rest(label.split(".")[1:])
+
+
+def _weak(label, inside):
+    """Whether a label names something other than the article, by its names or as a form; a word made of main words
+    only speaks against it. Within the article (``inside``) only names that say nothing else count."""
+    name, *words = label.split(".")
+    if name in MAIN_TAGS:
+        return False
+    if any(_parts(w) and all(p in MAIN_WORDS for p in _parts(w)) for w in words):
+        return False
+    return name in HOLDERS or _named_rest(words, strict=inside)
+
+
+def lists(node, path=""):
+    """Paths of elements named as main that repeat in the wrapper: a list of articles, and not the article."""
+    found = []
+    for part in node.parts:
+        if part.tag != "#":
+            own = f"{path}/{part.tag}"
+            if part.mark in ("+", "*") and _main(part.tag):
+                found.append(own)
+            found += lists(part, own)
+    return list(dict.fromkeys(found))
+
 
+def _prefixes(path):
+    at = path.find("/", 1)
+    while at > 0:
+        yield path[:at]
+        at = path.find("/", at + 1)
+    if path:
+        yield path
 
-def main_paths(paths):
-    """The paths in the main region that the best rule finds: article, main, names; none if no rule finds one."""
+
+def candidates(weights):
+    """The paths of a page outside of what is named as something other than the article. ``weights``: length of the
+    text on each path.
+
+    What is named so but holds most of the text within articles is their
+    surroundings, as are the page and its body.
+    """
+    core, under = 0, {}
+    for path, weight in weights.items():
+        labels = path.split("/")[1:]
+        if any(x.split(".")[0] in REST_TAGS for x in labels) or not any(map(_core, labels)):
+            continue
+        core += weight
+        for prefix in _prefixes(path):
+            under[prefix] = under.get(prefix, 0) + weight
+            if _core(prefix.rpartition("/")[2]):
+                break  # what is inside of the article doesn't hold it
+    kept = []
+    for path in weights:
+        inside = False
+        for prefix in _prefixes(path):
+            label = prefix.rpartition("/")[2]
+            name = label.split(".")[0]
+            if name in REST_TAGS:
+                break
+            if name not in ("html", "body") and _weak(label, inside) and 2 * under.get(prefix, 0) <= core:
+                break
+            inside = inside or _core(label)
+        else:
+            kept.append(path)
+    return kept
+
+
+def main_paths(weights, repeated=()):
+    """The paths in the main region that the best rule finds: article, main, names; none if no rule finds one.
+
+    The region holds a quarter of the text at least, or half of it where it is
+    one of those that repeat.
+    """
+    whole, repeated = sum(weights.values()), set(repeated)
     for test in (lambda x: x.split(".")[0] == "article", lambda x: x.split(".")[0] == "main", _main):
-        inside = [p for p in paths if any(test(label) for label in p.split("/")[1:])]
-        if inside:
-            return inside
+        single, inside = [], []
+        for path in weights:
+            hits = [p for p in _prefixes(path) if test(p.rpartition("/")[2])]
+            if hits:
+                inside.append(path)
+                if not repeated.issuperset(hits):
+                    single.append(path)
+        for region, share in ((single, 4), (inside, 2)):
+            if region and share * sum(weights[p] for p in region) >= whole:
+                return region
     return []
 
 
-def content_paths(wrapper, fixed=()):
-    """The slots that hold the article of a page with all of the wrapper's slots: within its main region where there
-    is one, and outside of what is named as something else; ``fixed`` slots are left out unless they lie in the
-    main region."""
-    kept = candidates(wrapper)
-    return main_paths(kept) or [p for p in kept if p not in set(fixed)]
+def _weights(blocks):
+    out = {}
+    for path, text in blocks:
+        out[path] = out.get(path, 0) + len(text)
+    return out
 
 
 def block_key(path, text):
@@ -261,12 +348,12 @@ def block_key(path, text):
     return xxhash.xxh64_intdigest(f"{path}\0{text}".encode("utf-8", "replace")) - 2**63
 
 
-def content_of(blocks, paths, fixed=()):
+def content_of(blocks, repeated=(), fixed=()):
     """The texts of a page's article: its own main region is chosen, so pages of other templates don't matter.
-    ``fixed`` are keys of blocks that are left out of pages without a main region."""
-    wanted, fixed = set(paths), set(fixed)
-    own = list(dict.fromkeys(path for path, _ in blocks if path in wanted))
-    kept = set(main_paths(own))
+    ``repeated`` are paths of lists, ``fixed`` keys of blocks that are left out of pages without a main region."""
+    weights, fixed = _weights(blocks), set(fixed)
+    wanted = {path: weights[path] for path in candidates(weights)}
+    kept = set(main_paths(wanted, repeated))
     if kept:
         return [text for path, text in blocks if path in kept]
     return [text for path, text in blocks if path in wanted and not (fixed and block_key(path, text) in fixed)]
@@ -287,7 +374,8 @@ def _shapes(pages, text):
         for page in htmls.to_pylist():
             blocks, shape = blocks_of(page)
             # Only blocks that may be left out: not named as rest, not in the main region.
-            own = [p for p in dict.fromkeys(p for p, _ in blocks) if not any(_rest(x) for x in p.split("/")[1:])]
+            weights = _weights(blocks)
+            own = {p: weights[p] for p in candidates(weights)}
             inside = set(main_paths(own))
             keys = {p: set() for p in own if p not in inside}
             for path, block in blocks:
@@ -330,9 +418,10 @@ def _folded(shapes, tasks):
 
 
 def infer(pages, fixed_pages=3, shapes_per_part=200, url="url", text="html"):
-    """One row per host: ``host``, ``wrapper`` (expression), ``paths`` (of slots that may hold content), ``fixed``.
+    """One row per host: ``host``, ``wrapper`` (expression), ``lists`` (paths of articles that repeat), ``fixed``.
 
-    All pages of a host take part. Equal shapes count once; a host's shapes are
+    All pages of a host take part; null and empty pages have an empty shape, pages with a null or strange url are of
+    the empty host, and an empty table gives no wrappers. Equal shapes count once; a host's shapes are
     aligned in parts of about ``shapes_per_part`` and the parts' wrappers then
     with each other, so a host with a third of all pages is spread out. A block
     is fixed if it stands on all distinct pages that have its path, at least ``fixed_pages`` of them; other blocks
@@ -356,16 +445,16 @@ def infer(pages, fixed_pages=3, shapes_per_part=200, url="url", text="html"):
     fixed = same.join(wide, ["host", "paths", "n"]).groupBy("host").agg(F.collect_set("block").alias("fixed"))
     fixed = fixed.select(F.col("host").alias("_f"), "fixed")
 
-    @F.arrow_udf("struct<wrapper:string,paths:array<string>>")
+    @F.arrow_udf("struct<wrapper:string,lists:array<string>>")
     def finished(shapes: pa.Array) -> pa.Array:
         rows = []
         for plain in shapes.to_pylist():
             node = restored(json.loads(plain))
-            rows.append({"wrapper": expression(node), "paths": candidates(node)})
-        return pa.array(rows, type=pa.struct([("wrapper", pa.string()), ("paths", pa.list_(pa.string()))]))
+            rows.append({"wrapper": expression(node), "lists": lists(node)})
+        return pa.array(rows, type=pa.struct([("wrapper", pa.string()), ("lists", pa.list_(pa.string()))]))
 
     joined = whole.join(fixed, F.col("host") == F.col("_f"), "left")
-    return joined.select("host", finished("shape").alias("_w"), "fixed").select("host", "_w.wrapper", "_w.paths", "fixed")
+    return joined.select("host", finished("shape").alias("_w"), "fixed").select("host", "_w.wrapper", "_w.lists", "fixed")
 
 
 def extract(pages, fixed_pages=3, url="url", text="html", into="text"):
@@ -377,15 +466,15 @@ def extract(pages, fixed_pages=3, url="url", text="html", into="text"):
     column named ``into`` is replaced. The wrappers, one row per host, are
     staged, so Spark knows their size when it joins them to the pages.
     """
-    known = stage(infer(pages, fixed_pages, url=url, text=text).select("host", "paths", "fixed"), "wrappers")
-    known = known.select(F.col("host").alias("_host"), F.col("paths").alias("_paths"), F.col("fixed").alias("_fixed"))
+    known = stage(infer(pages, fixed_pages, url=url, text=text).select("host", "lists", "fixed"), "wrappers")
+    known = known.select(F.col("host").alias("_host"), F.col("lists").alias("_lists"), F.col("fixed").alias("_fixed"))
 
     @F.arrow_udf("string")
-    def read(htmls: pa.Array, paths: pa.Array, fixed: pa.Array) -> pa.Array:
+    def read(htmls: pa.Array, repeated: pa.Array, fixed: pa.Array) -> pa.Array:
         out = []
-        for page, kept, same in zip(htmls.to_pylist(), paths.to_pylist(), fixed.to_pylist()):
-            out.append("\n\n".join(content_of(blocks_of(page)[0], kept or (), same or ())))
+        for page, many, same in zip(htmls.to_pylist(), repeated.to_pylist(), fixed.to_pylist()):
+            out.append("\n\n".join(content_of(blocks_of(page)[0], many or (), same or ())))
         return pa.array(out, type=pa.string())
 
     both = pages.join(known, host_of(F.col(url)) == F.col("_host"), "left")
-    return both.withColumn(into, read(F.coalesce(F.col(text), F.lit("")), F.col("_paths"), F.col("_fixed"))).drop("_host", "_paths", "_fixed")
+    return both.withColumn(into, read(F.coalesce(F.col(text), F.lit("")), F.col("_lists"), F.col("_fixed"))).drop("_host", "_lists", "_fixed")

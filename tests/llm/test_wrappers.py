@@ -13,10 +13,40 @@ def page(title, *paragraphs, extra="", menu="Home"):
     )
 
 
-def text_of(html, paths=None):
+def text_of(html):
     blocks, shape = wrappers.blocks_of(html)
-    wanted = set(wrappers.content_paths(shape) if paths is None else paths)
-    return "\n\n".join(t for p, t in blocks if p in wanted)
+    return "\n\n".join(wrappers.content_of(blocks, wrappers.lists(shape)))
+
+
+@pytest.mark.parametrize(
+    "around, text",
+    [
+        ("<body class='has-sidebar'>{}", "Title"),
+        ("<body><div class='layout content-with-sidebar'>{}</div>", "Title"),
+        ("<body><form id=aspnetForm>{}</form>", "Title"),
+        ("<body id='with-header'><main>{}</main>", "Title"),
+        ("<body><div id=sidebar-layout><div class='menu page'>{}</div></div>", "Title"),
+    ],
+)
+def test_surroundings_of_the_article_are_no_rest(around, text):
+    article = "<article><h1>Title</h1><p>one</p></article>"
+    for rest in ("", "<aside>see</aside><div class=related><article><p>tease</p></article></div><nav>menu</nav>"):
+        assert text_of(around.format(article + rest)) == "Title\n\none"
+
+
+def test_parts_of_the_article_are_no_rest_by_a_word():
+    extra = "<section id='search-engines'><p>two</p></section><div id='share-prices'>three</div><div class='share-links'>tweet</div>"
+    assert text_of(f"<article><p>one</p>{extra}</article>") == "one\n\ntwo\n\nthree"
+    thread = "<ol class=comment-list>" + "<li><article class=comment><p>a long opinion of a reader</p></article>" * 9 + "</ol>"
+    assert text_of(f"<article><p>one of us</p></article>{thread}") == "one of us"
+
+
+def test_a_list_of_teasers_is_not_the_article():
+    teasers = "".join(f"<article><h2>teaser {i}</h2></article>" for i in range(3))
+    body = f"<div><p>{'the text itself ' * 20}</p></div>"
+    got = text_of(f"<body>{teasers}{body}</body>")
+    assert ("the text itself " * 20).strip() in got
+    assert text_of(f"<body>{teasers}<p>x</p></body>") == "teaser 0\n\nteaser 1\n\nteaser 2"
 
 
 def test_blocks():
@@ -85,12 +115,11 @@ def test_hosts(spark, hosts):
     got = sorted((str(r.page_id), r.text) for r in wrappers.extract(pages).collect())
     want = [(str(i), f"T{i}\n\np{i}\n\nsame") for i in range(9)] + [("0", "T0\n\np0\n\nsame")]
     want += [(str(20 + i), f"text {i}") for i in range(5)]
-    want += [("30", "N\n\nnull url"), ("31", ""), ("32", ""), ("None", ""), ("None", ""), ("40", ("long " * 60_000).strip())]
-    # The empty host's wrapper has an article, so what lies outside of one isn't content there.
+    want += [("30", "N\n\nnull url"), ("31", ""), ("32", ""), ("None", "odd"), ("None", ""), ("40", ("long " * 60_000).strip())]
     assert got == sorted(want)
-    parted = wrappers.infer(pages, shapes_per_part=1).select("host", "paths").collect()
-    whole = wrappers.infer(pages).select("host", "paths").collect()
-    assert {r.host: set(r.paths) for r in parted} == {r.host: set(r.paths) for r in whole}
+    parted = wrappers.infer(pages, shapes_per_part=1).select("host", "lists", "fixed").collect()
+    whole = wrappers.infer(pages).select("host", "lists", "fixed").collect()
+    assert {r.host: (set(r.lists), set(r.fixed or ())) for r in parted} == {r.host: (set(r.lists), set(r.fixed or ())) for r in whole}
 
 
 def test_empty_and_extra_columns(spark, hosts):
