@@ -132,6 +132,11 @@ def fingerprints(docs, shingle=3, seed=42, orders=0, text="text", into="print",
 
     @F.arrow_udf("struct<fingerprint:long,table:binary,set:long,least:array<long>,prefix:array<long>,sketch:binary,n:int>")
     def print_of(texts: pa.Array) -> pa.Array:
+        # A few at a time: the rows of a whole batch would be held twice.
+        parts = [pa.array(rows_of(texts.slice(low, 500)), type=_PRINT) for low in range(0, len(texts), 500)]
+        return pa.concat_arrays(parts) if parts else pa.array([], type=_PRINT)
+
+    def rows_of(texts):
         rows = []
         for t in texts:
             hashes = shingle_hashes(t.as_buffer().to_pybytes(), shingle, seed)
@@ -148,7 +153,7 @@ def fingerprints(docs, shingle=3, seed=42, orders=0, text="text", into="print",
                     "n": len(hashes),
                 }
             rows.append(row)
-        return pa.array(rows, type=_PRINT)
+        return rows
 
     return docs.withColumn(into, print_of(whole_text(text)))
 

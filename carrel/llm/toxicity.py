@@ -201,7 +201,7 @@ def train(texts, toxic, rounds=50, rate=0.15, decay=2e-3, least=10.0, times=12.0
 class _Evidence(dict):
     """Evidence of a word as written, worked out once; emptied when it grows large."""
 
-    def __init__(self, model, most=400_000):
+    def __init__(self, model, most=100_000):
         super().__init__()
         self.weights, self.bias, self.most = model.weights, model.bias, most
 
