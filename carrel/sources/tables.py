@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from carrel import schemas
 from carrel.functions import names
 from carrel.operators.reconcile import in_reading_order
+from carrel.sources.csvrecords import csv_records, parsed
 from carrel.sources.files import MANIFEST
 from carrel.sources.versions import Versions, new_data
 
@@ -20,9 +21,14 @@ CSV_OPTIONS = {
 
 
 def read_csv(spark, path, schema):
-    """CSV with a header; an empty field is the empty string."""
-    table = spark.read.schema(schema).options(**CSV_OPTIONS, multiLine="true").csv(path)
-    return table.na.fill("")
+    """CSV with a header; an empty field is the empty string.
+
+    Fields may hold line breaks; a file is read by as many tasks as it has
+    splits (``csv_records``).
+    """
+    ddl = schema if isinstance(schema, str) else schema.toDDL()
+    options = {k: v for k, v in CSV_OPTIONS.items() if k != "header"}
+    return parsed(csv_records(spark, path), ddl, options).na.fill("")
 
 
 def write_csv(df, path, mode="errorifexists"):
