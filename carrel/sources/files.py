@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from carrel.functions import names, paths
 from carrel.session import new_folder, stage
+from carrel.sources.keyranges import walk_keys
 
 CHUNK_BYTES = 8 * 1024 * 1024
 ROWS_PER_BATCH = 10_000
@@ -152,13 +153,18 @@ def list_names(spark, folder, extension="*"):
     )
 
 
-def list_objects(spark, uri, prefix=None, extension=None):
+def list_objects(spark, uri, prefix=None, extension=None, lister_factory=None):
     """Object keys below ``uri`` by prefix and, without regard to case, ending.
 
-    Folders that cannot hold the prefix are never listed.
+    Folders that cannot hold the prefix are never listed. With a lister of the
+    store's pages (see ``walk_keys``) its flat key space is listed by ranges of
+    keys instead, by many tasks; its keys are then relative to ``uri``.
     """
     prefix = (prefix or "").strip()
-    files = walk(spark, uri.strip(), prefix=prefix).where("kind = 'file'")
+    if lister_factory:
+        files = walk_keys(spark, lister_factory, prefix)
+    else:
+        files = walk(spark, uri.strip(), prefix=prefix).where("kind = 'file'")
     return files.where(paths.key_matches(F.col("path"), prefix, extension)).select(
         F.col("path").alias("key"), "size", "modified"
     )
@@ -240,12 +246,138 @@ def publish_bytes(filesystem, target, chunks):
         raise
 
 
-def copy_files(plan, source_root, target_root):
+RANGE_BYTES = 256 * 1024 * 1024
+
+
+def _staged_at(filesystem, origin, copied):
+    """Where a file is put together: its name says which state of the source it is of."""
+    info = filesystem.get_file_info(origin)
+    state = hashlib.md5(f"{info.size}:{info.mtime_ns}".encode()).hexdigest()[:16]
+    folder, name = posixpath.split(copied)
+    return posixpath.join(folder, f".{name}.{state}.ranges")
+
+
+def copy_ranges(files, source_root, target_root, range_bytes=RANGE_BYTES):
+    """Copy files by ranges of bytes, each by whichever task takes it, into ``.<name>.<state>.ranges/data``.
+
+    Returns one row per range: path, part, sha256 of its bytes, ``kept`` (it was
+    there already) and error. A range is noted by a file of its own when its
+    bytes are written; a range that is noted is not copied again, so a copy
+    that broke off goes on with what is missing. If the source has changed
+    meanwhile, all of it is copied anew. The target must be a mount.
+    """
+    parts = F.ceil(F.col("size") / range_bytes).cast("int")
+    ranges = files.select("path", "size", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
+    ranges = ranges.repartition(max(files.sparkSession.sparkContext.defaultParallelism, 1), "path", "part")
+
+    def run(batches):
+        source, source_base = open_root(source_root)
+        target, target_base = open_root(target_root)
+
+        def copy(path, part):
+            origin = posixpath.join(source_base, path)
+            folder = _staged_at(source, origin, posixpath.join(target_base, path))
+            note = os.path.join(folder, f"{part:08d}")
+            if os.path.exists(note):
+                with open(note) as noted:
+                    return noted.read(), True
+            os.makedirs(folder, exist_ok=True)
+            state, at, left = hashlib.sha256(), part * range_bytes, range_bytes
+            fd = os.open(os.path.join(folder, "data"), os.O_WRONLY | os.O_CREAT, 0o644)
+            try:
+                with source.open_input_file(origin) as data:
+                    data.seek(at)
+                    while left and (chunk := data.read(min(CHUNK_BYTES, left))):
+                        view = memoryview(chunk)
+                        while view:
+                            written = os.pwrite(fd, view, at)
+                            at, view = at + written, view[written:]
+                        state.update(chunk)
+                        left -= len(chunk)
+                os.fsync(fd)
+            finally:
+                os.close(fd)
+            # Written aside and renamed, so that a note is whole or not there.
+            aside = f"{note}.{uuid.uuid4().hex}"
+            with open(aside, "w") as out:
+                out.write(state.hexdigest())
+            os.rename(aside, note)
+            return state.hexdigest(), False
+
+        for batch in batches:
+            rows = []
+            for path, part in zip(batch["path"], batch["part"]):
+                try:
+                    rows.append((path, part, *copy(path, part), None))
+                except OSError as error:
+                    rows.append((path, part, None, False, str(error)))
+            yield pd.DataFrame(rows, columns=["path", "part", "sha256", "kept", "error"])
+
+    return ranges.mapInPandas(run, "path string, part int, sha256 string, kept boolean, error string")
+
+
+def _finish_ranges(files, source_root, target_root):
+    """Publish files whose ranges are all there: one pass over the bytes for the digest, then a rename."""
+
+    def run(batches):
+        source, source_base = open_root(source_root)
+        _, target_base = open_root(target_root)
+
+        def finish(path, size, error):
+            if error:
+                return path, None, None, error
+            origin, copied = posixpath.join(source_base, path), posixpath.join(target_base, path)
+            try:
+                folder = _staged_at(source, origin, copied)
+                data, state = os.path.join(folder, "data"), hashlib.sha256()
+                if os.path.exists(data):
+                    if os.path.getsize(data) != size:
+                        return path, None, None, f"{path} has changed while it was copied"
+                    info = source.get_file_info(origin)
+                    os.utime(data, ns=(info.mtime_ns, info.mtime_ns))
+                    os.rename(data, copied)
+                # Else a try before this one has come as far as the rename.
+                with open(copied, "rb") as written:
+                    while chunk := written.read(CHUNK_BYTES):
+                        state.update(chunk)
+                if os.path.isdir(folder):
+                    for name in os.listdir(folder):
+                        os.remove(os.path.join(folder, name))
+                    os.rmdir(folder)
+            except OSError as failure:
+                return path, None, None, str(failure)
+            return path, size, state.hexdigest(), None
+
+        for batch in batches:
+            rows = [finish(*r) for r in zip(batch["path"], batch["size"], batch["error"])]
+            yield pd.DataFrame(rows, columns=["path", "bytes", "sha256", "error"]).astype({"bytes": "Int64"})
+
+    return _spread(files).mapInPandas(run, COPIED)
+
+
+def copy_files(plan, source_root, target_root, range_bytes=RANGE_BYTES):
     """Copy the entries whose ``action`` is 'copy'; one result row each.
 
     A file that cannot be copied gives a row with its error. The digest is of
-    the bytes that were written. Run it once per plan (write the result).
+    the bytes that were written. Run it once per plan (write the result). To a
+    mount, files larger than ``range_bytes`` are copied by ranges, each of a
+    task, see ``copy_ranges``.
     """
+    todo = plan.where(F.col("action") == "copy").select("path", "size")
+    if not isinstance(open_root(target_root)[0], arrow_fs.LocalFileSystem):
+        return _copy_whole(todo, source_root, target_root)
+    todo = stage(todo, "to-copy")
+    large = todo.where(F.col("size") > range_bytes)
+    small = _copy_whole(todo.where(~(F.col("size") > range_bytes) | F.col("size").isNull()), source_root, target_root)
+    if large.isEmpty():
+        return small
+    ranges = stage(copy_ranges(large, source_root, target_root, range_bytes), "copied-ranges")
+    faults = ranges.groupBy("path").agg(F.min("error").alias("error"))
+    return small.unionByName(_finish_ranges(large.join(faults, "path"), source_root, target_root))
+
+
+def _copy_whole(todo, source_root, target_root):
+    """Copy files, each by one task."""
 
     def run(batches):
         source, source_base = open_root(source_root)
@@ -280,7 +412,6 @@ def copy_files(plan, source_root, target_root):
                 {"bytes": "Int64"}
             )
 
-    todo = plan.where(F.col("action") == "copy").select("path", "size")
     return _spread(todo).mapInPandas(run, COPIED)
 
 
