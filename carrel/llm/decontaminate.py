@@ -7,9 +7,12 @@ document is built that has no anchor word in the right place, and no column of
 windows is ever shuffled.
 """
 
+import functools
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carrel.llm.common import row_key, whole_text
+from carrel.llm.common import row_key, stage
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Fixed value: what separates words, before A-Z are lower-cased.
@@ -53,25 +56,39 @@ def windows(items, n=10, id_col="item_id", text="text"):
     )
 
 
-def _sized_broadcast(grams, most):
-    """Broadcast the grams if they are at most ``most`` rows; else Spark joins by key."""
-    known = grams.limit(most + 1).count()
-    return F.broadcast(grams) if known <= most else grams
+#: Bytes of grams that are broadcast at once.
+MOST_BYTES = 64 * 1024 * 1024
+
+
+def _broadcasts(grams, most_bytes):
+    """The grams in parts of about ``most_bytes`` at most, each to be broadcast."""
+    grams = stage(grams, "grams")
+    size = F.octet_length("gram") + F.octet_length("anchor") + F.aggregate("items", F.lit(0), lambda n, i: n + F.octet_length(i) + 16) + 64
+    parts = max(1, -(-(grams.agg(F.sum(size)).first()[0] or 0) // most_bytes))
+    part = F.pmod(F.xxhash64("gram", "offset"), F.lit(parts))
+    return [F.broadcast(grams.where(part == number)) for number in range(parts)]
+
 
+def hits(docs, items, n=10, most_bytes=MOST_BYTES, id_col="doc_id", text="text"):
+    """One row per (document, occurrence of a window): ``key``, ``first``, ``last``, ``items``.
 
-def hits(docs, items, n=10, most_broadcast=1_000_000, id_col="doc_id", text="text"):
-    """One row per (document, occurrence of a window): ``key``, ``first``, ``last``, ``items``."""
-    grams = _sized_broadcast(windows(items, n), most_broadcast)
+    The grams of very large sets of items are broadcast in parts, and the
+    documents are read once for each: no word of a document is ever shuffled.
+    """
     slim = docs.select(row_key(id_col, text).alias("key"), words_of(F.col(text)).alias("_w"))
     each = slim.select("key", "_w", F.posexplode("_w").alias("_pos", "_word"))
     first = F.col("_pos") - F.col("offset")
     inside = (first >= 0) & (first + F.col("length") <= F.size("_w"))
     found = F.when(inside, lowered(F.array_join(F.slice("_w", F.greatest(first, F.lit(0)) + 1, F.col("length")), " ")))
-    near = each.join(grams, (F.lower("_word") == F.col("anchor")) & (found == F.col("gram")))
-    return near.select("key", first.alias("first"), (first + F.col("length")).alias("last"), "items")
 
+    def near(grams):
+        joined = each.join(grams, (F.lower("_word") == F.col("anchor")) & (found == F.col("gram")))
+        return joined.select("key", first.alias("first"), (first + F.col("length")).alias("last"), "items")
+
+    return functools.reduce(DataFrame.unionByName, map(near, _broadcasts(windows(items, n), most_bytes)))
 
-def contamination(docs, items, n=10, most_broadcast=1_000_000, id_col="doc_id", text="text"):
+
+def contamination(docs, items, n=10, most_bytes=MOST_BYTES, id_col="doc_id", text="text"):
     """One row per document: id, ``n_words``, ``n_hit``, ``n_items``, ``items``, ``spans``, ``contaminated``.
 
     A word inside any occurrence of a window is hit; ``spans`` are the merged
@@ -80,7 +97,7 @@ def contamination(docs, items, n=10, most_broadcast=1_000_000, id_col="doc_id",
     rows are reported each; a null id is kept; an empty table of items leaves
     all documents clean, an empty table of documents gives an empty table.
     """
-    found = hits(docs, items, n, most_broadcast, id_col, text)
+    found = hits(docs, items, n, most_bytes, id_col, text)
     spans = F.array_sort(F.collect_set(F.struct("first", "last")))
     per = found.groupBy("key").agg(
         spans.alias("_s"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("_i")
@@ -116,24 +133,27 @@ def contamination(docs, items, n=10, most_broadcast=1_000_000, id_col="doc_id",
     )
 
 
-def remove(docs, items, mode="documents", n=10, **options):
+def remove(docs, items, mode="documents", n=10, id_col="doc_id", text="text", **options):
     """The documents without contamination; all columns of ``docs`` are kept.
 
+    Null and empty texts and rows without an id stay; repeated rows are judged
+    each, alike; without items nothing goes; no documents give none.
+
     ``mode="documents"`` drops each contaminated document. ``mode="spans"``
     keeps every document and cuts the hit words out: what is left are the
     other words, joined by one space; untouched texts stay as they are.
     """
-    report = contamination(docs, items, n, **options).where("contaminated")
+    report = contamination(docs, items, n, id_col=id_col, text=text, **options).where("contaminated")
     bad = report.groupBy("key").agg(F.first("spans").alias("_spans")).select(F.col("key").alias("_bad"), "_spans")
-    kept = docs.select(F.struct("*").alias("_row"), row_key().alias("_key"))
+    kept = docs.select(F.struct("*").alias("_row"), row_key(id_col, text).alias("_key"))
     if mode == "documents":
         return kept.join(bad, F.col("_key") == F.col("_bad"), "left_anti").select("_row.*")
     if mode != "spans":
         raise ValueError(f"mode is documents or spans, not {mode}")
     joined = kept.join(bad, F.col("_key") == F.col("_bad"), "left")
-    words = words_of(whole_text("_row.text"))
+    words = words_of(F.col("_row")[text])
     clean = F.array_join(
         F.filter(words, lambda w, i: ~F.exists("_spans", lambda s: (s["first"] <= i) & (i < s["last"]))), " "
     )
-    text = F.when(F.col("_bad").isNull(), F.col("_row.text")).otherwise(clean)
-    return joined.select(F.col("_row").withField("text", text).alias("_row")).select("_row.*")
+    left = F.when(F.col("_bad").isNull(), F.col("_row")[text]).otherwise(clean)
+    return joined.select(F.col("_row").withField(text, left).alias("_row")).select("_row.*")

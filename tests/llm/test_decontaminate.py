@@ -67,12 +67,26 @@ def test_odd_documents(spark, odd_docs, odd_rows, clashing):
     assert rows_of(docs, frame) == expected([*odd_rows, *more], items)
 
 
-def test_without_broadcast(spark, odd_docs, odd_rows):
+def test_broadcast_in_parts(spark, odd_docs, odd_rows):
     items = items_for(odd_rows)
-    found = decontaminate.contamination(odd_docs, spark.createDataFrame(items, ITEMS), most_broadcast=3)
+    frame = spark.createDataFrame(items, ITEMS)
+    size = len(decontaminate._broadcasts(decontaminate.windows(frame), 4_000))
+    assert size > 1
+    found = decontaminate.contamination(odd_docs, frame, most_bytes=4_000)
     assert found.agg(F.sum("n_hit")).first()[0] == sum(brute(r[1], items)[1] for r in odd_rows)
 
 
+def test_very_long_text_and_other_names(spark):
+    words = [f"w{i % 977}" for i in range(100_000)]
+    passage = [f"test{i}" for i in range(30)]
+    words[50_000:50_030] = passage
+    docs = spark.createDataFrame([(1, " ".join(words), "x"), (2, " ".join(words[:40_000]), "y")], "n long, body string, text string")
+    items = spark.createDataFrame([(1, " ".join(passage))], ITEMS)
+    assert [r.n for r in decontaminate.remove(docs, items, id_col="n", text="body").collect()] == [2]
+    cut = {r.n: r for r in decontaminate.remove(docs, items, mode="spans", id_col="n", text="body").collect()}
+    assert cut[1].body == " ".join(words[:50_000] + words[50_030:]) and cut[1].text == "x"
+
+
 def test_tables(spark, docs_dir):
     docs, items = (spark.read.parquet(f"{docs_dir}/{t}.parquet") for t in ("documents", "benchmark"))
     pairs = [(r.item_id, r.text) for r in items.collect()]
