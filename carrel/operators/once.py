@@ -1,8 +1,33 @@
-"""Evaluating costly columns once."""
+"""Evaluating costly columns once, and building their expressions once."""
 
+import functools
+
+from pyspark import SparkContext
 from pyspark.sql import functions as F
 
 
+def built_once(function):
+    """For a function that gives columns from plain arguments: they are built once in a session.
+
+    A column is a description and can be used in any number of frames, but a
+    long one takes hundreds of calls to the JVM to build, which a job that runs
+    every few seconds would spend most of its time on.
+    """
+    built = {}
+
+    @functools.wraps(function)
+    def run(*args):
+        context = SparkContext._active_spark_context
+        if built.get("context") is not context:
+            built.clear()
+            built["context"] = context
+        if args not in built:
+            built[args] = function(*args)
+        return built[args]
+
+    return run
+
+
 def compute_once(df, **columns):
     """Adds columns that are evaluated once per row, however they are used.
 
