@@ -163,8 +163,12 @@ def shingle_sets(docs, shingle, seed, text="text", into="shingles"):
 
     @F.arrow_udf("binary")
     def set_of(texts: pa.Array) -> pa.Array:
-        hashes = (shingle_hashes(t.as_buffer().to_pybytes(), shingle, seed) for t in texts)
-        return pa.array([np.unique((h >> np.uint64(32)).astype(np.uint32)).tobytes() for h in hashes], type=pa.binary())
+        parts = []
+        for low in range(0, len(texts), 500):
+            hashes = (shingle_hashes(t.as_buffer().to_pybytes(), shingle, seed) for t in texts.slice(low, 500))
+            sets = [np.unique((h >> np.uint64(32)).astype(np.uint32)).tobytes() for h in hashes]
+            parts.append(pa.array(sets, type=pa.binary()))
+        return pa.concat_arrays(parts) if parts else pa.array([], type=pa.binary())
 
     return docs.withColumn(into, set_of(whole_text(text)))
 
@@ -410,7 +414,8 @@ def _pairs_of_cells(similarity):
 
 def _verified_pairs(similarity):
     def run(batches):
-        for batch in batches:
+        small = (batch.slice(low, 500) for batch in batches for low in range(0, batch.num_rows, 500))
+        for batch in small:
             keep = []
             for x, y in zip(batch.column("first").to_pylist(), batch.column("second").to_pylist()):
                 x, y = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)
