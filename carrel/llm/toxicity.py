@@ -201,7 +201,7 @@ def train(texts, toxic, rounds=50, rate=0.15, decay=2e-3, least=10.0, times=12.0
 class _Evidence(dict):
     """Evidence of a word as written, worked out once; emptied when it grows large."""
 
-    def __init__(self, model, most=100_000):
+    def __init__(self, model, most=250_000):
         super().__init__()
         self.weights, self.bias, self.most = model.weights, model.bias, most
 
@@ -300,8 +300,8 @@ def score(docs, model, limit=0.7, likely=0.5, text="text"):
         evidence = _Evidence(model)
         for batch in batches:
             rows = []
-            for low in range(0, len(batch), 512):
-                texts = batch.slice(low, 512).to_pylist()
+            for low in range(0, len(batch), 2048):
+                texts = batch.slice(low, 2048).to_pylist()
                 for body, chance in zip(texts, _chances(model, texts, evidence)):
                     value = 1 / (1 + np.exp(-float(np.clip(model.document @ [1.0, *_facts(chance)], -MOST, MOST))))
                     rows.append({"score": value, "spans": _places(body, chance >= likely)})
