@@ -438,9 +438,9 @@ def linked_rest(nodes, firsts, similarity, sets_of, chunk=CHUNK):
     most two chunks and a large group doesn't meet itself.
     """
     spark = nodes.sparkSession
-    all_of = Window.partitionBy("key")
-    low, high = F.min("group").over(all_of), F.max("group").over(all_of)
-    mixed = firsts.select("key", "node", "group", (low != high).alias("_m")).where("_m").drop("_m").distinct()
+    # Least and largest group by a partial aggregate: a shingle of very many nodes is one row for each task.
+    several = firsts.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low != high")
+    mixed = firsts.join(several.select("key"), "key", "left_semi").select("key", "node", "group").distinct()
     mixed = stage(mixed, "mixed-keys")
     sizes = mixed.groupBy("key", "group").agg(F.count("*").alias("n"))
     sizes = sizes.groupBy("key").agg(F.sum("n").alias("all"), F.max(F.struct("n", "group")).alias("top"))
