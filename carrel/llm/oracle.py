@@ -110,7 +110,13 @@ masked AS (
   FROM tokens LEFT JOIN often USING (k, lead, p, t) GROUP BY ALL),
 kept AS (SELECT * FROM masked WHERE fixed >= 0.5 * k),
 recurring AS (SELECT k, lead, shape FROM kept GROUP BY ALL HAVING count(DISTINCT doc_id) >= 4),
-gone AS (SELECT doc_id, line FROM kept SEMI JOIN recurring USING (k, lead, shape)),
+whole AS (
+  SELECT doc_id, line, len(w) AS k, trim(translate(body, chr(9) || chr(11) || chr(12) || chr(13), '    '), ' ') AS same
+  FROM lines WHERE len(w) > 0),
+again AS (SELECT same FROM whole GROUP BY same HAVING count(DISTINCT doc_id) >= CASE WHEN max(k) >= 20 THEN 2 ELSE 4 END),
+gone AS (
+  SELECT doc_id, line FROM kept SEMI JOIN recurring USING (k, lead, shape)
+  UNION SELECT doc_id, line FROM whole SEMI JOIN again USING (same)),
 left_over AS (
   SELECT doc_id, string_agg(body, chr(10) ORDER BY line) AS body FROM lines ANTI JOIN gone USING (doc_id, line) GROUP BY doc_id),
 counts AS (SELECT doc_id, count(*) AS n FROM lines GROUP BY doc_id),

@@ -11,7 +11,11 @@ def tokens_of(line):
     return [0 if re.search(r"[0-9]", w) else w for w in re.findall(r"[^ \t\n\x0b\f\r]+", line)]
 
 
-def brute(rows, depth=3, min_docs=4, constant=0.5):
+def as_it_is(line):
+    return re.sub(r"[\t\x0b\f\r]", " ", line).strip(" ")
+
+
+def brute(rows, depth=3, min_docs=4, constant=0.5, long=20, long_docs=2):
     lines = [(d, n, tokens_of(x)) for d, r in enumerate(rows) for n, x in enumerate((r[1] or "").split("\n"))]
     lines = [x for x in lines if x[2]]
     leaf = lambda t: (len(t), *t[:depth])
@@ -22,10 +26,19 @@ def brute(rows, depth=3, min_docs=4, constant=0.5):
         if sum(1 for w in masked if w) >= constant * len(t):
             home[d, n] = (leaf(t), masked)
             by_template[leaf(t), masked].add(d)
+    same = defaultdict(set)
+    for d, r in enumerate(rows):
+        for x in (r[1] or "").split("\n"):
+            same[as_it_is(x)].add(d)
+
+    def again(line):
+        words = len(tokens_of(line))
+        return words > 0 and len(same[as_it_is(line)]) >= (long_docs if words >= long else min_docs)
+
     out = []
     for d, r in enumerate(rows):
         own = (r[1] or "").split("\n") if r[1] is not None else []
-        gone = [n for n in range(len(own)) if len(by_template.get(home.get((d, n)), ())) >= min_docs]
+        gone = [n for n in range(len(own)) if len(by_template.get(home.get((d, n)), ())) >= min_docs or again(own[n])]
         text = None if r[1] is None else "\n".join(x for n, x in enumerate(own) if n not in gone)
         out.append((str(r[0]), text, len(own), len(gone)))
     return sorted(out, key=str)
@@ -55,6 +68,18 @@ def test_templates_with_fields(spark):
     assert rows_of(templates.drop_recurring(docs.repartition(5), min_docs=5)) == brute(made(), min_docs=5)
 
 
+def test_equal_lines(spark):
+    """Long ones in two documents, and any in four, also where most tokens have digits; ends of lines don't matter."""
+    long, digits = prose(5, 20, 900), "ISBN 978 3 16 148410 0"
+    odd = "\t".join(f"{i}a" for i in range(20))
+    rows = [(i, f"{prose(50 + i, 12, 3000)}\n {digits}\r\n{prose(7, 19, 900)}" if i < 3 else digits) for i in range(4)]
+    rows += [(10, f"{long}\n{long}\nown words"), (11, f"  {long}\n{odd}"), (12, f"{odd}\r"), (13, f"{prose(8, 30, 900)}\n" * 3)]
+    found = rows_of(templates.drop_recurring(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert found == brute(rows)
+    assert [r[3] for r in sorted(found, key=lambda r: int(r[0]))] == [1, 1, 1, 1, 2, 2, 1, 0]
+    assert rows_of(templates.drop_recurring(spark.createDataFrame(rows, "doc_id long, text string"), long=19)) == brute(rows, long=19)
+
+
 def test_odd_documents(spark, odd_docs, odd_rows, clashing, no_docs):
     docs = clashing(odd_docs)
     found = templates.drop_recurring(docs, min_docs=2)
