@@ -81,8 +81,11 @@ def recurring_lines(docs, depth=3, min_docs=4, constant=0.5, long=20, long_docs=
     counted = lines.select(F.explode(F.array(*kinds)).alias("_s")).groupBy("_s.kind", "_s.key")
     counted = counted.agg(F.count("*").alias("_n"), F.max("_s._k").alias("_k")).where("_k > 0")
     least = F.when((F.col("kind") == "same") & (F.col("_k") >= long), F.lit(long_docs)).otherwise(F.lit(min_docs))
-    busy = stage(counted.where(F.col("_n") >= least).select("kind", "key", least.cast("long").alias("least")), "leaves")
-    held = lines.join(busy.where("kind = 'leaf'").select(F.col("key").alias("leaf")), "leaf", "left_semi").drop("same")
+    busy = stage(counted.where(F.col("_n") >= least).select("kind", "key", least.cast("long").alias("least")), "busy")
+    # Tables of their own, so that Spark knows the size of each: a large one would send the words of all lines around.
+    leaves = stage(busy.where("kind = 'leaf'").select(F.col("key").alias("leaf")), "leaves")
+    again = stage(busy.where("kind = 'same'").select(F.col("key").alias("same"), "least"), "same-lines")
+    held = lines.join(leaves, "leaf", "left_semi").drop("same")
     held = stage(held.withColumn("tokens", F.transform("words", lambda w: F.xxhash64(w))).drop("words"), "busy-lines")
 
     placed = held.select("leaf", F.posexplode("tokens").alias("_p", "_t")).where(F.col("_t") != _field())
@@ -103,7 +106,6 @@ def recurring_lines(docs, depth=3, min_docs=4, constant=0.5, long=20, long_docs=
     shaped = shaped.where(parts >= F.lit(constant) * F.size("_f"))
     shaped = shaped.select("_r1", "_r2", "line", F.xxhash64("leaf", "_f").alias("template"), F.lit(0).cast("long").alias("same2"))
     shaped = shaped.withColumn("least", F.lit(min_docs).cast("long"))
-    again = busy.where("kind = 'same'").select(F.col("key").alias("same"), "least")
     whole = whole_lines(docs, text).join(again, "same")
     whole = whole.select("_r1", "_r2", "line", F.col("same").alias("template"), "same2", "least")
     shaped = stage(shaped.unionByName(whole), "templates")
