@@ -71,7 +71,7 @@ def _with_calls(df, client_factory, call, wanted, result_type, retry, log, step)
     """Adds ``_result`` and ``_error`` of one client call per wanted row.
 
     ``_used`` holds the retries that a record has had, over all its calls. Rows
-    have ``_key`` and ``_lot``; a task has one lot.
+    have ``_key``, ``_lot`` and ``_at``; a task has one lot, in the order of ``_at``.
     """
     schema = T.StructType(
         [field for field in df.schema.fields if field.name != "_used"]
@@ -99,7 +99,7 @@ def _with_calls(df, client_factory, call, wanted, result_type, retry, log, step)
     def logged(client, calls, row):
         if not row["_wanted"]:
             return outcome(client, row)
-        calls.open_lot(row["_lot"])
+        calls.turn_to(row["_lot"], row["_at"])
         return calls.outcome(row["_key"], lambda: outcome(client, row))
 
     def run(batches):
@@ -182,10 +182,11 @@ def fetch_records(
     else:
         position = F.lit(0)
     files = looked_up.select(
-        "record_id", "_lot", "_result", "_error", "_used", position.alias("file_index")
+        "record_id", "_lot", "_at", "_result", "_error", "_used", position.alias("file_index")
     ).select(
         "record_id",
         "_lot",
+        "_at",
         F.concat_ws(":", "record_id", F.coalesce("file_index", F.lit(0))).alias("_key"),
         F.coalesce("file_index", F.lit(0)).alias("file_index"),
         F.get("_result", F.coalesce("file_index", F.lit(0))).alias("file"),
@@ -215,7 +216,8 @@ def fetch_records(
         "_used",
         "_key",
         "_lot",
-    ).select("record_id", "file_index", "status", "description", "t.*", "_used", "_key", "_lot")
+        "_at",
+    ).select("record_id", "file_index", "status", "description", "t.*", "_used", "_key", "_lot", "_at")
 
     first = _with_calls(
         planned, client_factory, download, F.col("status").isNull(), download_type, retry, log, "download"
@@ -240,7 +242,8 @@ def fetch_records(
         "_used",
         "_key",
         "_lot",
-    ).select("record_id", "file_index", "status", "description", "path", "resized", "t.*", "_used", "_key", "_lot")
+        "_at",
+    ).select("record_id", "file_index", "status", "description", "path", "resized", "t.*", "_used", "_key", "_lot", "_at")
 
     second = _with_calls(
         reduced, client_factory, download, F.coalesce("resize", F.lit(False)), download_type, retry, log, "reduced"
@@ -344,12 +347,12 @@ def describe(
         def outcome(row):
             if row["absent_"]:
                 return FAILURE, NO_IMAGE, ""
-            calls.open_lot(row["_lot"])
+            calls.turn_to(row["_lot"], row["_at"])
             text, error, _ = calls.outcome(row["_key"], lambda: answer(row["image_path"], row["mime_"], row["image_"]))
             return (SUCCESS, "", text) if error is None else (FAILURE, error, "")
 
         for batch in batches:
-            answers = [outcome(row) for row in batch.select(["image_path", "mime_", "image_", "absent_", "_key", "_lot"]).to_pylist()]
+            answers = [outcome(row) for row in batch.select(["image_path", "mime_", "image_", "absent_", "_key", "_lot", "_at"]).to_pylist()]
             calls.close()
             columns = [pa.array(c, pa.string()) for c in zip(*answers)] or [pa.array([], pa.string())] * len(added)
             yield pa.RecordBatch.from_arrays([*batch.select(kept).columns, *columns], schema=arrow_schema)
