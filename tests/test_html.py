@@ -1,11 +1,16 @@
 """The row scanner against the parser of the standard library, on made-up pages."""
 
+import datetime
 from html.parser import HTMLParser
+from types import SimpleNamespace
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from carrel.plans import corpora as corpus_plan
+from carrel.sources import html
 from carrel.sources.html import _Rows
+from queries import registry
 
 VOID = {"br", "img"}
 
@@ -115,3 +120,27 @@ def test_rows_equal_those_of_the_element_tree(text):
 def test_hostile_pages_end_quickly():
     for text in ("<a b=\"" * 20000, "<!-- " * 20000, "<table id='t'><tbody>" + "<tr><td>" * 20000, "<" * 100000):
         _Rows("table", "t", "tbody", "tr", frozenset(["td"])).read(text)
+
+
+def test_cells_of_several_pages_stay_with_their_rows(spark):
+    table = f'<table id="{html.DOWNLOAD_TABLE}"><tbody>%s</tbody></table>'
+    page = table % "".join(f"<tr><td>{i}</td><td><a href='/{i}'>x&amp;</a></td></tr>" for i in range(3))
+    pages = spark.createDataFrame([(1, page), (2, "<table></table>"), (3, page)], "id int, html string")
+    made = html.extract_html_rows(pages, ["id"])
+    got = [(r.id, r.row_no, [tuple(c) for c in r.cells]) for r in made.orderBy("id", "row_no").collect()]
+    assert got == [(i, n, [(str(n), None), ("x&", f"/{n}")]) for i in (1, 3) for n in range(3)]
+
+
+def test_catalog_pages_are_dealt_out_before_they_are_made(spark, monkeypatch, tmp_path):
+    rows = [(n, n % 3, datetime.datetime(2020, 1, 1)) for n in range(50)]
+    spark.createDataFrame(rows, "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp").write.parquet(str(tmp_path / "orders.parquet"))
+    seen = []
+
+    def read(pages, *args, **options):
+        seen.append(pages)
+        return corpus_plan.read_catalog(pages, *args, **options)
+
+    monkeypatch.setattr(registry, "corpus_plan", SimpleNamespace(read_catalog=read))
+    assert registry.html_table(spark, str(tmp_path)).count() == 100
+    plan = seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("user-corpora-download-table") < plan.index("RepartitionByExpression")
