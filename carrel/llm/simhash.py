@@ -78,7 +78,8 @@ def least_of(hashes, count):
     return out
 
 
-SKETCH = 512  # bits
+SKETCH = 512  # bits, at least
+SKETCH_MOST = 1 << 15
 
 
 def prefix_of(shingles, similarity, common=None):
@@ -101,9 +102,17 @@ def prefix_of(shingles, similarity, common=None):
 
 
 def sketch_of(shingles):
-    """Parity of the number of shingles in each of ``SKETCH`` places: two sketches differ in no more bits than
-    their sets differ in shingles."""
-    counts = np.bincount((shingles * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(55)).astype(np.int64), minlength=SKETCH)
+    """Parity of the number of shingles in each of as many places as the set has shingles (a power of two, within
+    ``SKETCH`` and ``SKETCH_MOST``): two sketches differ in no more bits than their sets differ in shingles.
+
+    With fewer places large sets that share next to nothing look alike. The halves of a sketch xored are the
+    sketch of half as many places.
+    """
+    bits = SKETCH
+    while bits < min(len(shingles), SKETCH_MOST):
+        bits *= 2
+    mixed = shingles * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)
+    counts = np.bincount((mixed & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
     return np.packbits(counts & 1, bitorder="little")
 
 
@@ -366,48 +375,110 @@ def common_shingles(docs, shingle, seed, text="text", sample=20_000, least=4, mo
     return hashes.view(np.uint64)[order], counts[order]
 
 
+def _whole_cells(batches):
+    """Tables that hold all rows of each of their cells, from rows sorted by key and cell."""
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        part = pa.Table.from_batches([batch])
+        part = part if held is None else pa.concat_tables([held, part])
+        key, cell = (part.column(c).to_numpy() for c in ("key", "cell"))
+        before = np.flatnonzero((key != key[-1]) | (cell != cell[-1]))
+        start = int(before[-1]) + 1 if len(before) else 0
+        if start:
+            yield part.slice(0, start)
+        held = part.slice(start)
+    if held is not None:
+        yield held
+
+
+def _fitting(part, similarity):
+    """Pairs of rows of a cell, as arrays of places, that may be the first to tell of a similar pair of groups.
+
+    Rows are sorted by key, cell and size. Two similar sets share at least
+    ``least`` shingles, so the first that they share stands before what one of
+    them can lack; a pair that shares the key further on has met before, or is
+    not similar.
+    """
+    key, cell, group, size, at = (part.column(c).to_numpy() for c in ("key", "cell", "group", "n", "at"))
+    block = np.concatenate([[0], np.cumsum((key[1:] != key[:-1]) | (cell[1:] != cell[:-1]))])
+    most = np.floor(size / similarity + 1e-9)
+    first, step = np.arange(len(key)), 0
+    while True:
+        step += 1
+        first = first[first + step < len(key)]
+        first = first[(block[first + step] == block[first]) & (size[first + step] <= most[first])]
+        if not len(first):
+            return
+        other = first + step
+        least = np.ceil(similarity / (1 + similarity) * (size[first] + size[other]) - 1e-9)
+        fits = (group[first] != group[other]) & (at[first] <= size[first] - least) & (at[other] <= size[other] - least)
+        if fits.any():
+            yield first[fits], other[fits]
+
+
+def _meeting_rows(similarity):
+    """The rows that fit any other row of their cell."""
+
+    def run(batches):
+        for part in _whole_cells(batches):
+            meets = np.zeros(part.num_rows, bool)
+            for first, other in _fitting(part, similarity):
+                meets[first] = True
+                meets[other] = True
+            if meets.any():
+                yield from part.filter(pa.array(meets)).combine_chunks().to_batches()
+
+    return run
+
+
+def _different_bits(words, starts, widths, first, other, most=1 << 22):
+    """Bits in which the sketches of pairs differ; the larger one is folded to the width of the smaller one."""
+    bits = np.empty(len(first), np.int64)
+    narrow = np.minimum(widths[first], widths[other])
+    for width in np.unique(narrow).tolist():
+        pairs = np.flatnonzero(narrow == width)
+        for low in range(0, len(pairs), max(1, most // width)):
+            some = pairs[low : low + max(1, most // width)]
+            rows, place = np.unique(np.concatenate([first[some], other[some]]), return_inverse=True)
+            table = np.zeros((len(rows), width), np.uint64)
+            for half in range(int(widths[rows].max()) // width):
+                has = np.flatnonzero(widths[rows] > half * width)
+                table[has] ^= words[starts[rows[has]][:, None] + (half * width + np.arange(width))]
+            one, two = table[place[: len(some)]], table[place[len(some) :]]
+            bits[some] = np.bitwise_count(one ^ two).sum(1, dtype=np.int64)
+    return bits
+
+
 def _pairs_of_cells(similarity):
-    """Pairs of different groups in a cell that may be similar, from sorted rows of (key, cell)."""
+    """Pairs of different groups in a cell that may be similar, from rows sorted by key, cell and size."""
     differ = (1 - similarity) / (1 + similarity)  # of both sizes together
 
-    def pairs(node, group, size, sketch):
-        order = np.argsort(size, kind="stable")
-        node, group, size, sketch = node[order], group[order], size[order], sketch[order]
-        upto = np.searchsorted(size, np.floor(size / similarity + 1e-9), side="right")
-        for i in range(len(node) - 1):
-            j = np.arange(i + 1, upto[i])
-            j = j[group[j] != group[i]]
-            if len(j):
-                bits = np.bitwise_count(sketch[j] ^ sketch[i]).sum(1, dtype=np.int64)
-                j = j[bits <= differ * (size[j] + size[i]) + 1e-9]
-                if len(j):
-                    yield np.minimum(node[j], node[i]), np.maximum(node[j], node[i])
+    def tested(part, words, starts, widths, found):
+        first, other = (np.concatenate(x) for x in zip(*found))
+        node, size = (part.column(c).to_numpy() for c in ("node", "n"))
+        bits = _different_bits(words, starts, widths, first, other)
+        near = bits <= differ * (size[first] + size[other]) + 1e-9
+        a, b = node[first[near]], node[other[near]]
+        if len(a):
+            yield pa.record_batch({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
     def run(batches):
-        key, held = None, []
-
-        def found():
-            if len(held) > 1:
-                columns = list(zip(*held))
-                sketch = np.frombuffer(b"".join(columns[3]), np.uint64).reshape(len(held), -1)
-                out_a, out_b, n = [], [], 0
-                for a, b in pairs(*(np.array(c, np.int64) for c in columns[:3]), sketch):
-                    out_a.append(a)
-                    out_b.append(b)
-                    n += len(a)
-                    if n > 100_000:
-                        yield pa.record_batch({"a": np.concatenate(out_a), "b": np.concatenate(out_b)})
-                        out_a, out_b, n = [], [], 0
-                if n:
-                    yield pa.record_batch({"a": np.concatenate(out_a), "b": np.concatenate(out_b)})
-
-        for batch in batches:
-            for *cell, node, group, size, sketch in zip(*(batch.column(c).to_pylist() for c in batch.schema.names)):
-                if cell != key:
-                    yield from found()
-                    key, held = cell, []
-                held.append((node, group, size, sketch))
-        yield from found()
+        for part in _whole_cells(batches):
+            sketches = part.column("sketch").to_pylist()
+            widths = np.fromiter(map(len, sketches), np.int64, len(sketches)) // 8
+            starts = np.cumsum(widths) - widths
+            words = np.frombuffer(b"".join(sketches), np.uint64)
+            found, n = [], 0
+            for pair in _fitting(part, similarity):
+                found.append(pair)
+                n += len(pair[0])
+                if n > 100_000:
+                    yield from tested(part, words, starts, widths, found)
+                    found, n = [], 0
+            if n:
+                yield from tested(part, words, starts, widths, found)
 
     return run
 
@@ -432,15 +503,18 @@ def linked_rest(nodes, firsts, similarity, sets_of, chunk=CHUNK):
     """Links of similar nodes of different groups, all that there are: columns ``a``, ``b``.
 
     ``nodes`` has ``node``, ``group``, ``n`` and ``sketch``; ``firsts`` has
-    ``node``, ``group`` and ``key``, a shingle of the node's prefix. A key that
+    ``node``, ``group``, ``key``, a shingle of the node's prefix, and ``at``, its
+    place there (0 if not given, which fits all). A key that
     one group has to itself links nothing. Of any other the nodes outside of its
     largest group, in chunks, meet all its nodes, in chunks, so a cell holds at
-    most two chunks and a large group doesn't meet itself.
+    most two chunks and a large group doesn't meet itself. Cells are gone through
+    twice: narrow rows first, and with sketches those that fit another one.
     """
     spark = nodes.sparkSession
     all_of = Window.partitionBy("key")
     low, high = F.min("group").over(all_of), F.max("group").over(all_of)
-    mixed = firsts.select("key", "node", "group", (low != high).alias("_m")).where("_m").drop("_m").distinct()
+    at = F.col("at") if "at" in firsts.columns else F.lit(0)
+    mixed = firsts.select("key", "node", "group", at.alias("at"), (low != high).alias("_m")).where("_m").drop("_m").distinct()
     mixed = stage(mixed, "mixed-keys")
     sizes = mixed.groupBy("key", "group").agg(F.count("*").alias("n"))
     sizes = sizes.groupBy("key").agg(F.sum("n").alias("all"), F.max(F.struct("n", "group")).alias("top"))
@@ -457,11 +531,15 @@ def linked_rest(nodes, firsts, similarity, sets_of, chunk=CHUNK):
     down = F.transform(F.sequence(F.lit(0), F.col("high") - 1), lambda r: r * F.col("wide") + column)
     across = F.transform(F.sequence(F.lit(0), F.col("wide") - 1), lambda c: row * F.col("wide") + c)
     cells = F.when(F.col("group") == F.col("top"), down).otherwise(F.array_union(down, across))
-    placed = both.select("key", "node", F.explode(cells).alias("cell"))
-    rows = placed.join(nodes.select("node", "group", "n", "sketch"), "node")
-    rows = rows.select("key", "cell", "node", "group", "n", "sketch")
-    tasks = share_of(spark, mixed.count(), 200_000)
-    dealt = rows.repartition(tasks, "key", "cell").sortWithinPartitions("key", "cell")
+    placed = both.select("key", F.explode(cells).alias("cell"), "node", "group", "at")
+    rows = placed.join(nodes.select("node", "n"), "node").select("key", "cell", "node", "group", "n", "at")
+    dealt = rows.repartition(share_of(spark, mixed.count(), 200_000), "key", "cell")
+    dealt = dealt.sortWithinPartitions("key", "cell", "n")
+    kinds = "key long, cell long, node long, group long, n int, at int"
+    meeting = stage(dealt.mapInArrow(_meeting_rows(similarity), kinds), "meeting")
+    dealt = meeting.join(nodes.select("node", "sketch"), "node")
+    dealt = dealt.repartition(share_of(spark, meeting.count(), 50_000), "key", "cell")
+    dealt = dealt.sortWithinPartitions("key", "cell", "n")
     pairs = stage(dealt.mapInArrow(_pairs_of_cells(similarity), "a long, b long").distinct(), "pairs")
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     sets = stage(sets_of(wanted), "pair-sets")
@@ -518,7 +596,7 @@ def _grouped(docs, shingle, bits, similarity, orders, seed, id_col, text):
         known = stage(known, "groups")
         # One row stands for its node: rows that share its key are equal.
         own = printed.select("key", "prefix").join(known.select("key", "node", "group"), "key")
-        rest = linked_rest(known, own.select("node", "group", F.explode("prefix").alias("key")), similarity, sets_of)
+        rest = linked_rest(known, own.select("node", "group", F.posexplode("prefix").alias("at", "key")), similarity, sets_of)
         kept = known.select(F.col("node").alias("a"), F.col("group").alias("b")).where("a != b")
         groups = components(kept.unionByName(rest))
     member = nodes.select("node", "least_id").join(groups, "node", "left")

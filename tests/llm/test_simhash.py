@@ -174,3 +174,44 @@ def test_every_pair_of_other_groups_is_met(spark, chunk):
             if group[i] != group[j] and shared >= 0.8 * (len(sets[i]) + len(sets[j]) - shared):
                 want.add((j, i))
     assert {(r.a, r.b) for r in links.collect()} == want and 20 < len(want)
+
+
+def test_large_sets_that_share_a_shingle_are_no_pairs(spark, monkeypatch):
+    """Sets of several sketch widths: all similar pairs are found, and few others are written for verification."""
+    import numpy as np
+
+    draw, sets = random.Random(3), []
+    shared = [draw.getrandbits(63) for _ in range(3)]
+    for size in (400, 560, 1100, 2300, 3000):
+        for _ in range(5):
+            whole = [draw.getrandbits(63) for _ in range(size)]
+            for part in (0.8, 0.85, 1) if len(sets) % 2 else (1,):
+                sets.append(sorted({*draw.sample(whole, int(part * size)), *shared}))
+    arrays = [np.array(s, np.uint64) for s in sets]
+    small = [np.unique((a >> np.uint64(32)).astype(np.uint32)).tobytes() for a in arrays]
+    # The shared shingles come first for all.
+    common = np.unique(np.concatenate(arrays))
+    common = common[~np.isin(common, shared)], np.ones(len(common) - len(shared), np.int64)
+    nodes = [(i, i, len(a), bytearray(simhash.sketch_of(a).tobytes())) for i, a in enumerate(arrays)]
+    firsts = [
+        (i, i, place, int(k)) for i, a in enumerate(arrays) for place, k in enumerate(simhash.prefix_of(a, 0.8, common))
+    ]
+    nodes = spark.createDataFrame(nodes, "node long, group long, n int, sketch binary")
+    firsts = spark.createDataFrame(firsts, "node long, group long, at int, key long")
+    shingles = spark.createDataFrame([(i, bytearray(s)) for i, s in enumerate(small)], "node long, shingles binary")
+    written, stage = {}, simhash.stage
+
+    def counted(df, label):
+        written[label] = stage(df, label)
+        return written[label]
+
+    monkeypatch.setattr(simhash, "stage", counted)
+    links = simhash.linked_rest(nodes, firsts, 0.8, lambda wanted: wanted.join(shingles, "node"))
+    want = set()
+    for i in range(len(sets)):
+        for j in range(i):
+            both = len(set(sets[i]) & set(sets[j]))
+            if both >= 0.8 * (len(sets[i]) + len(sets[j]) - both):
+                want.add((j, i))
+    assert {(r.a, r.b) for r in links.collect()} == want and len(want) > 10
+    assert written["pairs"].count() <= 2 * len(want)
