@@ -230,10 +230,16 @@ def hashed_inventory(spark, root, pattern=None):
     )
 
 
-def publish_bytes(filesystem, target, chunks):
-    """Write under a temporary name, then rename: no reader sees half a file."""
+def publish_bytes(filesystem, target, chunks, made=None):
+    """Write under a temporary name, then rename: no reader sees half a file.
+
+    ``made`` is a set of folders that are there, which a task keeps for its files.
+    """
     folder, name = posixpath.split(target)
-    filesystem.create_dir(folder, recursive=True)
+    if made is None or folder not in made:
+        filesystem.create_dir(folder, recursive=True)
+        if made is not None:
+            made.add(folder)
     staged = posixpath.join(folder, f".{name}.{uuid.uuid4().hex}.part")
     try:
         with filesystem.open_output_stream(staged) as out:
@@ -463,15 +469,21 @@ def download_objects(keys, uri, target_root):
 
 
 def write_files(df, root, path="path", content="content"):
-    """One file per row; returns (path, size) of what was written."""
+    """One file per row; returns (path, size) of what was written.
+
+    A row's bytes are taken out of the Arrow batch one at a time, so a task
+    holds a batch once and one file.
+    """
 
     def run(batches):
         filesystem, base = open_root(root)
+        made = set()
         for batch in batches:
-            for name, data in zip(batch[path], batch[content]):
-                publish_bytes(filesystem, posixpath.join(base, name), [bytes(data)])
-            yield pd.DataFrame(
-                {"path": batch[path], "size": [len(data) for data in batch[content]]}
-            )
-
-    return df.select(path, content).mapInPandas(run, "path string, size bigint")
+            names, contents, sizes = batch.column(0), batch.column(1), []
+            for name, data in zip(names, contents):
+                whole = bytes(data.as_py())
+                publish_bytes(filesystem, posixpath.join(base, name.as_py()), [whole], made)
+                sizes.append(len(whole))
+            yield pa.RecordBatch.from_arrays([names, pa.array(sizes, pa.int64())], names=["path", "size"])
+
+    return df.select(path, content).mapInArrow(run, "path string, size bigint")

@@ -245,3 +245,13 @@ def test_volume_prefix(spark):
     df = spark.createDataFrame([("/SRV/archive4/x",), ("/srv/da",)], "p string")
     rows = df.select(paths.under_volume(F.col("p"), "/srv/archive")).collect()
     assert [r[0] for r in rows] == [True, False]
+
+
+def test_files_are_written_out_of_arrow_batches(spark, tmp_path):
+    """No pandas copy of a batch's bytes; a folder is made once by a task."""
+    rows = [("a/x", b"one"), ("a/y", b""), ("z", b"\x00\xff")]
+    written = files.write_files(spark.createDataFrame(rows, "path string, content binary").coalesce(1), str(tmp_path))
+    plan = written._jdf.queryExecution().toString()
+    assert "MapInArrow" in plan and "MapInPandas" not in plan
+    assert sorted(map(tuple, written.collect())) == [("a/x", 3), ("a/y", 0), ("z", 2)]
+    assert [(tmp_path / path).read_bytes() for path, _ in rows] == [data for _, data in rows]
