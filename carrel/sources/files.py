@@ -6,6 +6,7 @@ per step, through ``pyarrow.fs``, which serves mounts and object stores alike.
 Bytes are read in chunks, so the size of one file does not matter.
 """
 
+import contextlib
 import hashlib
 import itertools
 import os
@@ -230,10 +231,26 @@ def hashed_inventory(spark, root, pattern=None):
     )
 
 
-def publish_bytes(filesystem, target, chunks, made=None):
+def _staged_stream(filesystem, staged, size):
+    """Where the bytes of a staged file go; on a mount its room is taken first if its ``size`` is known.
+
+    A file system that allocates late would do so when the file replaces
+    another one, and hold the folder for all tasks meanwhile.
+    """
+    if not size or not isinstance(filesystem, arrow_fs.LocalFileSystem):
+        return filesystem.open_output_stream(staged)
+    out = open(staged, "wb")
+    # Not every mount can; what lacks room fails as it is written.
+    with contextlib.suppress(OSError):
+        os.posix_fallocate(out.fileno(), 0, size)
+    return out
+
+
+def publish_bytes(filesystem, target, chunks, made=None, size=None):
     """Write under a temporary name, then rename: no reader sees half a file.
 
-    ``made`` is a set of folders that are there, which a task keeps for its files.
+    ``made`` is a set of folders that are there, which a task keeps for its files;
+    ``size`` is that of all chunks, where it is known.
     """
     folder, name = posixpath.split(target)
     if made is None or folder not in made:
@@ -242,7 +259,7 @@ def publish_bytes(filesystem, target, chunks, made=None):
             made.add(folder)
     staged = posixpath.join(folder, f".{name}.{uuid.uuid4().hex}.part")
     try:
-        with filesystem.open_output_stream(staged) as out:
+        with _staged_stream(filesystem, staged, size) as out:
             for chunk in chunks:
                 out.write(chunk)
         filesystem.move(staged, target)
@@ -482,7 +499,7 @@ def write_files(df, root, path="path", content="content"):
             names, contents, sizes = batch.column(0), batch.column(1), []
             for name, data in zip(names, contents):
                 whole = bytes(data.as_py())
-                publish_bytes(filesystem, posixpath.join(base, name.as_py()), [whole], made)
+                publish_bytes(filesystem, posixpath.join(base, name.as_py()), [whole], made, len(whole))
                 sizes.append(len(whole))
             yield pa.RecordBatch.from_arrays([names, pa.array(sizes, pa.int64())], names=["path", "size"])
 

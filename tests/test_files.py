@@ -255,3 +255,25 @@ def test_files_are_written_out_of_arrow_batches(spark, tmp_path):
     assert "MapInArrow" in plan and "MapInPandas" not in plan
     assert sorted(map(tuple, written.collect())) == [("a/x", 3), ("a/y", 0), ("z", 2)]
     assert [(tmp_path / path).read_bytes() for path, _ in rows] == [data for _, data in rows]
+
+
+def test_a_written_file_has_its_room_before_it_replaces_another(tmp_path, monkeypatch):
+    local, taken = files.arrow_fs.LocalFileSystem(), []
+    take = os.posix_fallocate
+
+    def noted(descriptor, start, size):
+        taken.append((start, size))
+        take(descriptor, start, size)
+
+    monkeypatch.setattr(os, "posix_fallocate", noted)
+    for data in (b"first", b"second one", b""):
+        files.publish_bytes(local, str(tmp_path / "f"), [data], set(), len(data))
+        assert (tmp_path / "f").read_bytes() == data
+    assert taken == [(0, 5), (0, 10)] and os.listdir(tmp_path) == ["f"]
+
+    def refused(*args):
+        raise OSError("not here")
+
+    monkeypatch.setattr(os, "posix_fallocate", refused)
+    files.publish_bytes(local, str(tmp_path / "f"), [b"third"], set(), 5)
+    assert (tmp_path / "f").read_bytes() == b"third"
