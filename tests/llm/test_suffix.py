@@ -102,6 +102,14 @@ def test_shared_passages(spark, hot):
     assert rows_of(found) == brute(rows, 100)
 
 
+def test_runs_are_joined_with_slices_once(spark):
+    rows = [(i, "a common passage of some length " * 3 + str(i) * 40) for i in range(20)]
+    found = suffix.repeats(spark.createDataFrame(rows, "doc_id long, text string"), 50)
+    assert found.count() > 0
+    # Spark splits a hot slice in a join of two staged sides, not in a join of a join.
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Join LeftSemi") == 1
+
+
 def test_long_texts_in_segments(monkeypatch):
     draw = random.Random(3)
     text = bytes(draw.choice(b"ab cd") for _ in range(5000))
